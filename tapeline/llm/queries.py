@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import decontaminate, quality, shard, simhash, substring
+from tapeline.llm import chat, decontaminate, langid, mixing, pii, quality, secrets, shard, simhash, substring
 from tapeline.llm._shared import stage
 
 
@@ -27,16 +27,58 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate(_read(spark, sf_dir, "documents"), texts=False).drop("kept")
 
 
+def _unseen() -> Column:
+    """Documents that no language model learns from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(docs.where(~_unseen())))
+    return found.select("doc_id", _unseen().alias("held_out"), "lang_pred", "score")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stage(secrets.candidates(_read(spark, sf_dir, "documents")), "findings")  # read for the dictionary, to train and to score
+    ready = secrets.with_features(found, secrets.dictionary(found))
+    model = secrets.train(secrets.rule_labels(ready))
+    return secrets.score(ready, model).select("doc_id", "path", "start", F.char_length("candidate").alias("n_chars"), F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = _read(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("key").alias("law"))
     return shard.shard(docs, 24).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+#: Shares of the mixture's tokens by language.
+TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return mixing.mix(docs, docs, "lang", TARGETS).select("doc_id", "n_tokens", "domain", "rate")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.sql("select * from values (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') t(conv_id, turn, role, text)")
+    back = chat.read_back(chat.format_chats(chat.rows_as_events(rows.unionByName(extra))))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(_read(spark, sf_dir, "documents"), b"change me: the key of this query is public").select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     stats = stage(quality.base_stats(docs, "lang"), "quality")  # read twice: to fit and to judge
@@ -45,7 +87,44 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_substring_dedup, op5_sharding, op7_simhash_near_dedup, op10_quality_rules)
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_substring_dedup, op3_language_id, op4_secret_scan, op5_sharding,
+        op6_mixing, op7_simhash_near_dedup, op8_chat_formatting, op9_pii_surrogates, op10_quality_rules,
+    )
 }
 
-SQL: dict[str, str] = {}
+#: DuckDB SQL of the same results, where SQL has the means.
+SQL: dict[str, str] = {
+    "op1_decontamination": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+        bw AS (SELECT DISTINCT item, least(10, len(ws)) AS n, array_to_string(ws[i : i + least(10, len(ws)) - 1], ' ') AS win
+               FROM b, unnest(range(1, greatest(2, len(ws) - 8))) AS t(i) WHERE len(ws) > 0),
+        lens AS (SELECT DISTINCT n FROM bw),
+        dw AS (SELECT doc_id, n, i, array_to_string(ws[i : i + n - 1], ' ') AS win FROM w, lens, unnest(range(1, len(ws) - n + 2)) AS t(i)),
+        m AS (SELECT dw.doc_id, dw.i, bw.n, bw.item FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM m, unnest(range(m.i, m.i + m.n)) AS t(p) GROUP BY doc_id),
+        its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM w LEFT JOIN hit ON w.doc_id = hit.doc_id LEFT JOIN its ON w.doc_id = its.doc_id""",
+    "op2_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        win AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS win FROM w, unnest(range(1, len(ws) - 11)) AS t(i)),
+        late AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS first_doc FROM win) WHERE first_doc < doc_id),
+        gone AS (SELECT DISTINCT doc_id, p FROM late, unnest(range(i, i + 13)) AS t(p)),
+        kept AS (SELECT doc_id, array_to_string(list_filter(ws, lambda x, k: NOT list_contains(ps, k)), ' ') AS kept, len(ps) AS n
+                 FROM (SELECT w.doc_id, ws, coalesce(ps, []) AS ps FROM w LEFT JOIN (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id) g ON w.doc_id = g.doc_id))
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed, sha256(kept) AS kept_sha256
+        FROM w JOIN kept ON w.doc_id = kept.doc_id""",
+    "op8_chat_formatting": r"""
+        WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                      UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(24 + length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'), chr(10), '&nl;'))
+                        + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'))) AS BIGINT) AS formatted_chars
+        FROM rows GROUP BY conv_id""",
+}
