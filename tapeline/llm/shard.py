@@ -25,22 +25,21 @@ def topology(n: int, shards_per_rack: int = 3, racks_per_region: int = 2) -> lis
     return [Leaf(i, f"region{i // per}", f"region{i // per}/rack{i % per // shards_per_rack}") for i in range(n)]
 
 
-def _draw(key: Column, node: str, weight: float, seed: int) -> Column:
-    """An exponential draw of rate ``weight`` from the hash of key and node: the smallest draw wins in proportion to weight."""
-    h = F.xxhash64(key, F.lit(node), F.lit(seed))
-    unit = (F.shiftrightunsigned(h, 11).cast("double") + F.lit(0.5)) * F.lit(2.0**-53)
-    return -F.log(unit) / F.lit(float(weight))
+def _pick(key: Column, nodes: Column, seed: int) -> Column:
+    """The id of one of ``nodes(name, weight, id)``: exponential draws from the hash of key and name, the smallest wins.
+
+    A node wins in proportion to its weight, and a weight that grows only takes keys, from all others alike.
+    """
+
+    def draw(node: Column) -> Column:
+        unit = (F.shiftrightunsigned(F.xxhash64(key, node["name"], F.lit(seed)), 11).cast("double") + F.lit(0.5)) * F.lit(2.0**-53)
+        return F.struct((-F.log(unit) / node["weight"]).alias("draw"), node["id"].alias("id"))
+
+    return F.array_min(F.transform(nodes, draw))["id"]
 
 
-def _descend(key: Column, nodes: dict[str, float], below: dict[str, Column], seed: int) -> Column:
-    """Draw one of ``nodes`` and go on in it. A node of one child needs no draw."""
-    if len(nodes) == 1:
-        return below[next(iter(nodes))]
-    win = F.least(*[F.struct(_draw(key, n, w, seed).alias("d"), F.lit(i).alias("i")) for i, (n, w) in enumerate(sorted(nodes.items()))])["i"]
-    out = None
-    for i, n in enumerate(sorted(nodes)):
-        out = F.when(win == i, below[n]) if out is None else out.when(win == i, below[n])
-    return out
+def _nodes(rows: list[tuple[str, float, int]]) -> Column:
+    return F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(w)).alias("weight"), F.lit(i).alias("id")) for n, w, i in rows])
 
 
 def place(key: Column, leaves: list[Leaf], seed: int = 0) -> Column:
@@ -51,12 +50,16 @@ def place(key: Column, leaves: list[Leaf], seed: int = 0) -> Column:
     tree: dict[str, dict[str, list[Leaf]]] = defaultdict(lambda: defaultdict(list))
     for leaf in leaves:
         tree[leaf.region][leaf.rack].append(leaf)
-    of_region, region_weight = {}, {}
-    for region, racks in tree.items():
-        of_rack = {r: _descend(key, {f"shard{x.shard}": x.weight for x in own}, {f"shard{x.shard}": F.lit(x.shard) for x in own}, seed) for r, own in racks.items()}
-        of_region[region] = _descend(key, {r: sum(x.weight for x in own) for r, own in racks.items()}, of_rack, seed)
-        region_weight[region] = sum(x.weight for own in racks.values() for x in own)
-    return _descend(key, region_weight, of_region, seed)
+    regions, racks, shards = [], [], []
+    for region, below in sorted(tree.items()):
+        regions.append((region, sum(x.weight for own in below.values() for x in own), len(regions)))
+        racks.append([])
+        for rack, own in sorted(below.items()):
+            racks[-1].append((rack, sum(x.weight for x in own), len(shards)))
+            shards.append([(f"shard{x.shard}", x.weight, x.shard) for x in own])
+    region = _pick(key, _nodes(regions), seed)
+    rack = _pick(key, F.get(F.array(*map(_nodes, racks)), region), seed)
+    return _pick(key, F.get(F.array(*map(_nodes, shards)), rack), seed)
 
 
 def with_slots(df: DataFrame, order: str, shard: str = "shard", slot: str = "slot", cells: int = 64) -> DataFrame:
