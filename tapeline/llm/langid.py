@@ -18,7 +18,8 @@ GRAM = 3
 CELLS = 1 << 15
 #: Labelled rows that a model is fitted on, about: a hash of doc_id draws them where there are more.
 TRAIN_ROWS = 60_000
-SMOOTHING = 0.5
+#: Share of a language's probability that is spread evenly over all cells.
+SMOOTHING = 0.01
 STEPS = 25
 #: Log-likelihood that a language must add for each halving of its standard error: one parameter's share of the BIC, times
 #: the bytes of an n-gram, as neighbouring n-grams overlap and are not independent.
@@ -122,12 +123,13 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     drawn = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1_000_000)) / 1e6 < share)
     sums = drawn.select("text", "lang").mapInArrow(_counts, "lang string, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(sums["lang"].unique()))
-    p = np.full((CELLS, len(languages) + 1), SMOOTHING)
+    # a text of no known language draws its n-grams evenly from all cells
+    p = np.full((CELLS, len(languages) + 1), 1.0 / CELLS)
+    p[:, :-1] *= SMOOTHING
     for i, lang in enumerate(languages):
         own = sums[sums["lang"] == lang]
-        p[own["cell"].to_numpy(), i] += own["n"].to_numpy()
-    # a text of no known language draws its n-grams evenly from all cells
-    return Model(languages, p / p.sum(0))
+        p[own["cell"].to_numpy(), i] += (1 - SMOOTHING) * own["n"].to_numpy() / own["n"].sum()
+    return Model(languages, p)
 
 
 def _infer(batches: Iterator[pa.RecordBatch], held) -> Iterator[pa.RecordBatch]:
