@@ -73,15 +73,18 @@ def covering_masks(bits: int, within: int) -> tuple[int, list[list[int]]]:
     return r, out
 
 
-def _anchor_rows(block: Column, bits: int, within: int) -> Column:
-    """All anchors near a block's word, as structs (anchor, home); home marks one anchor within the covering radius."""
+def _anchor_rows(block: Column, bits: int, within: int, blocks: int, number: int) -> Column:
+    """All anchors near a block's word, as structs (key, home); home marks one anchor within the covering radius.
+
+    A key is the anchor and the number of its block.
+    """
     r, masks = covering_masks(bits, within)
     checks = [sum(1 << i for i in range(2**r - 1) if (i + 1) >> j & 1) for j in range(r)]
     syndrome = sum((F.bit_count(block.bitwiseAND(F.lit(c))).bitwiseAND(F.lit(1)) * (1 << j) for j, c in enumerate(checks)), F.lit(0))
     table = F.array(*[F.array(*[F.lit(m).cast("long") for m in own]) for own in masks])
     near = F.get(table, syndrome)
     # the home anchor is reached by the first mask: no flip, or the one flip within the Hamming part
-    return F.transform(near, lambda m, i: F.struct(block.bitwiseXOR(m).alias("anchor"), (i == 0).alias("home")))
+    return F.transform(near, lambda m, i: F.struct((block.bitwiseXOR(m) * blocks + number).alias("key"), (i == 0).alias("home")))
 
 
 def _members(fps: DataFrame, blocks: int, threshold: int) -> DataFrame:
@@ -91,9 +94,9 @@ def _members(fps: DataFrame, blocks: int, threshold: int) -> DataFrame:
     for k in range(blocks):
         bits = edges[k + 1] - edges[k]
         word = F.shiftrightunsigned("fp", edges[k]).bitwiseAND(F.lit((1 << bits) - 1))
-        rows = _anchor_rows(word, bits, RADIUS + threshold // blocks)
-        parts.append(F.transform(rows, lambda s, k=k: F.struct((s["anchor"] * blocks + k).alias("key"), s["home"].alias("home"))))
-    return fps.select("fp", F.explode(F.concat(*parts)).alias("m")).select("m.key", "fp", "m.home")
+        parts.append(_anchor_rows(word, bits, RADIUS + threshold // blocks, blocks, k))
+    dealt = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")  # few bytes become many
+    return dealt.select("fp", F.explode(F.concat(*parts)).alias("m")).select("m.key", "fp", "m.home")
 
 
 def _spread(members: DataFrame, square: int) -> DataFrame:
