@@ -8,11 +8,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CANDIDATE = r"[A-Za-z0-9_+/=.\-]{16,}"
+#: A run that may be a secret: it starts where no such character stands before.
+CANDIDATE = r"(?<![A-Za-z0-9_+/.\-])[A-Za-z0-9_+/.\-]{16,}+={0,2}"
+#: Characters before and after a run in which its neighbours are sought.
+NEAR = 64
 #: Words before which an assigned value is mostly a secret.
 KEYWORDS = r"(?i)(token|secret|passw(or)?d|passwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer)"
 #: How well-known secrets begin.
 PREFIXES = r"^(AKIA|ASIA|ghp_|gho_|ghs_|glpat-|xox[abps]-|sk_live_|sk-|eyJ)"
+ASSIGNED = r"[=:]\s*[\"'`]?$"
 #: Labelled findings that the forest is fitted on, about: a hash draws them where there are more.
 TRAIN_ROWS = 20_000
 #: Frequent neighbouring words that make the dictionary.
@@ -22,24 +26,31 @@ FEATURES = ["length", "turns", "digits", "distinct", "vowels", "coverage", "path
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Findings ``(doc_id, path, start, candidate, before, before2, after)`` in whole texts of ``docs(doc_id, text, source)``.
+    """Findings ``(doc_id, path, start, candidate, left, right)`` in whole texts of ``docs(doc_id, text, source)``.
 
-    ``start`` counts characters of the original text. A word that holds several runs yields its first. Null texts yield nothing.
+    ``start`` counts characters of the original text; ``left`` and ``right`` are what stands next to the run. A text is
+    split at its runs, so the work is in proportion to its length. Null texts yield nothing.
     """
-    words = F.split("text", r"[\x20\x09-\x0D]", -1)
-    long = F.filter(F.transform("words", lambda w, i: F.when((F.char_length(w) >= 16) & w.rlike(CANDIDATE), i)), lambda i: i.isNotNull())
-    found = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), words.alias("words")).select("*", F.explode(long).alias("i"))
-    word = F.element_at("words", F.col("i") + 1)
-    near = lambda k: F.coalesce(F.get("words", F.col("i") + k), F.lit(""))
-    ahead = F.aggregate(F.slice("words", F.lit(1), F.col("i")), F.lit(0), lambda a, w: a + F.char_length(w) + 1)
-    cut = found.select("doc_id", "path", ahead.alias("ahead"), word.alias("word"), near(-1).alias("before"), near(-2).alias("before2"), near(1).alias("after"))
-    run = F.regexp_extract("word", CANDIDATE, 0)
-    return cut.select("doc_id", "path", (F.col("ahead") + F.regexp_instr("word", F.lit(CANDIDATE)) - 1).cast("long").alias("start"), run.alias("candidate"), "word", "before", "before2", "after")
+    split = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("runs"), F.split("text", CANDIDATE, -1).alias("gaps")).where(F.size("runs") > 0)
+    sizes = F.zip_with("runs", F.slice("gaps", F.lit(1), F.size("runs")), lambda r, g: F.struct(F.char_length(r).alias("run"), F.char_length(g).alias("gap")))
+    # where each run starts: the sum of all gaps and runs before
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    starts = F.aggregate(sizes, zero, lambda a, s: F.struct((a["at"] + s["gap"] + s["run"]).alias("at"), F.array_append(a["starts"], a["at"] + s["gap"]).alias("starts")), lambda a: a["starts"])
+    lefts = F.transform("gaps", lambda g: F.substring(g, -NEAR, NEAR))
+    rights = F.transform("gaps", lambda g: F.substring(g, 1, NEAR))
+    n = F.size("runs")
+    rows = F.arrays_zip(starts.alias("start"), F.col("runs").alias("candidate"), F.slice(lefts, F.lit(1), n).alias("left"), F.slice(rights, F.lit(2), n).alias("right"))
+    return split.select("doc_id", "path", F.explode(rows).alias("f")).select("doc_id", "path", F.col("f.start").cast("long").alias("start"), "f.candidate", "f.left", "f.right")
+
+
+def _before(column: str = "left") -> Column:
+    """The last word before a run, and after it for ``right`` the first."""
+    return F.lower(F.regexp_extract("left", r"(\p{L}{2,})\P{L}*$", 1) if column == "left" else F.regexp_extract("right", r"^\P{L}*(\p{L}{2,})", 1))
 
 
 def dictionary(findings: DataFrame, size: int = DICTIONARY) -> list[str]:
     """The commonest neighbouring words of four letters and more, longest first: ``size`` of them, so few on the driver."""
-    near = findings.select(F.explode(F.array("before", "after")).alias("w")).select(F.lower(F.regexp_extract("w", r"[A-Za-z]{4,}", 0)).alias("w")).where("w <> ''")
+    near = findings.select(F.explode(F.array(_before("left"), _before("right"))).alias("w")).select(F.regexp_extract("w", r"^[a-z]{4,}$", 0).alias("w")).where("w <> ''")
     top = near.groupBy("w").count().orderBy(F.desc("count"), "w").limit(size).collect()
     return sorted((r["w"] for r in top), key=lambda w: (-len(w), w))
 
@@ -52,11 +63,10 @@ def with_features(findings: DataFrame, words: list[str]) -> DataFrame:
     turns = F.char_length(F.regexp_replace(c, r"(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[a-z0-9])|(?<=[0-9])(?=[A-Za-z])", "|")) - F.char_length(c)
     covered = share("(?i)" + "|".join(words)) if words else F.lit(0.0)
     yes = lambda x: F.coalesce(x, F.lit(False)).cast("double")
-    near = F.concat_ws(" ", "before2", "before", "word")
     return findings.withColumns({
         "length": n, "turns": turns / n, "digits": share("[0-9]"), "distinct": F.size(F.array_distinct(F.split(c, ""))) / n, "vowels": share("(?i)[aeiou]"),
-        "coverage": covered, "path": F.pmod(F.xxhash64("path"), F.lit(32)).cast("double"), "keyword": yes(near.rlike(KEYWORDS)),
-        "assigned": yes(near.rlike("[=:]")), "quoted": yes(F.col("word").rlike("[\"'`]")), "prefix": yes(c.rlike(PREFIXES)),
+        "coverage": covered, "path": F.pmod(F.xxhash64("path"), F.lit(32)).cast("double"), "keyword": yes(_before("left").rlike(KEYWORDS)),
+        "assigned": yes(F.col("left").rlike(ASSIGNED)), "quoted": yes(F.col("left").rlike("[\"'`]$")), "prefix": yes(c.rlike(PREFIXES)),
     })
 
 
@@ -65,7 +75,7 @@ def rule_labels(findings: DataFrame) -> DataFrame:
     and digits after a keyword or with a known beginning, 0 for a run without digits or of digits only, null otherwise."""
     c = F.col("candidate")
     mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]")
-    named = F.concat_ws(" ", "before2", "before", "word").rlike(KEYWORDS) & F.concat_ws(" ", "before", "word").rlike("[=:]")
+    named = _before("left").rlike(KEYWORDS) & F.col("left").rlike(ASSIGNED)
     return findings.withColumn("label", F.when(mixed & (named | c.rlike(PREFIXES)), 1.0).when(~mixed, 0.0))
 
 
