@@ -57,7 +57,7 @@ def last_in_slot(df: DataFrame, keys: Sequence[str], fields: Sequence[str], orde
     Few fields are aggregated, many take one window whose sort they share. Rows equal in ``order`` have no defined last.
     """
     if len(fields) < WIDE:
-        place = F.struct(*order)
+        place = F.struct(*order) if len(order) > 1 else F.col(order[0])  # one plain column keeps the aggregation hashed
         return df.groupBy(*keys).agg(*[F.max_by(f, F.when(F.col(f).isNotNull(), place)).alias(f) for f in fields])
     w = Window.partitionBy(*keys).orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -106,8 +106,9 @@ def build(table: DataFrame, spec: ExportSpec, fields: Sequence[FieldDef], days:
         rows = rows.join(only.select("code").distinct(), "code", "left_semi")
     daily = _daily(rows, spec, fields)
     names = [c for c in daily.columns if c not in ("code", "date")]
-    # rows of one day are told apart by their values, so that the last is the same in every run
-    slots = last_in_slot(to_slots(daily, "date", days), ["code", "cal_idx"], names, ["date", *names])
+    # after an aggregation a day has one row; else rows of a day are told apart by their values, so that the last is the same in every run
+    order = ["date"] if spec.agg else ["date", *names]
+    slots = last_in_slot(to_slots(daily, "date", days), ["code", "cal_idx"], names, order)
     priced = [codes.vwap("__amount", "__vol").cast("double").alias(f.name) for f in fields if f.computed == "vwap"]
     kept = [n for n in names if not n.startswith("__")]
     return slots.select(codes.instrument("code", spec.inst_type).alias("instrument"), "code", "cal_idx", *kept, *priced)

@@ -42,13 +42,13 @@ def for_table(all_instruments: DataFrame, kind: str, virtual: str | None = None)
 def constituents(members: DataFrame, gap: int = GAP) -> DataFrame:
     """Membership periods ``(index_code, con_code, start, end)`` from dated lists.
 
-    Dates of a member more than ``gap`` days apart belong to different periods. A period that ends on its index's last
+    Dates of a member more than ``gap`` days apart belong to different periods; repeated dates change nothing. A period that ends on its index's last
     date is open, so its end is the default.
     """
-    rows = members.select("index_code", "con_code", "date").where("date IS NOT NULL").distinct()
+    rows = members.select("index_code", "con_code", "date").where("date IS NOT NULL")
     by_member = Window.partitionBy("index_code", "con_code").orderBy("date")
     opens: Column = F.coalesce(F.datediff("date", F.lag("date").over(by_member)) > gap, F.lit(True))
-    numbered = rows.withColumn("opens", opens.cast("int")).withColumn("period", F.sum("opens").over(by_member))
+    numbered = rows.withColumn("opens", opens.cast("int")).withColumn("period", F.sum("opens").over(by_member.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     spans = numbered.groupBy("index_code", "con_code", "period").agg(F.min("date").alias("start"), F.max("date").alias("last"))
     # a row for each index: few
     latest = rows.groupBy("index_code").agg(F.max("date").alias("latest"))
