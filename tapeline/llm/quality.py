@@ -95,7 +95,7 @@ def fit(stats: DataFrame, labels: DataFrame, max_rejection: float = 0.02, alpha:
     """Cutoffs ``(stratum, rule, side, cutoff, rejected, holdout, bound, is_used)``.
 
     Good documents of ``labels(doc_id, quality)`` are halved by a hash of doc_id. The first half proposes cutoffs, its
-    quantiles at ``levels``; on the other half each is judged by the exact binomial bound of its false rejections, at
+    approximate quantiles at ``levels``; on the other half each is judged by the exact binomial bound of its false rejections, at
     alpha divided by the number of all tests, strata times rules times levels (Bonferroni). The strictest cutoff whose
     bound is at most the rule's share of ``max_rejection`` is used; a rule without one isn't applied in that stratum. A
     null stratum is the stratum ''; rows of labels that repeat a doc_id count once.
@@ -104,7 +104,7 @@ def fit(stats: DataFrame, labels: DataFrame, max_rejection: float = 0.02, alpha:
     rows = rates(stats).join(good, "doc_id")
     long = rows.select("stratum", (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)) == 1).alias("judge"), F.explode(F.array(*[
         F.struct(F.lit(r).alias("rule"), F.lit(s).alias("side"), (F.col(r) * s).alias("v")) for r, s in RULES.items()])).alias("x")).select("stratum", "judge", "x.*")
-    proposed = long.where("not judge").groupBy("stratum", "rule", "side").agg(F.percentile("v", F.array(*map(F.lit, levels))).alias("q"))
+    proposed = long.where("not judge").groupBy("stratum", "rule", "side").agg(F.percentile_approx("v", F.array(*map(F.lit, levels)), F.lit(10_000)).alias("q"))
     cuts = proposed.select("stratum", "rule", "side", F.posexplode("q").alias("level", "cut"))
     judged = long.where("judge").join(proposed, ["stratum", "rule", "side"]).select("stratum", "rule", "side", *[(F.col("v") > F.col("q")[i]).cast("int").alias(f"r{i}") for i in range(len(levels))])
     seen = judged.groupBy("stratum", "rule", "side").agg(F.count("*").alias("holdout"), F.array(*[F.sum(f"r{i}") for i in range(len(levels))]).alias("k"))
