@@ -2,36 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeline.sources.paths import fresh_path
+
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 ROWS = 256
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, from ``spark.checkpoint.dir``.
-
-    Where it is unset, as in tests, a local session gets a temporary folder; elsewhere it is an error.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here and lost executors cost nothing."""
     path = fresh_path(df.sparkSession, name)
