@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.catalog import ExportSpec, FieldDef
+from tapeline.catalog import ExportSpec, FieldDef, TableSpec
 from tapeline.functions import codes, dates
 from tapeline.operators import calendar, features, quality, upsert, worklist
 from tapeline.plans.inputs import BARS, CODE_OF, CODES, DATES, LOG, NOW, bars, calendar_table, code, days, log, query, read, supplier_codes
 from tapeline.sources import landing, paths
+from tapeline.streaming.ingest import ingest
 
 
 def now():
@@ -348,3 +349,17 @@ def domain_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of a driver table under filters, once each."""
     found = bars(spark, sf_dir).where("inst % 3 <> 0").select(code("inst").alias("code"))
     return worklist.expected_by_domain(found, worklist.periods(days(spark, sf_dir), "once"), F.lit("holders")).select("date_val")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS ts_code, CAST(o_orderdate AS DATE) AS trade_date, o_totalprice AS val FROM orders WHERE o_orderkey % 7 <> 0")
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as payload files, a seventh of them errors, read as a stream and merged into a table by month."""
+    o = read(spark, sf_dir, "orders")
+    fields = {"ts_code": F.col("o_orderkey").cast("string"), "trade_date": F.date_format("o_orderdate", "yyyyMMdd"), "val": F.col("o_totalprice").cast("string")}
+    data = F.struct(F.array(*map(F.lit, fields)).alias("fields"), F.array(F.array(*fields.values())).alias("items"))
+    lines = o.select(F.to_json(F.struct(F.when(F.col("o_orderkey") % 7 == 0, -1).otherwise(0).alias("code"), F.lit("").alias("msg"), data.alias("data"))).alias("value"))
+    base = paths.fresh_path(spark, "stream")
+    lines.write.text(f"{base}/landed")
+    spec = TableSpec("orders", ("ts_code", "trade_date"), "trade_date", "trade_date")
+    ingest(spark, f"{base}/landed", f"{base}/table", f"{base}/rejects", spec, {"ts_code": "string", "trade_date": "date", "val": "double"}, f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema("ts_code string, trade_date date, val double").parquet(f"{base}/table")
