@@ -362,4 +362,4 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines.write.text(f"{base}/landed")
     spec = TableSpec("orders", ("ts_code", "trade_date"), "trade_date", "trade_date")
     ingest(spark, f"{base}/landed", f"{base}/table", f"{base}/rejects", spec, {"ts_code": "string", "trade_date": "date", "val": "double"}, f"{base}/checkpoint").awaitTermination()
-    return spark.read.schema("ts_code string, trade_date date, val double").parquet(f"{base}/table")
+    return spark.read.parquet(f"{base}/table").select("ts_code", "trade_date", "val")
