@@ -74,3 +74,13 @@ def always_again(log: DataFrame, year: str) -> DataFrame:
 def stale_ranges(stale: DataFrame) -> DataFrame:
     """First, last and number of stale days for each table."""
     return stale.groupBy("table_name").agg(F.min("date_val").alias("first_val"), F.max("date_val").alias("last_val"), F.count("*").alias("n"))
+
+
+def preview(parts: dict[str, DataFrame], log: DataFrame) -> DataFrame:
+    """What a load would do: partitions, and those still to load, for each table and strategy; ``parts`` has expected partitions by strategy."""
+    out = None
+    for strategy, expected in parts.items():
+        own = expected.select(*LOG_KEY).withColumn("strategy", F.lit(strategy))
+        out = own if out is None else out.unionByName(own)
+    done = log.where(F.col("ok").isin(LOADED, EMPTY)).select(*LOG_KEY, F.lit(1).alias("done"))
+    return out.join(done, LOG_KEY, "left").groupBy("table_name", "strategy").agg(F.count("*").alias("n_expected"), F.count_if(F.col("done").isNull()).alias("n_pending"))

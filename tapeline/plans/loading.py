@@ -247,6 +247,13 @@ def pending_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.pending_domain(_expected_months(spark, sf_dir), log(spark, sf_dir)).select("table_name", "date_val")
 
 
+@query(f"""WITH {EXPECTED_LOG}, {DATES}, years AS (SELECT DISTINCT 'orders' AS table_name, strftime(d, '%Y') AS date_val FROM cal)
+           SELECT e.table_name, 'domain' AS strategy, count(*) AS n_expected, count(*) FILTER (l.ok IS NULL OR l.ok NOT IN (1, 2)) AS n_pending FROM expected e LEFT JOIN log l USING (table_name, date_val) GROUP BY 1 UNION ALL
+           SELECT table_name, 'date_range', count(*), count(*) FROM years GROUP BY 1""")
+def plan_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return worklist.preview({"domain": _expected_months(spark, sf_dir), "date_range": worklist.expected_by_year(days(spark, sf_dir), F.lit("orders"))}, log(spark, sf_dir))
+
+
 KEYED = f"""{LOG}, keyed AS (SELECT table_name, last_try, CASE CAST(date_val AS INTEGER) % 5 WHEN 0 THEN 'trade_date' WHEN 1 THEN 'date_range' WHEN 2 THEN 'freq' WHEN 3 THEN 'domain' ELSE 'once' END AS strategy,
             CASE CAST(date_val AS INTEGER) % 5 WHEN 0 THEN strftime(last_try, '%Y%m%d') WHEN 1 THEN strftime(last_try, '%Y') WHEN 2 THEN strftime(last_try, '%Y%m%d') || '_W' WHEN 3 THEN table_name || '_' || date_val ELSE '__once__' END AS key FROM log)"""
 
