@@ -19,15 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeline.llm._shared import chunks, drop_staged, fresh_path, stage
+from tapeline.llm._shared import chunks, drop_staged, stage
+from tapeline.sources.paths import fresh_path
 
 WINDOW = 13
 #: Words of the parts whose least hash stands for a window.
 PART = 6
 #: Runs of one level that are compacted into one of the next.
 FANOUT = 2
-#: Slices into which equal windows are cut before the first document of each is sought.
-SALTS = 16
 
 _MIX = [np.array([xxhash.xxh64_intdigest(b"%d" % i, s) | 1 for i in range(64)], np.uint64) for s in (1, 2, 3)]
 
@@ -39,59 +38,115 @@ def _finish(x: np.ndarray) -> np.ndarray:
 
 
 def _rolling(hashes: np.ndarray, size: int, mix: np.ndarray) -> np.ndarray:
-    """A hash of every ``size`` consecutive word hashes."""
+    """A hash of every ``size`` consecutive word hashes: a sum with random odd factors, mixed once more."""
     n = len(hashes) - size + 1
     out = np.zeros(n, np.uint64)
     for j in range(size):
-        out += _finish(hashes[j : j + n] ^ mix[j]) * mix[j + 1]
+        out += hashes[j : j + n] * mix[j]
     return _finish(out)
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
-
-def _anchors(hashes: np.ndarray, window: int, part: int) -> np.ndarray:
-    """For each window, the least hash of its parts."""
-    parts = _rolling(hashes, part, _MIX[0])
-    return np.lib.stride_tricks.sliding_window_view(parts, window - part + 1).min(1)
+class _Chunk:
+    """The word hashes of some texts in one array, so that each step is one pass over all of them."""
+
+    def __init__(self, texts: list[bytes | None], window: int, part: int):
+        words = [(t or b"").split() for t in texts]
+        self.window = window
+        self.words = words
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        flat = [w for own in words for w in own]
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, flat), np.uint64, len(flat))
+        n_windows = np.maximum(self.sizes - window + 1, 0)
+        first = np.cumsum(self.sizes) - self.sizes
+        #: of every window: its text, its place in the text and in the array
+        self.text = np.repeat(np.arange(len(texts)), n_windows)
+        self.pos = np.arange(len(self.text)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+        self.at = self.pos + first[self.text]
+        self.anchors = np.empty(0, np.uint64)
+        if len(self.text):
+            parts = _rolling(self.hashes, part, _MIX[0])
+            least = parts
+            for j in range(1, window - part + 1):
+                least = np.minimum(least[:-1], parts[j:])
+            self.anchors = least[self.at]
+
+    def windows(self, which: np.ndarray, mix: np.ndarray) -> np.ndarray:
+        return _rolling(self.hashes, self.window, mix)[self.at[which]]
 
 
 def _postings(batches: Iterator[pa.RecordBatch], window: int, part: int) -> Iterator[pa.RecordBatch]:
     for ids, texts in chunks(batches, "doc_id", "text"):
-        hs, docs, whole = [], [], []
-        for doc_id, raw in zip(ids, texts, strict=True):
-            words = (raw or b"").split()
-            if len(words) < window:
-                continue
-            own = np.unique(_anchors(_word_hashes(words), window, part))
-            text = xxhash.xxh3_128_intdigest(b" ".join(words))
-            hs.append(np.concatenate([own, np.array([text & (2**64 - 1)], np.uint64)]))
-            whole.append(np.concatenate([np.zeros(len(own), np.uint64), np.array([text >> 64 | 1], np.uint64)]))
-            docs.append(np.full(len(own) + 1, doc_id, np.int64))
-        if hs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (hs, whole, docs)], names=["h", "whole", "doc_id"])
+        c = _Chunk(texts, window, part)
+        if not len(c.anchors):
+            continue
+        new = np.concatenate([[True], (c.anchors[1:] != c.anchors[:-1]) | (c.text[1:] != c.text[:-1])])  # neighbours mostly share theirs
+        text, anchor = c.text[new], c.anchors[new]
+        order = np.lexsort((anchor, text))
+        text, anchor = text[order], anchor[order]
+        once = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])])
+        text, anchor = text[once], anchor[once]
+        long = np.flatnonzero(c.sizes >= window)
+        whole = [xxhash.xxh3_128_intdigest(b" ".join(c.words[i])) for i in long]
+        h = np.concatenate([anchor, np.array([w & (2**64 - 1) for w in whole], np.uint64)])
+        kind = np.concatenate([np.zeros(len(anchor), np.uint64), np.array([w >> 64 | 1 for w in whole], np.uint64)])
+        docs = np.array(ids, np.int64)[np.concatenate([text, long])]
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(kind.view(np.int64)), pa.array(docs)], names=["h", "whole", "doc_id"])
+
+
+#: Candidate windows that a task compares among themselves before it passes them on.
+HELD = 500_000
+
+
+def _lists(values: np.ndarray, starts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)).astype(np.int32)), pa.array(values.astype(np.int32)))
+
+
+def _settled(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """Windows to compare with other tasks', one row for each with the places in its first document, and those that are
+    settled, as an earlier document of the same task has them: one row per document. This keeps a window that very many
+    documents share, or one document repeats, from meeting in one task."""
+    a, b, docs, pos = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.lexsort((pos, docs, b, a))
+    a, b, docs, pos = a[order], b[order], docs[order], pos[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    first = docs[new][np.cumsum(new) - 1] == docs
+    starts = np.flatnonzero(new[first])
+    yield pa.RecordBatch.from_arrays([pa.array(a[new].view(np.int64)), pa.array(b[new].view(np.int64)), pa.array(docs[new]), _lists(pos[first], starts), pa.array(np.zeros(int(new.sum()), bool))], names=["a", "b", "doc_id", "pos", "late"])
+    docs, pos = docs[~first], pos[~first]
+    if len(docs):
+        order = np.argsort(docs, kind="stable")
+        docs, pos = docs[order], pos[order]
+        starts = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
+        own = docs[starts]
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.arange(len(own))), pa.array(own), _lists(pos, starts), pa.array(np.ones(len(own), bool))], names=["a", "b", "doc_id", "pos", "late"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int, part: int) -> Iterator[pa.RecordBatch]:
     """Two hashes of each whole window whose fingerprint is a candidate of its document."""
+    held: list[tuple[np.ndarray, ...]] = []
+    n = 0
     for ids, texts, wanted in chunks(batches, "doc_id", "text", "hs"):
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        for doc_id, raw, hs in zip(ids, texts, wanted, strict=True):
-            hashes = _word_hashes((raw or b"").split())
-            at = np.flatnonzero(np.isin(_anchors(hashes, window, part), np.array(hs, np.int64).view(np.uint64)))
-            for k, mix in enumerate(_MIX[1:]):
-                out[k].append(_rolling(hashes, window, mix)[at].view(np.int64))
-            out[2].append(np.full(len(at), doc_id, np.int64))
-            out[3].append(at.astype(np.int32))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["a", "b", "doc_id", "pos"])
+        c = _Chunk(texts, window, part)
+        # a text's own candidates: the text is mixed in; a chance hit is one more window to compare
+        salt = _finish(np.arange(1, len(texts) + 1, dtype=np.uint64))
+        keys = np.array([h for own in wanted for h in own], np.int64).view(np.uint64) ^ np.repeat(salt, [len(own) for own in wanted])
+        which = np.flatnonzero(np.isin(c.anchors ^ salt[c.text], keys))
+        held.append((c.windows(which, _MIX[1]), c.windows(which, _MIX[2]), np.array(ids, np.int64)[c.text[which]], c.pos[which]))
+        n += len(which)
+        if n >= HELD:
+            yield from _settled(held)
+            held, n = [], 0
+    if n:
+        yield from _settled(held)
 
 
 def covered(n: int, starts: list[int], window: int) -> np.ndarray:
-    """Which of n words a window at one of ``starts`` covers."""
+    """Which of n words a window at one of ``starts`` covers; starts beyond the text, of another row of its id, don't count."""
+    at = np.array(starts, np.int64)
+    at = at[at < n]
     edge = np.zeros(n + window + 1, np.int32)
-    np.add.at(edge, np.array(starts, np.int64), 1)
-    np.add.at(edge, np.array(starts, np.int64) + window, -1)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + window, -1)
     return np.cumsum(edge)[:n] > 0
 
 
@@ -181,10 +236,10 @@ class FingerprintIndex:
         copies = whole.join(first, ["h", "whole"]).where("doc_id > lo").select("doc_id").distinct()
         wanted = found.where("whole = 0").join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("h").alias("hs"))  # a document's own
         texts = history.select("doc_id", "text").unionByName(batch.select("doc_id", "text"))
-        rows = texts.join(wanted, "doc_id").mapInArrow(lambda it: _windows(it, window, part), "a bigint, b bigint, doc_id bigint, pos int")
-        ordered = Window.partitionBy("a", "b").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        late = rows.withColumn("lo", F.first("doc_id").over(ordered)).where("doc_id > lo")
-        hits = late.groupBy("doc_id").agg(F.collect_list("pos").alias("starts"))
+        rows = texts.join(wanted, "doc_id").mapInArrow(lambda it: _windows(it, window, part), "a bigint, b bigint, doc_id bigint, pos array<int>, late boolean")
+        ordered = Window.partitionBy("late", "a", "b").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        late = rows.withColumn("lo", F.first("doc_id").over(ordered)).where("late OR doc_id > lo")
+        hits = late.groupBy("doc_id").agg(F.flatten(F.collect_list("pos")).alias("starts"))
         flags = hits.select("doc_id", F.lit(False).alias("is_copy"), "starts").unionByName(copies.select("doc_id", F.lit(True).alias("is_copy"), F.array().cast("array<int>").alias("starts")))
         out = stage(flags.join(batch.select("doc_id"), "doc_id", "left_semi"), "flags")
         drop_staged(found)
@@ -198,9 +253,9 @@ class FingerprintIndex:
 def deduplicate(docs: DataFrame, batches: int = 2, window: int = WINDOW, part: int = PART, texts: bool = True) -> DataFrame:
     """Remove from each document the words of windows that a document of smaller doc_id has, batch by batch.
 
-    ``docs(doc_id, text)``, doc_id unique, is dealt to ``batches`` ranges of doc_id, each indexed after it is judged. One row per document:
+    ``docs(doc_id, text)`` is dealt to ``batches`` ranges of doc_id, each indexed after it is judged. One row per document:
     n_words, n_removed, kept_sha256 and, unless ``texts`` is false, the kept words joined by a space. Windows are judged
-    on the input. Null, empty and short texts have no window and lose nothing. Other columns are ignored.
+    on the input. Rows of equal doc_id count as one document and each get a row. Null, empty and short texts have no window and lose nothing. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
     cuts = [i / batches for i in range(1, batches)]
