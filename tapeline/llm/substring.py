@@ -39,7 +39,7 @@ def _finish(x: np.ndarray) -> np.ndarray:
 
 def _rolling(hashes: np.ndarray, size: int, mix: np.ndarray) -> np.ndarray:
     """A hash of every ``size`` consecutive word hashes: a sum with random odd factors, mixed once more."""
-    n = len(hashes) - size + 1
+    n = max(0, len(hashes) - size + 1)
     out = np.zeros(n, np.uint64)
     for j in range(size):
         out += hashes[j : j + n] * mix[j]
@@ -222,32 +222,37 @@ class FingerprintIndex:
                 drop_staged(old)
             level += 1
 
-    def add(self, history: DataFrame, batch: DataFrame, last: bool = False) -> DataFrame:
-        """Flags ``(doc_id, is_copy, starts)`` of the batch's documents that hold an earlier document's window.
+    def add(self, history: DataFrame, batch: DataFrame, texts: bool = True, last: bool = False) -> DataFrame:
+        """The batch's documents without the windows that an earlier document has, as :func:`deduplicate` returns them.
 
         ``history`` has the texts of the documents in the index, all of smaller doc_id, against which candidates are
-        verified. ``last``: no batch follows, so the run is not inserted.
+        verified. ``last``: no batch follows, so the run is not inserted. The batch's texts are dealt by doc_id once, for
+        the verification and for the removal alike.
         """
         window, part = self.window, self.part
         new = self.build_run(batch)
         found = stage(self.candidates(new).distinct(), "found")
+        if last:
+            drop_staged(new)
+        else:
+            self.insert(new)
         whole = found.where("whole <> 0")
         first = whole.groupBy("h", "whole").agg(F.min("doc_id").alias("lo"))
         copies = whole.join(first, ["h", "whole"]).where("doc_id > lo").select("doc_id").distinct()
         wanted = found.where("whole = 0").join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("h").alias("hs"))  # a document's own
-        texts = history.select("doc_id", "text").unionByName(batch.select("doc_id", "text"))
-        rows = texts.join(wanted, "doc_id").mapInArrow(lambda it: _windows(it, window, part), "a bigint, b bigint, doc_id bigint, pos array<int>, late boolean")
+
+        def windows(docs: DataFrame) -> DataFrame:
+            return docs.join(wanted, "doc_id").mapInArrow(lambda it: _windows(it, window, part), "a bigint, b bigint, doc_id bigint, pos array<int>, late boolean")
+
         ordered = Window.partitionBy("late", "a", "b").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        late = rows.withColumn("lo", F.first("doc_id").over(ordered)).where("late OR doc_id > lo")
+        late = windows(history).unionByName(windows(batch)).withColumn("lo", F.first("doc_id").over(ordered)).where("late OR doc_id > lo")
         hits = late.groupBy("doc_id").agg(F.flatten(F.collect_list("pos")).alias("starts"))
         flags = hits.select("doc_id", F.lit(False).alias("is_copy"), "starts").unionByName(copies.select("doc_id", F.lit(True).alias("is_copy"), F.array().cast("array<int>").alias("starts")))
-        out = stage(flags.join(batch.select("doc_id"), "doc_id", "left_semi"), "flags")
-        drop_staged(found)
-        if last:
-            drop_staged(new)
-        else:
-            self.insert(new)
-        return out
+        return _removed(batch.join(flags, "doc_id", "left"), window, texts)
+
+
+def _removed(marked: DataFrame, window: int, texts: bool) -> DataFrame:
+    return marked.mapInArrow(lambda it: _remove(it, window, texts), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
 def deduplicate(docs: DataFrame, batches: int = 2, window: int = WINDOW, part: int = PART, texts: bool = True) -> DataFrame:
@@ -255,17 +260,20 @@ def deduplicate(docs: DataFrame, batches: int = 2, window: int = WINDOW, part: i
 
     ``docs(doc_id, text)`` is dealt to ``batches`` ranges of doc_id, each indexed after it is judged. One row per document:
     n_words, n_removed, kept_sha256 and, unless ``texts`` is false, the kept words joined by a space. Windows are judged
-    on the input. Rows of equal doc_id count as one document and each get a row. Null, empty and short texts have no window and lose nothing. Other columns are ignored.
+    on the input. Rows of equal doc_id count as one document and each get a row; rows without one are nobody's earlier
+    document and lose nothing. Null, empty and short texts have no window and lose nothing. Other columns are ignored.
     """
     docs = docs.select("doc_id", "text")
     cuts = [i / batches for i in range(1, batches)]
     bounds = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, cuts)), F.lit(10_000)).alias("q")).first()["q"] if cuts else []
     bounds = [None, *sorted(set(bounds or [])), None]
-    index, flags = FingerprintIndex(docs.sparkSession, window, part), []
+    index = FingerprintIndex(docs.sparkSession, window, part)
+    unnamed = docs.where("doc_id IS NULL").withColumns({"is_copy": F.lit(False), "starts": F.array().cast("array<int>")})
+    out = [_removed(unnamed, window, texts)]
     for k, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
         history = docs.where(F.col("doc_id") <= low) if low is not None else docs.where("false")
-        batch = docs if low is None else docs.where(F.col("doc_id") > low)
+        batch = docs.where("doc_id IS NOT NULL")
+        batch = batch if low is None else batch.where(F.col("doc_id") > low)
         batch = batch if high is None else batch.where(F.col("doc_id") <= high)
-        flags.append(index.add(history, batch, last=k == len(bounds) - 2))
-    marked = docs.join(reduce(DataFrame.unionByName, flags), "doc_id", "left")
-    return marked.mapInArrow(lambda it: _remove(it, window, texts), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+        out.append(index.add(history, batch, texts, last=k == len(bounds) - 2))
+    return reduce(DataFrame.unionByName, out)

@@ -70,3 +70,9 @@ def test_extra_columns_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "a " * 20, 1, "x"), (2, "a " * 20, 2, "y")], "doc_id bigint, text string, starts int, is_copy string")
     assert sorted((r["doc_id"], r["n_removed"]) for r in substring.deduplicate(docs).collect()) == [(1, 0), (2, 20)]
     assert substring.deduplicate(docs.limit(0)).count() == 0
+
+
+def test_rows_of_one_id(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l m n"), (2, "x y a b c d e f g h i j k l m n"), (2, "z"), (2, "z"), (None, "a b c d e f g h i j k l m n")], DOCS)
+    got = [(r["doc_id"], r["n_words"], r["n_removed"]) for r in substring.deduplicate(docs).collect()]
+    assert len(got) == 5 and {(1, 14, 0), (2, 1, 0), (2, 16, 14), (None, 14, 0)} <= {*got, (2, 1, 0)}
