@@ -30,20 +30,25 @@ def drop_staged(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
-    """Python lists of the named columns, some rows at a time; strings come as UTF-8 bytes."""
+def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows."""
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
-            part = batch.slice(start, ROWS)
-            out = []
-            for name in columns:
-                col = part.column(name)
-                if pa.types.is_string(col.type):
-                    col = col.cast(pa.binary())
-                elif pa.types.is_large_string(col.type):
-                    col = col.cast(pa.large_binary())
-                out.append(col.to_pylist())
-            yield tuple(out)
+            yield batch.slice(start, ROWS)
+
+
+def chunks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
+    """Python lists of the named columns, some rows at a time; strings come as UTF-8 bytes."""
+    for part in rows(batches):
+        out = []
+        for name in columns:
+            col = part.column(name)
+            if pa.types.is_string(col.type):
+                col = col.cast(pa.binary())
+            elif pa.types.is_large_string(col.type):
+                col = col.cast(pa.large_binary())
+            out.append(col.to_pylist())
+        yield tuple(out)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

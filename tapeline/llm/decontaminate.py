@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm._shared import chunks
+from tapeline.llm._shared import chunks, rows
 
 WINDOW = 10
 #: Bytes of benchmark text that one automaton may hold. A larger benchmark is cut into blocks, each with its own scan.
@@ -87,6 +87,15 @@ def _scan(batches: Iterator[pa.RecordBatch], items: list[tuple[str, str | None]]
         yield pa.RecordBatch.from_pylist(out, schema=SCHEMA)
 
 
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The items in blocks of about ``block_bytes``, drawn by a hash; at least one block."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = -(-total // block_bytes) or 1
+    for k in range(n):
+        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Find windows of ``benchmark(item_id, text)`` in ``docs(doc_id, text)``; other columns are ignored.
 
@@ -96,14 +105,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes:
     text is scanned once. With more blocks the rows of a document are merged by an aggregation on ``doc_id``, which must
     then be unique.
     """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // block_bytes) or 1
-    parts = []
-    for k in range(n):
-        block = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]  # about block_bytes
-        parts.append(docs.select("doc_id", "text").mapInArrow(lambda it, block=block: _scan(it, block, size), DDL))
-    if n == 1:
+    parts = [docs.select("doc_id", "text").mapInArrow(lambda it, block=block: _scan(it, block, size), DDL) for block in _blocks(benchmark, block_bytes)]
+    if len(parts) == 1:
         return parts[0]
     merged = parts[0]
     for part in itertools.islice(parts, 1, None):
@@ -112,7 +115,19 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes:
     return merged.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), flat("hit_words").alias("hit_words"), flat("item_ids").alias("item_ids"), flat("spans").alias("spans"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark window occurs, with all their columns. Null texts are kept."""
-    marks = scan(docs, benchmark, size).where(F.size("hit_words") > 0).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(marks, docs["doc_id"].eqNullSafe(marks["__hit"]), "left_anti")
+def _clean(batches: Iterator[pa.RecordBatch], items: list[tuple[str, str]], size: int) -> Iterator[pa.RecordBatch]:
+    machine = _automaton(items, size)
+    for part in rows(batches):
+        keep = []
+        for text in part.column("text").cast(pa.binary()).to_pylist():
+            words = (text or b"").translate(NORMAL).split()
+            found = next(machine.iter(f" {b' '.join(words).decode('latin-1')} "), None) if words and len(machine) else None
+            keep.append(found is None)
+        yield part.filter(pa.array(keep, pa.bool_()))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark window occurs, with all their columns, without a shuffle. Null texts are kept."""
+    for block in _blocks(benchmark, block_bytes):
+        docs = docs.mapInArrow(lambda it, block=block: _clean(it, block, size), docs.schema)
+    return docs

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm._shared import chunks
+from tapeline.llm._shared import chunks, rows
 
 #: n-grams are this many bytes of the lower-cased text, everything but letters turned into single spaces.
 GRAM = 3
@@ -118,9 +118,9 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
 
     The driver gets a sum for each language and cell, so its size depends on the number of languages only.
     """
-    rows = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    share = min(1.0, train_rows / max(1, rows.count()))
-    drawn = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1_000_000)) / 1e6 < share)
+    known = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
+    share = min(1.0, train_rows / max(1, known.count()))
+    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1_000_000)) / 1e6 < share)
     sums = drawn.select("text", "lang").mapInArrow(_counts, "lang string, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(sums["lang"].unique()))
     # a text of no known language draws its n-grams evenly from all cells
@@ -153,7 +153,17 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(lambda it: _infer(it, held), "doc_id bigint, lang_pred string, score double, mixture map<string,double>, unknown double")
 
 
+def _known(batches: Iterator[pa.RecordBatch], held, max_unknown: float) -> Iterator[pa.RecordBatch]:
+    model = held.value
+    for part in rows(batches):
+        found = [infer(model, t) for t in part.column("text").to_pylist()]
+        yield part.filter(pa.array([g.language != "und" and g.unknown <= max_unknown for g in found], pa.bool_()))
+
+
 def known_language(docs: DataFrame, model: Model, max_unknown: float = 0.5) -> DataFrame:
-    """``docs`` without texts of no language: without a letter, or with over ``max_unknown`` of their n-grams of none."""
-    found = predict(docs, model).where((F.col("lang_pred") == "und") | (F.col("unknown") > max_unknown)).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__gone"]), "left_anti")
+    """``docs`` without texts of no language: without a letter, or with over ``max_unknown`` of their n-grams of none.
+
+    Rows pass with all their columns, without a shuffle.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(model)  # cells times languages
+    return docs.mapInArrow(lambda it: _known(it, held, max_unknown), docs.schema)
