@@ -222,18 +222,25 @@ class FingerprintIndex:
                 drop_staged(old)
             level += 1
 
+    def drop(self) -> None:
+        """Delete all runs; what :meth:`add` returned before doesn't read them."""
+        for run in self.runs:
+            drop_staged(run)
+        self.levels = [[]]
+
     def add(self, history: DataFrame, batch: DataFrame, texts: bool = True, last: bool = False) -> DataFrame:
         """The batch's documents without the windows that an earlier document has, as :func:`deduplicate` returns them.
 
         ``history`` has the texts of the documents in the index, all of smaller doc_id, against which candidates are
-        verified. ``last``: no batch follows, so the run is not inserted. The batch's texts are dealt by doc_id once, for
+        verified. ``last``: no batch follows, so the index goes. The batch's texts are dealt by doc_id once, for
         the verification and for the removal alike.
         """
         window, part = self.window, self.part
         new = self.build_run(batch)
         found = stage(self.candidates(new).distinct(), "found")
         if last:
-            drop_staged(new)
+            self.levels = [[*self.runs, new]]
+            self.drop()
         else:
             self.insert(new)
         whole = found.where("whole <> 0")
