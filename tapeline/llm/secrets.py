@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 CANDIDATE = r"(?<![A-Za-z0-9_+/.\-])[A-Za-z0-9_+/.\-]{16,}+={0,2}"
 #: Characters before and after a run in which its neighbours are sought.
 NEAR = 64
+#: Characters that a run has at least, and how many runs so many characters can touch.
+MIN_RUN = 16
+BACK = NEAR // MIN_RUN
 #: Words before which an assigned value is mostly a secret.
 KEYWORDS = r"(?i)(token|secret|passw(or)?d|passwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer)"
 #: How well-known secrets begin.
@@ -28,16 +31,21 @@ FEATURES = ["length", "turns", "digits", "distinct", "vowels", "coverage", "path
 def candidates(docs: DataFrame) -> DataFrame:
     """Findings ``(doc_id, path, start, candidate, left, right)`` in whole texts of ``docs(doc_id, text, source)``.
 
-    ``start`` counts characters of the original text; ``left`` and ``right`` are what stands next to the run. A text is
-    split at its runs, so the work is in proportion to its length. Null texts yield nothing.
+    ``start`` counts characters of the original text; ``left`` and ``right`` are the NEAR characters next to the run,
+    other runs included. A text is split at its runs, so the work is in proportion to its length. Null texts yield nothing.
     """
     split = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("runs"), F.split("text", CANDIDATE, -1).alias("gaps")).where(F.size("runs") > 0)
     sizes = F.zip_with("runs", F.slice("gaps", F.lit(1), F.size("runs")), lambda r, g: F.struct(F.char_length(r).alias("run"), F.char_length(g).alias("gap")))
     # where each run starts: the sum of all gaps and runs before
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
     starts = F.aggregate(sizes, zero, lambda a, s: F.struct((a["at"] + s["gap"] + s["run"]).alias("at"), F.array_append(a["starts"], a["at"] + s["gap"]).alias("starts")), lambda a: a["starts"])
-    lefts = F.transform("gaps", lambda g: F.substring(g, -NEAR, NEAR))
-    rights = F.transform("gaps", lambda g: F.substring(g, 1, NEAR))
+    # NEAR characters reach over BACK runs at most, as each has MIN_RUN or more
+    pieces = F.zip_with(F.transform("gaps", lambda g: F.right(g, F.lit(NEAR))), F.transform("runs", lambda r: F.right(r, F.lit(NEAR))), lambda g, r: F.concat(g, F.coalesce(r, F.lit(""))))
+    heads = F.zip_with(F.transform("runs", lambda r: F.left(r, F.lit(NEAR))), F.transform(F.slice("gaps", F.lit(2), F.size("runs")), lambda g: F.left(g, F.lit(NEAR))), lambda r, g: F.concat(r, g))
+    at = lambda xs, i: F.coalesce(F.when(i >= 0, F.get(xs, i)), F.lit(""))
+    lefts = F.transform("gaps", lambda g, i: F.right(F.concat(*[at(F.col("pieces"), i - k) for k in range(BACK, 0, -1)], F.right(g, F.lit(NEAR))), F.lit(NEAR)))
+    rights = F.transform("gaps", lambda g, i: F.left(F.concat(F.left(g, F.lit(NEAR)), *[at(F.col("heads"), i + k) for k in range(BACK)]), F.lit(NEAR)))
+    split = split.withColumns({"pieces": pieces, "heads": heads})
     n = F.size("runs")
     rows = F.arrays_zip(starts.alias("start"), F.col("runs").alias("candidate"), F.slice(lefts, F.lit(1), n).alias("left"), F.slice(rights, F.lit(2), n).alias("right"))
     return split.select("doc_id", "path", F.explode(rows).alias("f")).select("doc_id", "path", F.col("f.start").cast("long").alias("start"), "f.candidate", "f.left", "f.right")
@@ -48,6 +56,12 @@ def _before(column: str = "left") -> Column:
     return F.lower(F.regexp_extract("left", r"(\p{L}{2,})\P{L}*$", 1) if column == "left" else F.regexp_extract("right", r"^\P{L}*(\p{L}{2,})", 1))
 
 
+def _named() -> Column:
+    """Whether the identifier before a run, or the word before that, is a keyword; blanks and marks count as underscores."""
+    near = F.regexp_extract("left", r"((?:[\p{L}\p{N}_\-]+[^\p{L}\p{N}_\-]+)?[\p{L}\p{N}_\-]+)[^\p{L}\p{N}_\-]*$", 1)
+    return F.regexp_replace(near, r"[^\p{L}\p{N}\-]+", "_").rlike(KEYWORDS)
+
+
 def dictionary(findings: DataFrame, size: int = DICTIONARY) -> list[str]:
     """The commonest neighbouring words of four letters and more, longest first: ``size`` of them, so few on the driver."""
     near = findings.select(F.explode(F.array(_before("left"), _before("right"))).alias("w")).select(F.regexp_extract("w", r"^[a-z]{4,}$", 0).alias("w")).where("w <> ''")
@@ -65,7 +79,7 @@ def with_features(findings: DataFrame, words: list[str]) -> DataFrame:
     yes = lambda x: F.coalesce(x, F.lit(False)).cast("double")
     return findings.withColumns({
         "length": n, "turns": turns / n, "digits": share("[0-9]"), "distinct": F.size(F.array_distinct(F.split(c, ""))) / n, "vowels": share("(?i)[aeiou]"),
-        "coverage": covered, "path": F.pmod(F.xxhash64("path"), F.lit(32)).cast("double"), "keyword": yes(_before("left").rlike(KEYWORDS)),
+        "coverage": covered, "path": F.pmod(F.xxhash64("path"), F.lit(32)).cast("double"), "keyword": yes(_named()),
         "assigned": yes(F.col("left").rlike(ASSIGNED)), "quoted": yes(F.col("left").rlike("[\"'`]$")), "prefix": yes(c.rlike(PREFIXES)),
     })
 
@@ -75,7 +89,7 @@ def rule_labels(findings: DataFrame) -> DataFrame:
     and digits after a keyword or with a known beginning, 0 for a run without digits or of digits only, null otherwise."""
     c = F.col("candidate")
     mixed = c.rlike("[0-9]") & c.rlike("[A-Za-z]")
-    named = _before("left").rlike(KEYWORDS) & F.col("left").rlike(ASSIGNED)
+    named = _named() & F.col("left").rlike(ASSIGNED)
     return findings.withColumn("label", F.when(mixed & (named | c.rlike(PREFIXES)), 1.0).when(~mixed, 0.0))
 
 

@@ -44,3 +44,28 @@ def test_cases(spark):
     # labels of one kind only can't train a forest; with both it is trained even on few
     assert secrets.candidates(spark.createDataFrame(rows, DOCS).limit(0)).count() == 0
     assert scan(spark, [(1, "nothing here", "a", "b")]).count() == 0
+
+
+VALUE = "Zq7f3Kp9xT2mB8vN4cR6wY1d"
+
+
+def test_names_before_a_value(spark):
+    names = ["AWS_SECRET_ACCESS_KEY=", 'github_personal_token: "', "client_token_value = ", 'api_key = "', 'access_key: "', "private_key=", "secret key: ", "access key: ", "MY_API_KEY_2: '"]
+    plain = ["the number: ", "house=", "token of the house was long ago: "]
+    rows = [(i, f"some text {n}{VALUE} and more", "s", None) for i, n in enumerate(names + plain)]
+    found = secrets.candidates(spark.createDataFrame(rows, DOCS))
+    out = {r["doc_id"]: r for r in secrets.rule_labels(secrets.with_features(found, [])).where(found["candidate"] == VALUE).collect()}
+    assert all(out[i]["keyword"] == 1.0 and out[i]["assigned"] == 1.0 and out[i]["label"] == 1.0 for i in range(len(names)))
+    assert all(out[i]["keyword"] == 0.0 and out[i]["label"] is None for i in range(len(names), len(rows)))
+
+
+def test_neighbours_are_the_true_characters(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["ab1" * 6, "=", " ", "x" * 16, "é: ", "\n", "Q" * 90, "w "]) for _ in range(60)) for _ in range(40)]
+    rows = [(i, t, "s", None) for i, t in enumerate(texts)]
+    out = secrets.candidates(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(out) > 300
+    for r in out:
+        t, a = texts[r["doc_id"]], r["start"]
+        b = a + len(r["candidate"])
+        assert (r["left"], r["right"]) == (t[max(0, a - 64) : a], t[b : b + 64])
