@@ -51,6 +51,17 @@ def chunks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[l
         yield tuple(out)
 
 
+def shares(counts: dict, rows: int, least: int = 50) -> dict:
+    """The share of each label's rows in a sample of about ``rows``: all of rare labels, as many of each other, and ``least`` or more."""
+    quota, left = float(rows), rows
+    for k, n in enumerate(sorted(counts.values())):
+        quota = left / (len(counts) - k)
+        if n > quota:
+            break
+        left -= n
+    return {label: min(1.0, max(quota, least) / n) for label, n in counts.items()}
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``; root is the smallest node reachable.
 

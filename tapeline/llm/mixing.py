@@ -10,9 +10,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm._shared import stage
+from tapeline.llm._shared import shares, stage
 
-#: Labelled rows that the classifier is fitted on, about: a hash of doc_id draws them where there are more.
+#: Labelled rows that the classifier is fitted on, about: a hash draws them by label where there are more, weighted back to all.
 TRAIN_ROWS = 20_000
 FEATURES = 4096
 #: Words that count as independent evidence; posteriors of longer texts are tempered to so many.
@@ -29,7 +29,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, label: str, train_rows: int
     """``(doc_id, n_tokens, p array<double>)`` for each row of ``docs(doc_id, text)``, and the domains in the order of p.
 
     A multinomial naive Bayes over hashed words is fitted on about ``train_rows`` of ``labelled(doc_id, text, <label>)``
-    with a label; all words of a text count. Tempering divides the log-likelihood of a text beyond EVIDENCE words by its
+    with a label, drawn by label with all rows of rare ones; all words of a text count. A label without a drawn row gets zero. Tempering divides the log-likelihood of a text beyond EVIDENCE words by its
     length over EVIDENCE. Null and empty texts have no token and the prior. Without labelled rows there is one domain.
     """
     known = labelled.where(F.col(label).isNotNull()).select("doc_id", "text", F.col(label).cast("string").alias("domain"))
@@ -38,18 +38,27 @@ def posteriors(docs: DataFrame, labelled: DataFrame, label: str, train_rows: int
     words = docs.select("doc_id", _words().alias("words"))
     if not domains:
         return words.select("doc_id", F.size("words").cast("long").alias("n_tokens"), F.array(F.lit(1.0)).alias("p")), [""]
-    share = min(1.0, train_rows / sum(counts.values()))
-    unit = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1_000_000)) / 1e6
-    index = F.coalesce(*[F.when(F.col("domain") == d, F.lit(float(i))) for i, d in enumerate(domains)])
+    share = shares(counts, train_rows)
+    unit = F.pmod(F.xxhash64("doc_id", "text", F.lit("train")), F.lit(1_000_000_000)) / 1e9
+    own = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("domain")]
+    drawn = known.withColumn("share", own).where(unit < F.col("share"))
+    held = sorted(r["domain"] for r in drawn.select("domain").distinct().collect()) if min(share.values()) < 1 else domains
+    if not held:  # rows so few and alike that the hash left none
+        drawn, held = known.withColumn("share", F.lit(1.0)), domains
+    # classes are numbered over the labels that the sample holds
+    index = F.create_map(*[F.lit(x) for i, d in enumerate(held) for x in (d, float(i))])[F.col("domain")]
     hashed = HashingTF(inputCol="words", outputCol="features", numFeatures=FEATURES)
-    train = hashed.transform(known.where(unit < share).select(_words().alias("words"), index.alias("label"))).select("features", "label")
-    model = NaiveBayes(smoothing=0.5).fit(train)
+    train = hashed.transform(drawn.select(_words().alias("words"), index.alias("label"), (1 / F.col("share")).alias("weight"))).select("features", "label", "weight")
+    model = NaiveBayes(smoothing=0.5, weightCol="weight").fit(train)
     raw = vector_to_array("rawPrediction")
     n = F.size("words")
     scored = model.transform(hashed.transform(words)).select("doc_id", n.cast("long").alias("n_tokens"), F.transform(raw, lambda x: x / F.greatest(F.lit(1.0), n / EVIDENCE)).alias("l"))
     top = scored.select("doc_id", "n_tokens", F.transform("l", lambda x: F.exp(x - F.array_max("l"))).alias("e"))
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
-    return top.select("doc_id", "n_tokens", F.transform("e", lambda x: x / total).alias("p")), domains
+    p = F.transform("e", lambda x: x / total)
+    if held != domains:
+        p = F.array(*[F.get(p, F.lit(held.index(d))) if d in held else F.lit(0.0) for d in domains])
+    return top.select("doc_id", "n_tokens", p.alias("p")), domains
 
 
 def _rate(p: Column, gradients: list[list[float]]) -> Column:

@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeline.llm._shared import shares
+
 #: A run that may be a secret: it starts where no such character stands before.
 CANDIDATE = r"(?<![A-Za-z0-9_+/.\-])[A-Za-z0-9_+/.\-]{16,}+={0,2}"
 #: Characters before and after a run in which its neighbours are sought.
@@ -20,7 +22,7 @@ KEYWORDS = r"(?i)(token|secret|passw(or)?d|passwd|api[_-]?key|access[_-]?key|pri
 #: How well-known secrets begin.
 PREFIXES = r"^(AKIA|ASIA|ghp_|gho_|ghs_|glpat-|xox[abps]-|sk_live_|sk-|eyJ)"
 ASSIGNED = r"[=:]\s*[\"'`]?$"
-#: Labelled findings that the forest is fitted on, about: a hash draws them where there are more.
+#: Labelled findings that the forest is fitted on, about: a hash draws them by label where there are more, weighted back to all.
 TRAIN_ROWS = 20_000
 #: Frequent neighbouring words that make the dictionary.
 DICTIONARY = 400
@@ -99,10 +101,11 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = 30, se
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
-    share = min(1.0, train_rows / sum(counts.values()))
-    drawn = rows.where(F.pmod(F.xxhash64("candidate", "doc_id"), F.lit(1_000_000)) / 1e6 < share)
-    inputs = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(drawn).select("features", "label")
-    return RandomForestClassifier(numTrees=trees, maxDepth=8, seed=seed).fit(inputs)
+    share = shares(counts, train_rows)
+    own = F.when(F.col("label") == 1.0, share[1.0]).otherwise(share[0.0])
+    drawn = rows.withColumn("weight", 1 / own).where(F.pmod(F.xxhash64("candidate", "doc_id", "start"), F.lit(1_000_000_000)) / 1e9 < own)
+    inputs = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(drawn).select("features", "label", "weight")
+    return RandomForestClassifier(numTrees=trees, maxDepth=8, seed=seed, weightCol="weight").fit(inputs)
 
 
 def score(findings: DataFrame, model: RandomForestClassificationModel | None, cut: float = 0.5) -> DataFrame:

@@ -53,3 +53,27 @@ def test_draws_follow_rates(spark):
     assert out.columns == docs.columns
     n = [out.where(f"doc_id >= {k * 1000} AND doc_id < {k * 1000 + 1000}").count() for k in range(4)]
     assert n[0] == 0 and n[1] == 2000 and 180 < n[2] < 320 and 1400 < n[3] < 1600
+
+
+def test_rare_label_is_in_the_sample(spark):
+    rows = [(i, "das haus und der fluss", "de", "x") for i in range(3000)] + [(10_000 + i, "la maison et la riviere", "es", "x") for i in range(3)] + [(20_000 + i, "the house and the water", "zz", "x") for i in range(3000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    p, domains = mixing.posteriors(docs, docs, "lang", train_rows=90)
+    got = {r["doc_id"]: r["p"] for r in p.collect()}
+    assert domains == ["de", "es", "zz"] and all(len(v) == 3 and abs(sum(v) - 1) < 1e-9 for v in got.values())
+    assert got[0][0] > 0.9 and got[10_000][1] > 0.9 and got[20_000][2] > 0.9
+    out = mixing.mix(docs, docs, "lang", {"de": 0.5, "zz": 0.5})
+    assert out.where("rate > 0").count() > 5900
+
+
+def test_label_that_the_hash_leaves_out(spark):
+    # all rows of the middle label are one row, so a hash draws all or none; posteriors keep their places
+    for k in range(12):
+        rows = [(i, "das haus und der fluss", "de", "x") for i in range(400)] + [(1000 + k, "la maison et la riviere", "es", "x")] * 2000 + [(20_000 + i, "the house and the water", "zz", "x") for i in range(400)]
+        docs = spark.createDataFrame(rows, DOCS)
+        p, _ = mixing.posteriors(docs.dropDuplicates(), docs, "lang", train_rows=150)
+        got = {r["doc_id"]: r["p"] for r in p.where("doc_id IN (0, 20000)").collect()}
+        assert got[0][0] > 0.9 and got[20_000][2] > 0.9
+        if got[0][1] == 0.0:
+            return
+    raise AssertionError("the label was always drawn")

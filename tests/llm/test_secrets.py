@@ -69,3 +69,12 @@ def test_neighbours_are_the_true_characters(spark):
         t, a = texts[r["doc_id"]], r["start"]
         b = a + len(r["candidate"])
         assert (r["left"], r["right"]) == (t[max(0, a - 64) : a], t[b : b + 64])
+
+
+def test_rare_label_trains(spark):
+    rows = [(i, f"word{'x' * (16 + i % 9)} abcdefghijklmnopqrstuvwx", "s", None) for i in range(2000)] + [(5000 + k, f'token = "{k}{VALUE}"', "s", None) for k in range(3)]
+    found = secrets.candidates(spark.createDataFrame(rows, DOCS))
+    ready = secrets.rule_labels(secrets.with_features(found, []))
+    model = secrets.train(ready, train_rows=100)
+    assert model.numClasses == 2
+    assert {r["doc_id"] for r in secrets.score(ready.drop("label"), model, 0.2).where("is_secret").collect()} == {5000, 5001, 5002}
