@@ -108,11 +108,12 @@ def mix(docs: DataFrame, labelled: DataFrame, label: str, weights: dict[str, flo
 def draw(docs: DataFrame, rates: DataFrame, seed: int = 0) -> DataFrame:
     """``docs``, each row as often as its rate says: the whole part always, once more with the rest as probability.
 
-    Draws come from a hash of doc_id, so they don't change with partitions. doc_id is unique in ``rates``.
+    Draws come from a hash of doc_id, so they don't change with partitions. Rows of equal doc_id, also of null, have the mean
+    of its rates and are drawn alike.
     """
-    chosen = rates.select(F.col("doc_id").alias("__id"), "rate")
+    chosen = rates.groupBy(F.col("doc_id").alias("__id")).agg(F.avg("rate").alias("rate"))
     unit = (F.shiftrightunsigned(F.xxhash64(F.col("__id"), F.lit(seed)), 11).cast("double") + 0.5) * 2.0**-53
     copies = (F.floor("rate") + (unit < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
     often = chosen.select("__id", copies.alias("__n")).where("__n > 0")
     columns = docs.columns
-    return docs.join(often, docs["doc_id"] == often["__id"]).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*[docs[c] for c in columns])
+    return docs.join(often, docs["doc_id"].eqNullSafe(often["__id"])).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*[docs[c] for c in columns])

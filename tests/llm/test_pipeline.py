@@ -5,6 +5,9 @@ from __future__ import annotations
 import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
+from pyspark.sql import functions as F  # noqa: E402
+
+from tapeline.llm import mixing  # noqa: E402
 from tapeline.llm.simhash import fingerprint  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -86,3 +89,15 @@ def test_empty_documents(spark):
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "shard", "slot"} <= set(out.columns) and out.count() > 100
+
+
+def test_mixing_null_and_repeated_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    rows = [(i // 3 if i < 90 else None, f"{'the house' if i % 2 else 'das haus'} number {i}", "en" if i % 2 else "de", "s", 1) for i in range(100)]
+    before = spark.createDataFrame(rows, docs.schema)
+    rates = before.select("doc_id", F.lit(1.0).alias("rate"))
+    assert sorted(map(str, mixing.draw(before, rates).collect())) == sorted(map(str, before.collect()))
+    twice = mixing.draw(before, rates.withColumn("rate", F.lit(2.0)))
+    assert sorted(map(str, twice.collect())) == sorted(2 * [str(r) for r in before.collect()])
+    out = corpus_pipeline.mixed(spark, before, SF)
+    assert out.subtract(before).count() == 0 and 50 < out.count() < 200
