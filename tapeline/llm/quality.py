@@ -16,8 +16,12 @@ WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 #: Rules that may reject: a rate, and the side on which documents are rejected.
 RULES = {"symbol_rate": 1, "dup_line_rate": 1, "repeat_rate": 1, "word_length": 1, "short_words": -1}
-#: Cutoffs tried for each rule and stratum: quantiles of the holdout's good documents from the strictest on.
-LEVELS = (0.95, 0.97, 0.98, 0.985, 0.99, 0.9925, 0.995, 0.9975, 1.0)
+#: Cutoffs proposed for each rule and stratum: quantiles of the proposing half's good documents, loosest first.
+LEVELS = (1.0, 0.995, 0.99, 0.98, 0.97, 0.95)
+#: A cutoff is worth a test if it rejects bad documents at this many times the rate of good ones, or more.
+LIFT = 5.0
+#: Strata that are judged apart. Their table is made on the driver, so more of them are an error.
+MAX_STRATA = 1000
 
 SCHEMA = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")])
 DDL = ", ".join(f"{f.name} bigint" for f in SCHEMA) + ", stratum string"
@@ -91,34 +95,84 @@ def binomial_upper(k: int, n: int, alpha: float) -> float:
     return high
 
 
-def fit(stats: DataFrame, labels: DataFrame, max_rejection: float = 0.02, alpha: float = 0.05, levels: tuple[float, ...] = LEVELS) -> DataFrame:
-    """Cutoffs ``(stratum, rule, side, cutoff, rejected, holdout, bound, is_used)``.
+def _proposals(rows: DataFrame, levels: tuple[float, ...]) -> DataFrame:
+    """``(stratum, rule, cuts array, good array, bad array, n_good, n_bad)`` of the proposing half: what each cutoff rejects."""
+    good = F.col("quality") == 1
+    quantiles = rows.groupBy("stratum").agg(*[F.percentile_approx(F.when(good, F.col(r) * s), F.array(*map(F.lit, levels)), F.lit(10_000)).alias(f"__{r}") for r, s in RULES.items()])
+    held = quantiles.limit(MAX_STRATA + 1).collect()
+    if len(held) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata; name a column of fewer values")
+    cuts = rows.sparkSession.createDataFrame(held, quantiles.schema)
+    over = lambda r, s, i: F.col(r) * s > F.get(F.col(f"__{r}"), F.lit(i))
+    counted = lambda r, s, which: F.array(*[F.count_if(which & over(r, s, i)) for i in range(len(levels))])
+    per = [F.struct(F.lit(r).alias("rule"), F.first(f"__{r}").alias("cuts"), counted(r, s, good).alias("good"), counted(r, s, ~good).alias("bad")) for r, s in RULES.items()]
+    found = rows.join(F.broadcast(cuts), "stratum").groupBy("stratum").agg(F.array(*per).alias("rules"), F.count_if(good).alias("n_good"), F.count_if(~good).alias("n_bad"))
+    return found.select("stratum", "n_good", "n_bad", F.explode("rules").alias("x")).select("stratum", "n_good", "n_bad", "x.*")
 
-    Good documents of ``labels(doc_id, quality)`` are halved by a hash of doc_id. The first half proposes cutoffs, its
-    approximate quantiles at ``levels``; on the other half each is judged by the exact binomial bound of its false rejections, at
-    alpha divided by the number of all tests, strata times rules times levels (Bonferroni). The strictest cutoff whose
-    bound is at most the rule's share of ``max_rejection`` is used; a rule without one isn't applied in that stratum. A
-    null stratum is the stratum ''; rows of labels that repeat a doc_id count once.
+
+def _path(rows: list, lift: float) -> list[tuple[str, float]]:
+    """Cutoffs ``(rule, value)`` of a stratum in the order in which they are tested, each rule's from loose to strict.
+
+    Those come first that reject the most bad documents for each good one. Cutoffs that add too few bad ones are skipped.
+    """
+    steps = []
+    for r in rows:
+        held = (0, 0)
+        for cut, good, bad in zip(r["cuts"] or [], r["good"], r["bad"], strict=False):
+            more_good, more_bad = good - held[0], bad - held[1]
+            if more_bad and more_bad / r["n_bad"] >= lift * more_good / max(1, r["n_good"]):
+                steps.append((more_good / more_bad, -more_bad, r["rule"], -len(steps), cut))
+                held = (good, bad)
+    done: list[tuple[str, float]] = []
+    loosest: dict[str, float] = {}
+    for _, _, rule, _, cut in sorted(steps):
+        if rule not in loosest or cut < loosest[rule]:  # a looser one of the rule would add nothing
+            done.append((rule, cut))
+            loosest[rule] = cut
+    return done
+
+
+def fit(stats: DataFrame, labels: DataFrame, max_rejection: float = 0.05, alpha: float = 0.05, levels: tuple[float, ...] = LEVELS, lift: float = LIFT) -> DataFrame:
+    """Cutoffs ``(stratum, step, rule, side, cutoff, rejected, holdout, bound, is_used)``, in the order of their tests.
+
+    Documents of ``labels(doc_id, quality)`` that pass the base are halved by a hash of doc_id. The first half proposes: for each stratum a
+    path of cutoffs, approximate quantiles of its good documents, of which each adds to the ones before and those come
+    first that reject the most bad documents for a good one. The other half judges: after each step the good documents
+    that all cutoffs so far reject are counted, and the exact binomial bound of their rate is held against
+    ``max_rejection``; the first step that passes it ends the stratum (fixed-sequence testing, which needs no correction for
+    the number of steps and rules, as steps are tested in an order that the judging half didn't choose). Each stratum is
+    tested at alpha divided by the number of strata (Bonferroni). So with probability 1 - alpha no stratum loses more than
+    ``max_rejection`` of its good documents by cutoffs. A stratum without labelled documents of both kinds has none. A
+    null stratum is the stratum ''; labels that repeat a doc_id count once, those that contradict each other not at all.
     """
-    good = labels.where("quality = 1").select("doc_id").distinct()
-    rows = rates(stats).join(good, "doc_id")
-    long = rows.select("stratum", (F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)) == 1).alias("judge"), F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.lit(s).alias("side"), (F.col(r) * s).alias("v")) for r, s in RULES.items()])).alias("x")).select("stratum", "judge", "x.*")
-    proposed = long.where("not judge").groupBy("stratum", "rule", "side").agg(F.percentile_approx("v", F.array(*map(F.lit, levels)), F.lit(10_000)).alias("q"))
-    cuts = proposed.select("stratum", "rule", "side", F.posexplode("q").alias("level", "cut"))
-    judged = long.where("judge").join(proposed, ["stratum", "rule", "side"]).select("stratum", "rule", "side", *[(F.col("v") > F.col("q")[i]).cast("int").alias(f"r{i}") for i in range(len(levels))])
-    seen = judged.groupBy("stratum", "rule", "side").agg(F.count("*").alias("holdout"), F.array(*[F.sum(f"r{i}") for i in range(len(levels))]).alias("k"))
-    # a row for each stratum, rule and level: small whatever the corpus, as strata are named kinds of documents
-    table = cuts.join(seen, ["stratum", "rule", "side"]).select("stratum", "rule", "side", "level", "cut", "holdout", F.col("k")[F.col("level")].alias("rejected")).collect()
-    tests = max(1, len(table))
-    best: dict[tuple[str, str], tuple] = {}
-    for r in sorted(table, key=lambda r: r["level"]):
-        bound = binomial_upper(r["rejected"], r["holdout"], alpha / tests)
-        key = (r["stratum"], r["rule"])
-        if key not in best and bound <= max_rejection / len(RULES):
-            best[key] = (*key, r["side"], float(r["cut"] * r["side"]), int(r["rejected"]), int(r["holdout"]), float(bound), True)
-    rest = [(r["stratum"], r["rule"], r["side"], None, 0, int(r["holdout"]), 1.0, False) for r in table if r["level"] == 0 and (r["stratum"], r["rule"]) not in best]
-    return stats.sparkSession.createDataFrame([*best.values(), *rest], "stratum string, rule string, side int, cutoff double, rejected bigint, holdout bigint, bound double, is_used boolean")
+    known = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("__most")).where("quality = __most").drop("__most")
+    rows = rates(stats).where(~base_failed()).join(known, "doc_id").select("doc_id", "stratum", "quality", *RULES)
+    judging = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(2)) == 1
+    proposed: dict[str, list] = {}
+    for r in _proposals(rows.where(~judging), levels).collect():
+        proposed.setdefault(r["stratum"], []).append(r)
+    paths = {stratum: path for stratum, own in sorted(proposed.items()) if (path := _path(own, lift))}
+    spark = stats.sparkSession
+    flat = [(stratum, i, rule, RULES[rule], float(cut)) for stratum, path in paths.items() for i, (rule, cut) in enumerate(path)]
+    steps = spark.createDataFrame(flat, "stratum string, step int, rule string, side int, cut double")
+    # the step at which a good document is rejected first; steps has a row for each stratum and cutoff at most
+    own = F.broadcast(steps.groupBy("stratum").agg(F.collect_list(F.struct("step", "rule", "side", "cut")).alias("path")))
+    value = F.create_map(*[x for r in RULES for x in (F.lit(r), F.col(r))])
+    hits = F.filter("path", lambda s: value[s["rule"]] * s["side"] > s["cut"])
+    judged = rows.where(judging & (F.col("quality") == 1)).join(own, "stratum").groupBy("stratum", F.array_min(F.transform(hits, lambda s: s["step"])).alias("at")).count().collect()
+    n, first = Counter(), Counter()
+    for r in judged:
+        n[r["stratum"]] += r["count"]
+        first[r["stratum"], r["at"]] += r["count"]
+    out = []
+    for stratum, path in paths.items():
+        rejected, used = 0, True
+        for i, (rule, cut) in enumerate(path):
+            rejected += first[stratum, i]
+            bound = binomial_upper(rejected, n[stratum], alpha / len(proposed))
+            used = used and bound <= max_rejection
+            out.append((stratum, i, rule, RULES[rule], float(cut * RULES[rule]), rejected, n[stratum], bound, used))
+    return spark.createDataFrame(out, "stratum string, step int, rule string, side int, cutoff double, rejected bigint, holdout bigint, bound double, is_used boolean")
 
 
 def judge(stats: DataFrame, cutoffs: DataFrame) -> DataFrame:
@@ -126,7 +180,7 @@ def judge(stats: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
     Strata without cutoffs are judged by the base alone. Each input row gives one row.
     """
-    used = cutoffs.where("is_used").groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"__{r}") for r in RULES])
+    used = cutoffs.where("is_used").groupBy("stratum").agg(*[(F.min(F.when(F.col("rule") == r, F.col("cutoff") * s)) * s).alias(f"__{r}") for r, s in RULES.items()])  # the strictest
     out = rates(stats).join(F.broadcast(used), "stratum", "left")  # a row for each stratum, made on the driver by fit()
     passed = F.lit(False)
     for r, side in RULES.items():
