@@ -55,7 +55,26 @@ def test_against_brute_force(spark):
 
 def test_blocks_give_the_same(spark):
     docs, items = cases()
-    assert run(spark, docs, items, block_bytes=200) == brute(docs, items)
+    assert run(spark, docs, items, block_words=60) == brute(docs, items)
+
+
+def test_blocks_keep_rows_apart(spark):
+    docs = spark.createDataFrame([(1, "one two x"), (1, "one two x"), (1, "y three four"), (None, "one two three four"), (None, None), (None, "one two three four")], DOCS)
+    items = spark.createDataFrame([(1, "one two"), (2, "three four"), (3, "two three")], BENCH)
+    one, many = (sorted(map(repr, decontaminate.scan(docs, items, block_words=b).collect())) for b in (100, 1))
+    assert one == many and len(one) == 6 and one[0] == one[1] and one[4] == one[5]
+    assert any("spans=[Row(start=0, end=18)]" in r for r in many)  # runs of neighbouring blocks are one span
+    assert decontaminate._blocks(items, 10, 1)[0] > 1
+    kept = [decontaminate.clean(docs, items, block_words=b).collect() for b in (100, 1)]
+    assert kept[0] == kept[1] and [tuple(r) for r in kept[0]] == [(None, None)]
+
+
+def test_many_words_and_long_items(spark):
+    rng = random.Random(8)
+    items = [(1, " ".join(f"w{rng.randrange(70_000)}" for _ in range(90_000))), (2, " ".join(f"w{rng.randrange(300)}" for _ in range(500)))]
+    w = items[0][1].split()
+    docs = [(i, " ".join(["x"] * 3 + w[k : k + n] + ["y"])) for i, (k, n) in enumerate([(0, 12), (89_990, 10), (44_000, 9), (24_995, 30), (50_000, 60)])] + [(9, items[1][1])]
+    assert run(spark, docs, items) == run(spark, docs, items, block_words=4_000) == brute(docs, items)
 
 
 def test_spans_are_in_the_original(spark):
