@@ -1,9 +1,10 @@
 """Incremental substring deduplication on a log-structured index of window fingerprints.
 
-The index holds, for every document seen, the fingerprints of its windows: of each window of 13 words the least hash among
-its 6-word parts (winnowing), so that equal windows have equal fingerprints and neighbouring windows mostly share theirs.
-Postings are kept in sorted immutable runs, bucketed by fingerprint. A new batch becomes a run; it is merge-joined with each
-older run, the candidates that come out are verified on whole windows, and runs of like size are compacted into one.
+A window of 13 words has as fingerprint the least hash of its 6-word parts (winnowing), so that equal windows have equal
+fingerprints and neighbouring windows mostly share theirs: about 0.22 fingerprints a word instead of one hash a word, and no
+window is lost. The index keeps the distinct fingerprints of all documents seen in sorted immutable runs, bucketed by
+fingerprint. A batch becomes a run; it is merge-joined with each older run, what they share is verified on 128-bit hashes of
+whole windows, and full levels are merged into one run of the next level.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ WINDOW = 13
 PART = 6
 #: Runs of one level that are compacted into one of the next.
 FANOUT = 2
+#: Batches of :func:`deduplicate`: so many that two levels fill.
+BATCHES = 4
 
 _MIX = [np.array([xxhash.xxh64_intdigest(b"%d" % i, s) | 1 for i in range(64)], np.uint64) for s in (1, 2, 3)]
 
@@ -47,7 +50,7 @@ def _rolling(hashes: np.ndarray, size: int, mix: np.ndarray) -> np.ndarray:
 
 
 class _Chunk:
-    """The word hashes of some texts in one array, so that each step is one pass over all of them."""
+    """Two independent hashes of each word of some texts in one array, so that each step is one pass over all of them."""
 
     def __init__(self, texts: list[bytes | None], window: int, part: int):
         words = [(t or b"").split() for t in texts]
@@ -55,7 +58,7 @@ class _Chunk:
         self.words = words
         self.sizes = np.array([len(w) for w in words], np.int64)
         flat = [w for own in words for w in own]
-        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, flat), np.uint64, len(flat))
+        self.hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, flat)), ">u8").astype(np.uint64).reshape(-1, 2)
         n_windows = np.maximum(self.sizes - window + 1, 0)
         first = np.cumsum(self.sizes) - self.sizes
         #: of every window: its text, its place in the text and in the array
@@ -64,18 +67,19 @@ class _Chunk:
         self.at = self.pos + first[self.text]
         self.anchors = np.empty(0, np.uint64)
         if len(self.text):
-            parts = _rolling(self.hashes, part, _MIX[0])
+            parts = _rolling(self.hashes[:, 0], part, _MIX[0])
             least = parts
             for j in range(1, window - part + 1):
                 least = np.minimum(least[:-1], parts[j:])
             self.anchors = least[self.at]
 
-    def windows(self, which: np.ndarray, mix: np.ndarray) -> np.ndarray:
-        return _rolling(self.hashes, self.window, mix)[self.at[which]]
+    def windows(self, which: np.ndarray, half: int) -> np.ndarray:
+        """A hash of whole windows from one of the two word hashes."""
+        return _rolling(self.hashes[:, half], self.window, _MIX[1 + half])[self.at[which]]
 
 
 def _postings(batches: Iterator[pa.RecordBatch], window: int, part: int) -> Iterator[pa.RecordBatch]:
-    for ids, texts in chunks(batches, "doc_id", "text"):
+    for ids, rids, texts in chunks(batches, "doc_id", "rid", "text"):
         c = _Chunk(texts, window, part)
         if not len(c.anchors):
             continue
@@ -89,8 +93,8 @@ def _postings(batches: Iterator[pa.RecordBatch], window: int, part: int) -> Iter
         whole = [xxhash.xxh3_128_intdigest(b" ".join(c.words[i])) for i in long]
         h = np.concatenate([anchor, np.array([w & (2**64 - 1) for w in whole], np.uint64)])
         kind = np.concatenate([np.zeros(len(anchor), np.uint64), np.array([w >> 64 | 1 for w in whole], np.uint64)])
-        docs = np.array(ids, np.int64)[np.concatenate([text, long])]
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(kind.view(np.int64)), pa.array(docs)], names=["h", "whole", "doc_id"])
+        of = np.concatenate([text, long])
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(kind.view(np.int64)), pa.array(np.array(ids, np.int64)[of]), pa.array(np.array(rids, np.int64)[of])], names=["h", "whole", "doc_id", "rid"])
 
 
 #: Candidate windows that a task compares among themselves before it passes them on.
@@ -101,37 +105,43 @@ def _lists(values: np.ndarray, starts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)).astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
+NAMES = ["a", "b", "doc_id", "rid", "pos", "late"]
+
+
 def _settled(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-    """Windows to compare with other tasks', one row for each with the places in its first document, and those that are
-    settled, as an earlier document of the same task has them: one row per document. This keeps a window that very many
-    documents share, or one document repeats, from meeting in one task."""
-    a, b, docs, pos = (np.concatenate(x) for x in zip(*held, strict=True))
-    order = np.lexsort((pos, docs, b, a))
-    a, b, docs, pos = a[order], b[order], docs[order], pos[order]
+    """Windows to compare with other tasks', one row for each with its places in the first row of its first document, and
+    those that are settled: in a later document they are late, in another row of the first document they wait for the same
+    verdict. This keeps a window that very many documents share, or one document repeats, from meeting in one task."""
+    a, b, docs, rids, pos = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.lexsort((pos, rids, docs, b, a))
+    a, b, docs, rids, pos = a[order], b[order], docs[order], rids[order], pos[order]
     new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
     first = docs[new][np.cumsum(new) - 1] == docs
-    starts = np.flatnonzero(new[first])
-    yield pa.RecordBatch.from_arrays([pa.array(a[new].view(np.int64)), pa.array(b[new].view(np.int64)), pa.array(docs[new]), _lists(pos[first], starts), pa.array(np.zeros(int(new.sum()), bool))], names=["a", "b", "doc_id", "pos", "late"])
-    docs, pos = docs[~first], pos[~first]
+    row = np.concatenate([[True], new[1:] | (docs[1:] != docs[:-1]) | (rids[1:] != rids[:-1])])
+    at = row[first]
+    starts = np.flatnonzero(at)
+    own = np.flatnonzero(first)[at]
+    yield pa.RecordBatch.from_arrays([pa.array(a[own].view(np.int64)), pa.array(b[own].view(np.int64)), pa.array(docs[own]), pa.array(rids[own]), _lists(pos[first], starts), pa.array(np.zeros(len(own), bool))], names=NAMES)
+    docs, rids, pos = docs[~first], rids[~first], pos[~first]
     if len(docs):
-        order = np.argsort(docs, kind="stable")
-        docs, pos = docs[order], pos[order]
-        starts = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
-        own = docs[starts]
-        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.arange(len(own))), pa.array(own), _lists(pos, starts), pa.array(np.ones(len(own), bool))], names=["a", "b", "doc_id", "pos", "late"])
+        order = np.lexsort((rids, docs))
+        docs, rids, pos = docs[order], rids[order], pos[order]
+        starts = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (rids[1:] != rids[:-1])]))
+        k = len(starts)
+        yield pa.RecordBatch.from_arrays([pa.array(docs[starts]), pa.array(np.arange(k)), pa.array(docs[starts]), pa.array(rids[starts]), _lists(pos, starts), pa.array(np.ones(k, bool))], names=NAMES)
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int, part: int) -> Iterator[pa.RecordBatch]:
-    """Two hashes of each whole window whose fingerprint is a candidate of its document."""
+    """Two hashes of each whole window whose fingerprint is a candidate of its row."""
     held: list[tuple[np.ndarray, ...]] = []
     n = 0
-    for ids, texts, wanted in chunks(batches, "doc_id", "text", "hs"):
+    for ids, rids, texts, wanted in chunks(batches, "doc_id", "rid", "text", "hs"):
         c = _Chunk(texts, window, part)
         # a text's own candidates: the text is mixed in; a chance hit is one more window to compare
         salt = _finish(np.arange(1, len(texts) + 1, dtype=np.uint64))
         keys = np.array([h for own in wanted for h in own], np.int64).view(np.uint64) ^ np.repeat(salt, [len(own) for own in wanted])
         which = np.flatnonzero(np.isin(c.anchors ^ salt[c.text], keys))
-        held.append((c.windows(which, _MIX[1]), c.windows(which, _MIX[2]), np.array(ids, np.int64)[c.text[which]], c.pos[which]))
+        held.append((c.windows(which, 0), c.windows(which, 1), np.array(ids, np.int64)[c.text[which]], np.array(rids, np.int64)[c.text[which]], c.pos[which]))
         n += len(which)
         if n >= HELD:
             yield from _settled(held)
@@ -141,9 +151,8 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, part: int) -> Itera
 
 
 def covered(n: int, starts: list[int], window: int) -> np.ndarray:
-    """Which of n words a window at one of ``starts`` covers; starts beyond the text, of another row of its id, don't count."""
+    """Which of n words a window at one of ``starts`` covers."""
     at = np.array(starts, np.int64)
-    at = at[at < n]
     edge = np.zeros(n + window + 1, np.int32)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + window, -1)
@@ -169,42 +178,59 @@ def _remove(batches: Iterator[pa.RecordBatch], window: int, texts_too: bool) ->
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), OUT, strict=True)], schema=OUT)
 
 
+KEY, ROW = ["h", "whole"], ["doc_id", "rid"]
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """Rows with an id, and ``rid``, which tells rows of one doc_id with different texts apart."""
+    return docs.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("rid"), "text")
+
+
 class FingerprintIndex:
-    """Runs of postings ``(h, whole, doc_id)`` in the shared folder, and the operations on them.
+    """Runs ``(h, whole, lo, many)`` of distinct fingerprints in the shared folder, and the operations on them.
 
-    ``whole`` is zero for a window's fingerprint; a row of another value is the document's own 128-bit hash, by which
-    copies of a whole text are found without their windows.
+    ``whole`` is zero for a window's fingerprint; a row of another value is the 128-bit hash of a whole text, by which copies
+    are found without their windows. ``lo`` is the smallest doc_id that has the fingerprint, ``many`` says whether others do.
+    As a run has each fingerprint once, however many documents share it, no bucket is larger than others. Which documents
+    have a fingerprint is kept apart, in the order in which the texts were read (``postings``).
     """
 
     def __init__(self, spark: SparkSession, window: int = WINDOW, part: int = PART, fanout: int = FANOUT):
         self.spark, self.window, self.part, self.fanout = spark, window, part, fanout
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = [[]]
+        self.postings: list[DataFrame] = []
+        self.compactions = 0
 
     @property
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
-    def _write(self, postings: DataFrame) -> DataFrame:
+    def _write(self, rows: DataFrame) -> DataFrame:
         """A run: one file for each bucket, sorted by fingerprint, so that merge joins need no exchange."""
         name, path = f"run_{uuid.uuid4().hex}", fresh_path(self.spark, "run")
-        dealt = postings.repartition(self.buckets, "h", "whole").sortWithinPartitions("h", "whole", "doc_id")
-        dealt.write.bucketBy(self.buckets, "h", "whole").sortBy("h", "whole", "doc_id").option("path", path).saveAsTable(name)
+        rows.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", path).saveAsTable(name)
         run = self.spark.table(name)
-        run.staged_path = path
+        run.staged_path, run.name = path, name
         return run
 
-    def build_run(self, docs: DataFrame) -> DataFrame:
-        window, part = self.window, self.part
-        return self._write(docs.select("doc_id", "text").mapInArrow(lambda it: _postings(it, window, part), "h bigint, whole bigint, doc_id bigint"))
+    def _drop(self, run: DataFrame) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {run.name}")
+        drop_staged(run)
 
-    def candidates(self, new: DataFrame) -> DataFrame:
-        """Postings, old and new, of fingerprints that another document has and the new run too."""
-        key = ["h", "whole"]
-        many = new.groupBy(*key).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select(*key)
-        found = [new.join(many, key, "left_semi")]
+    def build_run(self, batch: DataFrame) -> DataFrame:
+        """The batch's run; its postings join those of the index."""
+        window, part = self.window, self.part
+        own = stage(_named(batch).mapInArrow(lambda it: _postings(it, window, part), "h bigint, whole bigint, doc_id bigint, rid bigint"), "postings")
+        self.postings.append(own)
+        once = own.groupBy(*KEY).agg(F.min("doc_id").alias("lo"), (F.min("doc_id") < F.max("doc_id")).alias("many"))
+        return self._write(once.repartition(self.buckets, *KEY))
+
+    def shared(self, new: DataFrame) -> DataFrame:
+        """``(h, whole, lo)`` of the new run's fingerprints that another document has, in the run or in the index."""
+        found = [new.where("many").select(*KEY, "lo")]
         for run in self.runs:
-            found += [new.join(run, key, "left_semi"), run.join(new, key, "left_semi")]
+            found.append(new.select(*KEY, F.col("lo").alias("__lo")).join(run.select(*KEY, "lo"), KEY).select(*KEY, F.least("lo", "__lo").alias("lo")))
         return reduce(DataFrame.unionByName, found)
 
     def insert(self, run: DataFrame) -> None:
@@ -213,74 +239,87 @@ class FingerprintIndex:
         self.levels[0].append(run)
         while len(self.levels[level]) >= self.fanout:
             full = self.levels[level]
-            merged = self._write(reduce(DataFrame.unionByName, full))
+            merged = self._write(reduce(self._merged, full))
+            self.compactions += 1
             self.levels[level] = []
             if level + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[level + 1].append(merged)
             for old in full:
-                drop_staged(old)
+                self._drop(old)
             level += 1
 
+    @staticmethod
+    def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
+        """Two runs as one by a full merge join, bucket by bucket, without an exchange."""
+        other = b.select(*KEY, F.col("lo").alias("__lo"), F.col("many").alias("__many"))
+        many = F.coalesce("many", F.lit(False)) | F.coalesce("__many", F.lit(False)) | F.coalesce(F.col("lo") != F.col("__lo"), F.lit(False))
+        return a.join(other, KEY, "full").select(*KEY, F.least("lo", "__lo").alias("lo"), many.alias("many"))
+
     def drop(self) -> None:
-        """Delete all runs; what :meth:`add` returned before doesn't read them."""
+        """Delete all runs and postings; results that were returned before don't read them."""
         for run in self.runs:
-            drop_staged(run)
-        self.levels = [[]]
+            self._drop(run)
+        for own in self.postings:
+            drop_staged(own)
+        self.levels, self.postings = [[]], []
+
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Index a batch of documents, all of larger doc_id than those seen. Returns what it shares with them or within itself,
+        written: the fingerprints that :meth:`without` verifies."""
+        new = self.build_run(batch)
+        found = stage(self.shared(new), "shared")
+        self.insert(new)
+        return found
 
-    def add(self, history: DataFrame, batch: DataFrame, texts: bool = True, last: bool = False) -> DataFrame:
-        """The batch's documents without the windows that an earlier document has, as :func:`deduplicate` returns them.
+    def without(self, found: list[DataFrame], seen: DataFrame, batch: DataFrame, texts: bool = True) -> DataFrame:
+        """The batch's rows without the windows that a document of smaller doc_id has, as :func:`deduplicate` returns them.
 
-        ``history`` has the texts of the documents in the index, all of smaller doc_id, against which candidates are
-        verified. ``last``: no batch follows, so the index goes. The batch's texts are dealt by doc_id once, for
-        the verification and for the removal alike.
+        ``found`` is what :meth:`add` returned for the batch, or for several that are judged together; ``seen`` has the texts
+        of all documents in the index that may share a window with it, the batch included. Shared fingerprints are
+        verified on whole windows of the rows that have them. Joins of postings can be split by Spark where a fingerprint is
+        in very many documents, as both sides are written tables.
         """
         window, part = self.window, self.part
-        new = self.build_run(batch)
-        found = stage(self.candidates(new).distinct(), "found")
-        if last:
-            self.levels = [[*self.runs, new]]
-            self.drop()
-        else:
-            self.insert(new)
-        whole = found.where("whole <> 0")
-        first = whole.groupBy("h", "whole").agg(F.min("doc_id").alias("lo"))
-        copies = whole.join(first, ["h", "whole"]).where("doc_id > lo").select("doc_id").distinct()
-        wanted = found.where("whole = 0").join(copies, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list("h").alias("hs"))  # a document's own
-
-        def windows(docs: DataFrame) -> DataFrame:
-            return docs.join(wanted, "doc_id").mapInArrow(lambda it: _windows(it, window, part), "a bigint, b bigint, doc_id bigint, pos array<int>, late boolean")
-
+        keys = stage(reduce(DataFrame.unionByName, found).groupBy(*KEY).agg(F.min("lo").alias("lo")), "keys")
+        hits = reduce(DataFrame.unionByName, self.postings).join(keys, KEY)
+        copy = F.max((F.col("whole") != 0) & (F.col("doc_id") > F.col("lo")))
+        marks = stage(hits.groupBy(*ROW).agg(copy.alias("is_copy"), F.collect_list(F.when(F.col("whole") == 0, F.col("h"))).alias("hs")), "marks")  # a row's own
+        drop_staged(keys)
+        rows = _named(seen)
+        compared = rows.join(marks.where("NOT is_copy AND size(hs) > 0").drop("is_copy"), ROW).mapInArrow(lambda it: _windows(it, window, part), "a bigint, b bigint, doc_id bigint, rid bigint, pos array<int>, late boolean")
         ordered = Window.partitionBy("late", "a", "b").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        late = windows(history).unionByName(windows(batch)).withColumn("lo", F.first("doc_id").over(ordered)).where("late OR doc_id > lo")
-        hits = late.groupBy("doc_id").agg(F.flatten(F.collect_list("pos")).alias("starts"))
-        flags = hits.select("doc_id", F.lit(False).alias("is_copy"), "starts").unionByName(copies.select("doc_id", F.lit(True).alias("is_copy"), F.array().cast("array<int>").alias("starts")))
-        return _removed(batch.join(flags, "doc_id", "left"), window, texts)
+        late = compared.withColumn("first", F.first("doc_id").over(ordered)).where("late OR doc_id > first")
+        hit = late.groupBy(*ROW).agg(F.flatten(F.collect_list("pos")).alias("starts")).select(*ROW, F.lit(False).alias("is_copy"), "starts")
+        flags = hit.unionByName(marks.where("is_copy").select(*ROW, "is_copy", F.array().cast("array<int>").alias("starts")))
+        out = _removed(_named(batch).join(flags, ROW, "left"), window, texts)
+        nobody = batch.where("doc_id IS NULL").select("doc_id", "text", F.lit(False).alias("is_copy"), F.array().cast("array<int>").alias("starts"))
+        return out.unionByName(_removed(nobody, window, texts))
 
 
 def _removed(marked: DataFrame, window: int, texts: bool) -> DataFrame:
-    return marked.mapInArrow(lambda it: _remove(it, window, texts), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+    return marked.select("doc_id", "text", "is_copy", "starts").mapInArrow(lambda it: _remove(it, window, texts), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
-def deduplicate(docs: DataFrame, batches: int = 2, window: int = WINDOW, part: int = PART, texts: bool = True) -> DataFrame:
-    """Remove from each document the words of windows that a document of smaller doc_id has, batch by batch.
+def deduplicate(docs: DataFrame, batches: int = BATCHES, window: int = WINDOW, part: int = PART, texts: bool = True) -> DataFrame:
+    """Remove from each document the words of windows that a document of smaller doc_id has.
 
-    ``docs(doc_id, text)`` is dealt to ``batches`` ranges of doc_id, each indexed after it is judged. One row per document:
-    n_words, n_removed, kept_sha256 and, unless ``texts`` is false, the kept words joined by a space. Windows are judged
-    on the input. Rows of equal doc_id count as one document and each get a row; rows without one are nobody's earlier
+    ``docs(doc_id, text)`` is dealt to ``batches`` ranges of doc_id, which are indexed one after the other; the texts are
+    read again once, to verify what all of them share. One row per input row: n_words, n_removed, kept_sha256 and, unless
+    ``texts`` is false, the kept words joined by a space. Windows are judged on the input. Rows of equal doc_id are one
+    document, so they take nothing from each other; each loses its own covered words. Rows without an id are nobody's earlier
     document and lose nothing. Null, empty and short texts have no window and lose nothing. Other columns are ignored.
+    The index holds winnowed fingerprints of windows, not all their hashes; see the module.
     """
     docs = docs.select("doc_id", "text")
     cuts = [i / batches for i in range(1, batches)]
     bounds = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, cuts)), F.lit(10_000)).alias("q")).first()["q"] if cuts else []
     bounds = [None, *sorted(set(bounds or [])), None]
     index = FingerprintIndex(docs.sparkSession, window, part)
-    unnamed = docs.where("doc_id IS NULL").withColumns({"is_copy": F.lit(False), "starts": F.array().cast("array<int>")})
-    out = [_removed(unnamed, window, texts)]
-    for k, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-        history = docs.where(F.col("doc_id") <= low) if low is not None else docs.where("false")
-        batch = docs.where("doc_id IS NOT NULL")
-        batch = batch if low is None else batch.where(F.col("doc_id") > low)
-        batch = batch if high is None else batch.where(F.col("doc_id") <= high)
-        out.append(index.add(history, batch, texts, last=k == len(bounds) - 2))
-    return reduce(DataFrame.unionByName, out)
+    found = []
+    for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+        batch = docs if low is None else docs.where(F.col("doc_id") > low)
+        found.append(index.add(batch if high is None else batch.where(F.col("doc_id") <= high)))
+    out = index.without(found, docs, docs, texts)
+    index.drop()
+    return out
