@@ -39,9 +39,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = stage(secrets.candidates(_read(spark, sf_dir, "documents")), "findings")  # read for the dictionary, to train and to score
-    ready = secrets.with_features(found, secrets.dictionary(found))
-    model = secrets.train(secrets.rule_labels(ready))
+    """A row for each finding, whatever the forest says; rows of equal doc_id each have theirs. ``labels`` knows no secrets, so
+    the forest learns from findings planted in the documents."""
+    docs = _read(spark, sf_dir, "documents")
+    words = secrets.dictionary(docs)
+    model = secrets.train(stage(secrets.with_features(secrets.planted(docs), words), "planted"))  # the forest reads it once a level
+    ready = secrets.with_features(secrets.candidates(docs), words)
     return secrets.score(ready, model).select("doc_id", "path", "start", F.char_length("candidate").alias("n_chars"), F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
 
 
