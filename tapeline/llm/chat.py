@@ -91,6 +91,31 @@ def rows_as_events(conversations: DataFrame) -> DataFrame:
     return conversations.select("conv_id", F.row_number().over(order).cast("long").alias("turn"), "role", "text").withColumns({"seq": F.col("turn"), "kind": F.lit("message")})
 
 
+def as_streamed(conversations: DataFrame) -> DataFrame:
+    """A table of finished rows ``(conv_id, turn, role, text)`` as the event log that a client may have left.
+
+    A hash of conversation and turn decides how a row came about: as one message; in two deltas after an opening; as a draft
+    that was edited; or as a draft that was regenerated in two deltas. Folded again, each row has its text. Turns are numbered
+    as by :func:`rows_as_events`.
+    """
+    rows = rows_as_events(conversations).drop("seq", "kind")
+    text = F.coalesce("text", F.lit(""))
+    half = F.floor(F.char_length(text) / 2).cast("int")
+    one, two = F.left(text, half), F.substr(text, half + 1)
+    draft = F.concat(F.lit("draft of "), one)
+    logs = [
+        [("message", text)], [("message", F.lit("")), ("delta", one), ("delta", two)],
+        [("message", draft), ("edit", text)], [("message", draft), ("delta", two), ("regenerate", F.lit("")), ("delta", one), ("delta", two)],
+    ]
+    event = lambda i, kind, said: F.struct(F.lit(i).alias("i"), F.lit(kind).alias("kind"), said.alias("text"))
+    way = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(len(logs)))
+    log = F.when(way == 0, F.array(*[event(i, *e) for i, e in enumerate(logs[0])]))
+    for k, own in enumerate(logs[1:], 1):
+        log = log.when(way == k, F.array(*[event(i, *e) for i, e in enumerate(own)]))
+    each = rows.select("conv_id", "turn", "role", F.explode(log).alias("e"))
+    return each.select("conv_id", "turn", "role", (F.col("turn") * 8 + F.col("e.i")).alias("seq"), "e.kind", "e.text")
+
+
 def format_chats(events: DataFrame, trained: str = "assistant") -> DataFrame:
     """Fold an event log and render it; see :func:`fold` and :func:`render`. An empty log gives no row."""
     return render(fold(events), trained)

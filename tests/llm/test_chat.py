@@ -53,3 +53,18 @@ def test_rows_nulls_ties_and_odd_roles(spark):
     got = {r["conv_id"]: [(t["role"], t["text"]) for t in r["turns"]] for r in out.collect()}
     assert got == {5: [("sys\ntem", ""), ("user", "a"), ("user", "a"), ("assistant", "x" * 100_000)], 6: [("", "q")], None: [("user", "n")]}
     assert chat.format_chats(spark.createDataFrame([], EVENTS)).count() == 0
+
+
+def test_streamed_rows_fold_back(spark):
+    rows = [(c, t, ["user", "assistant", None][t % 3], [None, "", "a", f"{c}é𝄞 {t} <|im_end|>", "long " * 3_000][(c + t) % 5], "z") for c in range(30) for t in range(12)] + [(40, 1, "user", "tie", "z")] * 2 + [(None, None, None, None, "z")]
+    df = spark.createDataFrame(rows, ROWS)
+    log = chat.as_streamed(df)
+    assert {r["kind"] for r in log.collect()} == {"message", "delta", "edit", "regenerate"}
+    plain, streamed = (sorted(map(repr, chat.format_chats(e).collect())) for e in (chat.rows_as_events(df), log))
+    assert plain == streamed and len(plain) == 32
+
+
+def test_a_long_conversation(spark):
+    rows = [(1, t, "assistant" if t % 2 else "user", f"turn {t} &", "z") for t in range(5_000)]
+    row = chat.read_back(chat.format_chats(chat.as_streamed(spark.createDataFrame(rows, ROWS)))).first()
+    assert [t["text"] for t in row["turns"]] == [r[3] for r in rows] and row["loss_text"] == "".join(r[3] for r in rows if r[2] == "assistant")
