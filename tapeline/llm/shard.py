@@ -62,28 +62,45 @@ def place(key: Column, leaves: list[Leaf], seed: int = 0) -> Column:
     return _pick(key, F.get(F.array(*map(_nodes, shards)), rack), seed)
 
 
-def with_slots(df: DataFrame, order: str, shard: str = "shard", slot: str = "slot", cells: int = 64) -> DataFrame:
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that Spark can hash, which tells rows of one key apart."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+
+
+def with_slots(df: DataFrame, order: str, shard: str = "shard", slot: str = "slot", cells: int | None = None) -> DataFrame:
     """Number the rows of each shard from 0 without a gap.
 
-    Each shard is cut into ``cells`` by a hash of ``order``; rows are numbered within a cell and the counts of the cells
-    before are added, so no task holds a shard. Rows of equal ``order`` get numbers next to each other in any order.
+    Each shard is cut into ``cells`` by a hash of the whole row, by default 64 or a quarter of the session's shuffle
+    partitions; rows are numbered within a cell, by ``order`` and that hash, and the counts of the cells
+    before are added. So no task holds a shard, nor all rows of one key. Rows that are equal throughout share a cell.
     """
-    cut = df.withColumn("__cell", F.pmod(F.xxhash64(order), F.lit(cells)).cast("int"))
+    cells = cells or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    cut = df.withColumn("__row", _row_hash(df)).withColumn("__cell", F.pmod(F.xxhash64("__row", F.lit("cell")), F.lit(cells)).cast("int"))
     counts = cut.groupBy(shard, "__cell").agg(F.count("*").alias("__n"))
     before = Window.partitionBy(shard).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(F.col(shard).alias("__s"), F.col("__cell").alias("__c"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    inside = F.row_number().over(Window.partitionBy(shard, "__cell").orderBy(order)) - 1
+    inside = F.row_number().over(Window.partitionBy(shard, "__cell").orderBy(order, "__row")) - 1
     # base has a row for each shard and cell at most, whatever the input
     joined = cut.withColumn("__k", inside).join(F.broadcast(base), (F.col(shard) == F.col("__s")) & (F.col("__cell") == F.col("__c")))
-    return joined.withColumn(slot, (F.col("__base") + F.col("__k")).cast("long")).drop("__cell", "__s", "__c", "__base", "__k")
+    return joined.withColumn(slot, (F.col("__base") + F.col("__k")).cast("long")).drop("__row", "__cell", "__s", "__c", "__base", "__k")
+
+
+def opens_region(leaves: list[Leaf], grown: list[Leaf]) -> bool:
+    """Whether all that ``grown`` adds stands in regions of its own, so that it takes rows only into itself."""
+    old = {x.region for x in leaves}
+    return [x for x in grown if x.region in old] == leaves
 
 
-def shard(docs: DataFrame, n: int, key: str = "doc_id", seed: int = 0, cells: int = 64) -> DataFrame:
-    """``docs`` with ``shard``, ``slot`` and ``grown_shard`` (the shard if there were one more).
+def shard(docs: DataFrame, n: int, key: str = "doc_id", seed: int = 0, cells: int | None = None, grow: bool = True) -> DataFrame:
+    """``docs`` with ``shard``, ``slot`` and ``grown_shard``, the shard if there were one more, or null without ``grow``.
 
-    All columns are carried, so select those that are needed. Where ``docs`` has columns of these names they are
-    replaced. Empty input gives an empty result; rows of a null key share a shard.
+    The key and ``n`` alone decide. One more shard takes rows only into itself where it opens a region; as it would stand
+    in a region with others unless n is a multiple of six, ``grow`` is an error for other n. All columns are carried, so
+    select those that are needed. Where ``docs`` has columns of these names they are replaced. Empty input gives an empty
+    result; rows of a null key share a shard.
     """
+    if grow and not opens_region(topology(n), topology(n + 1)):
+        raise ValueError(f"shard {n} would join a region of others and move rows among them; take full regions or grow=False")
     kept = docs.drop("shard", "slot", "grown_shard")
-    out = kept.withColumns({"shard": place(F.col(key), topology(n), seed), "grown_shard": place(F.col(key), topology(n + 1), seed)})
-    return with_slots(out, key, cells=cells)
+    more = place(F.col(key), topology(n + 1), seed) if grow else F.lit(None).cast("int")
+    return with_slots(kept.withColumns({"shard": place(F.col(key), topology(n), seed), "grown_shard": more}), key, cells=cells)

@@ -2,7 +2,10 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from dataclasses import replace
+from math import log
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tapeline.llm import shard
@@ -40,14 +43,54 @@ def test_movement_stays_in_changed_subtrees(spark):
 def test_slots_have_no_gap(spark):
     docs = spark.range(3000).selectExpr("id % 700 as doc_id", "id as slot", "id as shard")
     by = defaultdict(list)
-    for r in shard.shard(docs, 5, cells=7).collect():
+    for r in shard.shard(docs, 5, cells=7, grow=False).collect():
         by[r["shard"]].append(r["slot"])
     assert sum(map(len, by.values())) == 3000 and all(sorted(v) == list(range(len(v))) for v in by.values())
 
 
 def test_null_keys_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, "a"), (None, "b"), (1, None)], "doc_id bigint, text string")
-    out = shard.shard(docs, 3).collect()
+    out = shard.shard(docs, 3, grow=False).collect()
     assert len(out) == 3 and len({r["shard"] for r in out if r["doc_id"] is None}) == 1
-    assert shard.shard(docs.limit(0), 3).count() == 0
-    assert {r["shard"] for r in shard.shard(docs, 1).collect()} == {0}
+    assert shard.shard(docs.limit(0), 3, grow=False).count() == 0
+    assert {r["shard"] for r in shard.shard(docs, 1, grow=False).collect()} == {0}
+
+
+def slow_place(key, leaves, seed=0):
+    """The tree without Spark: at each level the child of the smallest exponential draw."""
+
+    def draw(name, weight):
+        h = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+        h = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), xxhash.xxh64_intdigest(name.encode(), h))
+        return -log(((h >> 11) + 0.5) * 2.0**-53) / weight
+
+    for level in ("region", "rack", "shard"):
+        nodes = defaultdict(float)
+        for x in leaves:
+            nodes[getattr(x, level)] += x.weight
+        best = min(nodes, key=lambda k: draw(k if level != "shard" else f"shard{k}", nodes[k]))
+        leaves = [x for x in leaves if getattr(x, level) == best]
+    return leaves[0].shard
+
+
+def test_against_a_plain_tree(spark):
+    leaves = [replace(x, weight=1.0 + x.shard % 3) for x in shard.topology(14)]
+    assert placed(spark, leaves, 2_000) == {k: slow_place(k, leaves) for k in range(2_000)}
+
+
+def test_growth_that_would_move_others_is_an_error(spark):
+    docs = spark.range(3000).withColumnRenamed("id", "doc_id")
+    for n in (6, 12):
+        out = shard.shard(docs, n).collect()
+        assert all(r["grown_shard"] in (r["shard"], n) for r in out)
+    for n in (1, 7, 23):
+        with pytest.raises(ValueError, match="region"):
+            shard.shard(docs, n)
+
+
+def test_rows_of_one_key_are_split(spark):
+    docs = spark.range(4000).select(F.lit(None).cast("bigint").alias("doc_id"), F.col("id").cast("string").alias("text"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    out = shard.shard(docs, 24)
+    assert sorted(r["slot"] for r in out.collect()) == list(range(4000))
+    cell = F.pmod(F.xxhash64(shard._row_hash(docs.select("doc_id", "text")), F.lit("cell")), F.lit(64))
+    assert docs.groupBy(cell).count().agg(F.max("count")).first()[0] < 150
