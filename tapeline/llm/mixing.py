@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.classification import NaiveBayes
@@ -19,6 +21,10 @@ FEATURES = 4096
 EVIDENCE = 50.0
 STEPS = 40
 TOLERANCE = 1e-4
+#: A difference from the targets, as a share of the budget, that is worth a warning.
+MISSED = 0.01
+#: Domains, each of which adds to the plan and to the model; more of them are an error.
+MAX_DOMAINS = 200
 
 
 def _words() -> Column:
@@ -33,7 +39,9 @@ def posteriors(docs: DataFrame, labelled: DataFrame, label: str, train_rows: int
     length over EVIDENCE. Null and empty texts have no token and the prior. Without labelled rows there is one domain.
     """
     known = labelled.where(F.col(label).isNotNull()).select("doc_id", "text", F.col(label).cast("string").alias("domain"))
-    counts = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}  # a row for each domain
+    counts = {r["domain"]: r["count"] for r in known.groupBy("domain").count().limit(MAX_DOMAINS + 1).collect()}
+    if len(counts) > MAX_DOMAINS:
+        raise ValueError(f"{label} has more than {MAX_DOMAINS} values")
     domains = sorted(counts)
     words = docs.select("doc_id", _words().alias("words"))
     if not domains:
@@ -70,39 +78,60 @@ def _rate(p: Column, gradients: list[list[float]]) -> Column:
     return rate
 
 
-def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float], budget: float | None = None, steps: int = STEPS) -> DataFrame:
+@dataclass(frozen=True)
+class Fit:
+    """What a mixture was to reach and reaches: tokens by domain, and the largest difference as a share of the budget."""
+
+    target: dict[str, float]
+    reached: dict[str, float]
+    off: float
+    steps: int
+
+
+def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float], budget: float | None = None, steps: int = STEPS) -> tuple[DataFrame, Fit]:
     """``members(doc_id, n_tokens, p)`` with ``rate``, nonnegative, so that expected domain token totals match the targets.
 
-    Targets are ``budget`` tokens, by default those of the input, dealt by ``weights``; domains without a weight get none.
-    The objective is the sum of squared relative residuals, each domain's weighted by its mass. In the metric that weights
-    documents by tokens its gradient at a document is p times the residuals, and a step of one never overshoots. A step's
-    residuals are one distributed sum over all documents; the rates themselves stay in the cluster, as a function of the
-    few residual vectors. Steps end when residuals are within TOLERANCE of the budget or stop shrinking.
+    Targets are ``budget`` tokens, by default those of the input, dealt by ``weights`` over the domains that have mass; domains
+    without a weight get none. The objective is the sum of squared relative residuals, each domain's weighted by its mass. In
+    the metric that weights documents by tokens its gradient at a document is p times the residuals, and a step of one
+    never overshoots. A step's residuals are one distributed sum over all documents; the rates themselves stay in the
+    cluster, as a function of the few residual vectors. Steps end when residuals are within TOLERANCE of the budget or
+    stop shrinking. Targets can be out of reach, as where each document belongs a little to every domain; then the rates are
+    those of the least residual found, the :class:`Fit` says how far off they are, and a difference over MISSED is a warning.
     """
     k = range(len(domains))
     mass = lambda rate: [F.sum(rate * F.col("n_tokens") * F.get("p", F.lit(i))).alias(f"s{i}") for i in k]
-    own = [x or 0.0 for x in members.agg(*mass(F.lit(1.0))).first()]
-    asked = [max(0.0, weights.get(d, 0.0)) for d in domains]
+    sums = lambda gradients: [x or 0.0 for x in members.agg(*mass(_rate(F.col("p"), gradients))).first()]
+    own = sums([])
+    asked = [max(0.0, weights.get(d, 0.0)) if m > 0 else 0.0 for d, m in zip(domains, own, strict=True)]
     total = budget if budget is not None else sum(own)
-    target = [total * a / (sum(asked) or 1.0) if m > 0 else 0.0 for a, m in zip(asked, own, strict=True)]
-    gradients, held = [], float("inf")
-    for _ in range(steps):
-        now = [x or 0.0 for x in members.agg(*mass(_rate(F.col("p"), gradients))).first()] if gradients else own
-        off = max((abs(s - t) for s, t in zip(now, target, strict=True)), default=0.0) / (total or 1.0)
-        if off <= TOLERANCE or off > held * 0.999:
-            break
-        held = off
+    target = [total * a / (sum(asked) or 1.0) for a in asked]
+    away = lambda now: max((abs(s - t) for s, t in zip(now, target, strict=True)), default=0.0) / (total or 1.0)
+    gradients, now = [], own
+    best = (away(own), 0, own)
+    while best[0] > TOLERANCE and len(gradients) < steps:
         gradients.append([(s - t) / m if m > 0 else 0.0 for s, t, m in zip(now, target, own, strict=True)])
-    return members.withColumn("rate", _rate(F.col("p"), gradients))
+        now = sums(gradients)
+        if away(now) > best[0] * 0.999:
+            break
+        best = (away(now), len(gradients), now)
+    off, taken, reached = best
+    dealt = dict(zip(domains, asked, strict=True))
+    if total and (off > MISSED or any(w > 0 and not dealt.get(d) for d, w in weights.items())):
+        warnings.warn(f"the mixture is {off:.2%} of the budget off its targets, or a domain of them has no documents", stacklevel=2)
+    found = Fit(dict(zip(domains, target, strict=True)), dict(zip(domains, reached, strict=True)), off, taken)
+    return members.withColumn("rate", _rate(F.col("p"), gradients[:taken])), found
 
 
 def mix(docs: DataFrame, labelled: DataFrame, label: str, weights: dict[str, float], budget: float | None = None) -> DataFrame:
-    """``(doc_id, n_tokens, domain, p, rate)`` for each row of ``docs``; ``domain`` is the likeliest. Empty input gives none."""
+    """``(doc_id, n_tokens, domain, p, rate, target, reached)`` for each row of ``docs``; ``domain`` is the likeliest, with the tokens
+    asked for it and expected of it. Empty input gives none."""
     rows, domains = posteriors(docs, labelled, label)
     members = stage(rows, "members")
-    out = fit_rates(members, domains, weights, budget)
+    out, found = fit_rates(members, domains, weights, budget)
     best = F.array_position("p", F.array_max("p")).cast("int")
-    return out.select("doc_id", "n_tokens", F.element_at(F.array(*map(F.lit, domains)), best).alias("domain"), "p", "rate")
+    per = lambda x: F.element_at(F.array(*[F.lit(x[d]) for d in domains]), best)
+    return out.select("doc_id", "n_tokens", F.element_at(F.array(*map(F.lit, domains)), best).alias("domain"), "p", "rate", per(found.target).alias("target"), per(found.reached).alias("reached"))
 
 
 def draw(docs: DataFrame, rates: DataFrame, seed: int = 0) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tapeline.llm import mixing
@@ -25,6 +27,39 @@ def test_totals_match_targets(spark):
     assert all(abs(t - 500) < 1 for t in totals(out))
 
 
+def test_against_plain_least_squares(spark):
+    """The same steps over all documents in numpy, and totals that no other nonnegative rates could bring closer."""
+    rng = np.random.default_rng(5)
+    p = rng.dirichlet([0.4, 0.4, 0.4], 300)
+    n = rng.integers(0, 200, 300)
+    members = spark.createDataFrame([(i, int(t), [float(x) for x in own]) for i, (t, own) in enumerate(zip(n, p, strict=True))], "doc_id bigint, n_tokens bigint, p array<double>")
+    for weights in ({"a": 0.6, "b": 0.3, "c": 0.1}, {"a": 1.0}):
+        out, fit = mixing.fit_rates(members, ["a", "b", "c"], weights)
+        target = n.sum() * np.array([weights.get(d, 0.0) for d in "abc"])
+        rate, own = np.ones(300), n @ p
+        for _ in range(fit.steps):
+            rate = np.maximum(0.0, rate - p @ (((rate * n) @ p - target) / own))
+        got = np.array([r["rate"] for r in out.orderBy("doc_id").collect()])
+        assert np.allclose(got, rate) and np.allclose(list(fit.reached.values()), (rate * n) @ p)
+        assert np.allclose(list(fit.target.values()), target) and abs(fit.off - np.abs((rate * n) @ p - target).max() / n.sum()) < 1e-9
+        assert fit.off < 1e-3 if len(weights) == 3 else fit.off < 0.2
+
+
+def test_targets_out_of_reach_are_told(spark):
+    members = spark.createDataFrame([(1, 100, [0.5, 0.5]), (2, 50, [0.6, 0.4])], "doc_id bigint, n_tokens bigint, p array<double>")
+    with pytest.warns(UserWarning, match="off its targets"):
+        out, fit = mixing.fit_rates(members, ["a", "b"], {"b": 1.0})
+    assert fit.off > 0.2 and out.where("rate < 0").count() == 0
+    with pytest.warns(UserWarning, match="no documents"):
+        assert mixing.fit_rates(members, ["a", "b"], {"a": 0.5, "b": 0.5, "z": 1.0})[1].target["b"] == 75.0
+
+
+def test_too_many_domains(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError, match="lang"):
+        mixing.posteriors(docs, docs, "lang")
+
+
 def test_domain_without_weight_gets_none(spark):
     docs = corpus(spark)
     de, en = totals(mixing.mix(docs, docs, "lang", {"de": 1.0}, budget=300.0))
