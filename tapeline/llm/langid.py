@@ -21,6 +21,8 @@ TRAIN_ROWS = 60_000
 #: Share of a language's probability that is spread evenly over all cells.
 SMOOTHING = 0.01
 STEPS = 25
+#: Languages, each of which adds a column to the model that every task holds; more of them are an error.
+MAX_LANGUAGES = 500
 #: Log-likelihood that a language must add for each halving of its standard error: one parameter's share of the BIC, times
 #: the bytes of an n-gram, as neighbouring n-grams overlap and are not independent.
 PENALTY = 0.5 * GRAM
@@ -119,7 +121,10 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     The driver gets a sum for each language and cell, so its size depends on the number of languages only.
     """
     known = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    share = min(1.0, train_rows / max(1, known.count()))
+    counts = [r["count"] for r in known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()]
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"lang has more than {MAX_LANGUAGES} values")
+    share = min(1.0, train_rows / max(1, sum(counts)))
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1_000_000)) / 1e6 < share)
     sums = drawn.select("text", "lang").mapInArrow(_counts, "lang string, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(sums["lang"].unique()))

@@ -16,6 +16,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document, rows of equal or null doc_id apart; null texts have no words."""
     found = decontaminate.scan(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
@@ -24,15 +25,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; rows of equal doc_id are one document that loses nothing to itself, rows without an id lose nothing."""
     return substring.deduplicate(_read(spark, sf_dir, "documents"), texts=False).drop("kept")
 
 
 def _unseen() -> Column:
     """Documents that no language model learns from."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; rows without an id aren't held out; ties go to the later name."""
     docs = _read(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.fit(docs.where(~_unseen())))
     return found.select("doc_id", _unseen().alias("held_out"), "lang_pred", "score")
@@ -49,6 +52,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; rows of equal doc_id, also of null, share a shard, where each has its slot."""
     text = F.coalesce("text", F.lit(""))
     docs = _read(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("key").alias("law"))
     return shard.shard(docs, 24).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -59,18 +63,22 @@ TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; null and empty texts have no token and the prior's rate. ``target`` and ``reached`` are its domain's."""
     docs = _read(spark, sf_dir, "documents")
-    return mixing.mix(docs, docs, "lang", TARGETS).select("doc_id", "n_tokens", "domain", "rate")
+    return mixing.mix(docs, docs, "lang", TARGETS).select("doc_id", "n_tokens", "domain", "rate", "target", "reached")
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; texts without a word have fingerprint zero; a component of rows without an id has a null id."""
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each conversation; rows of equal turn are turns of their own, ordered by role and text. The rows go in as the log
+    of events that a streaming client would have left."""
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.sql("select * from values (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') t(conv_id, turn, role, text)")
-    back = chat.read_back(chat.format_chats(chat.rows_as_events(rows.unionByName(extra))))
+    back = chat.read_back(chat.format_chats(chat.as_streamed(rows.unionByName(extra))))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
@@ -79,10 +87,13 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; null texts stay null; one entity has one surrogate in all of them."""
     return pii.pseudonymise(_read(spark, sf_dir, "documents"), b"change me: the key of this query is public").select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document, null texts failing the base; languages are the strata, null being one. Contradicting labels of
+    one doc_id don't count."""
     docs = _read(spark, sf_dir, "documents")
     stats = stage(quality.base_stats(docs, "lang"), "quality")  # read twice: to fit and to judge
     cutoffs = quality.fit(stats, _read(spark, sf_dir, "labels"))

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+from collections import Counter
+from math import log
+
+import pytest
 from pyspark.sql import functions as F
 
 from tapeline.llm import langid
@@ -46,3 +50,47 @@ def test_unknown_texts_go(spark):
     docs = spark.createDataFrame([(1, ENGLISH, "a"), (2, "qqzzx xjqwz zzqxw " * 20, "b"), (3, None, "c"), (None, GERMAN, "d")], "doc_id bigint, text string, unknown string")
     out = langid.known_language(docs, model)
     assert out.columns == docs.columns and sorted((r["doc_id"] or 0) for r in out.collect()) == [0, 1]
+
+
+def plain_em(p, n, steps=25):
+    """Shares of the columns by expectation-maximisation, one n-gram at a time."""
+    k = len(p[0])
+    share = [1.0 / k] * k
+    for _ in range(steps):
+        new = [0.0] * k
+        for row, c in zip(p, n, strict=True):
+            joint = [x * s for x, s in zip(row, share, strict=True)]
+            for j in range(k):
+                new[j] += c * joint[j] / sum(joint) / sum(n)
+        done = max(abs(a - b) for a, b in zip(new, share, strict=True)) < 1e-3
+        share = new
+        if done:
+            break
+    return share, sum(c * log(sum(x * s for x, s in zip(row, share, strict=True))) for row, c in zip(p, n, strict=True))
+
+
+def test_inference_against_plain_em(spark):
+    model = small_model(spark)
+    for text in (ENGLISH, GERMAN, f"{ENGLISH} {GERMAN}", f"{ENGLISH} {ENGLISH} wasser haus", "qqzzx xjqwz " * 9, "x"):
+        count = Counter(langid.cells(text).tolist())
+        n = [float(c) for c in count.values()]
+        p = model.p[list(count)].tolist()
+        share, _ = plain_em(p, n)
+        order = sorted(range(len(share) - 1), key=lambda i: -share[i])
+        best, held = None, float("-inf")
+        for size in range(1, len(order) + 1):
+            chosen = order[:size] + [len(share) - 1]
+            own, fit = plain_em([[row[i] for i in chosen] for row in p], n)
+            fit -= langid.PENALTY * log(sum(n)) * size
+            if fit <= held:
+                break
+            best, held = dict(zip([model.languages[i] for i in chosen[:-1]], own, strict=False)), fit
+        got = langid.infer(model, text)
+        assert got.mixture.keys() == best.keys() and all(abs(got.mixture[k] - v) < 1e-6 for k, v in best.items())
+        assert got.language == max(best, key=lambda k: (best[k], k))
+
+
+def test_too_many_languages(spark):
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.col("id").alias("lang"))
+    with pytest.raises(ValueError, match="lang"):
+        langid.fit(docs)
