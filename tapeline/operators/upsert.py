@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,18 +21,31 @@ def drop_empty(batch: DataFrame, key: Sequence[str] = (), keep_null_key: bool =
     return out if keep_null_key or not key else out.na.drop(subset=list(key))
 
 
+def _keyed(key: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(k).isNotNull() for k in key])
+
+
 def latest(batch: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Of each key the row that comes first in ``order``; all columns stay."""
-    return batch.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("__n = 1").drop("__n")
+    """Of each key the row that comes first in ``order``; all columns stay. Rows that lack a part of the key are out."""
+    ranked = batch.where(_keyed(key)).withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    return ranked.where("__n = 1").drop("__n")
 
 
-def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[Column], null_keys: bool = False) -> DataFrame:
     """Rows of ``new`` replace those of the same key, whole: columns that ``new`` lacks become null.
 
-    Of several new rows of a key the first in ``order`` wins. Both sides are dealt by the key once.
+    Of several new rows of a key the first in ``order`` wins. Rows of ``new`` that lack a part of the key are left out. With
+    ``null_keys`` they come in, all of them, as no two of them have a key in common; but one that equals an old row in all
+    columns that both tables have is there already, so a repeated batch changes nothing. Both sides are dealt by the key once.
     """
     fresh = latest(new, key, order)
-    return old.join(fresh.select(*key), list(key), "left_anti").unionByName(fresh, allowMissingColumns=True)
+    out = old.join(fresh.select(*key), list(key), "left_anti").unionByName(fresh, allowMissingColumns=True)
+    if not null_keys:
+        return out
+    common = [c for c in old.columns if c in new.columns]
+    have = old.where(~_keyed(key)).select(*[F.col(f"`{c}`").alias(f"__o{i}") for i, c in enumerate(common)])
+    same = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"__o{i}")) for i, c in enumerate(common)])
+    return out.unionByName(new.where(~_keyed(key)).join(have, same, "left_anti"), allowMissingColumns=True)
 
 
 def replace_partitions(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -50,8 +65,11 @@ LOG_KEY = ["table_name", "date_val"]
 
 
 def merge_log(log: DataFrame, results: DataFrame) -> DataFrame:
-    """The log with results ``(table_name, date_val, ok, last_try)`` merged in; retry counts stay. Another state than 0 to 3 is an error."""
-    new = results.select(*LOG_KEY, F.col("ok").alias("new_ok"), F.col("last_try").alias("new_try"))
+    """The log with results ``(table_name, date_val, ok, last_try)`` merged in; retry counts stay. Another state than 0 to 3 is an error.
+
+    Of several results of a partition the latest counts, and of those of one instant the highest state.
+    """
+    new = results.groupBy(*LOG_KEY).agg(F.max(F.struct("last_try", "ok")).alias("r")).select(*LOG_KEY, F.col("r.ok").alias("new_ok"), F.col("r.last_try").alias("new_try"))
     ok = F.coalesce("new_ok", "ok")
     checked = F.when(ok.isin(FAILED, LOADED, EMPTY, ABANDONED), ok).otherwise(F.raise_error(F.concat(F.lit("no such state: "), F.coalesce(ok.cast("string"), F.lit("null")))).cast("int"))
     return log.join(new, LOG_KEY, "full").select(*LOG_KEY, checked.alias("ok"), F.coalesce("retry_count", F.lit(0)).alias("retry_count"), F.coalesce("new_try", "last_try").alias("last_try"))

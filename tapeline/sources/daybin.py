@@ -1,22 +1,25 @@
 """Day-vector files: little-endian float32, the first value the position of the first day, then a value for each day.
 
-A file per instrument and field, ``<path>/<instrument>/<field>.day.bin``. Files are staged by tasks and moved when the job
-commits, so a failed or repeated task leaves nothing behind. Registered as format ``daybin``.
+A file per instrument and field, ``<path>/<instrument>/<field>.day.bin``. Tasks stage files; the commit moves whole
+instruments at once, and an overwrite keeps what was there aside until all is in place, so a failed write leaves the old
+files. Registered as format ``daybin``.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from itertools import groupby
+from urllib.parse import urlsplit
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 SUFFIX = ".day.bin"
@@ -59,43 +62,68 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
 
 
+#: Moves and look-ups that the commit has under way at once.
+MOVES = 32
+
+
+def _all(f: Callable, items: list) -> None:
+    with ThreadPoolExecutor(MOVES) as pool:
+        for _ in pool.map(f, items):
+            pass
+
+
 @dataclass
 class Written(WriterCommitMessage):
-    moves: list[tuple[str, str]]
+    """What a task staged: its folder, and the fields of each of its instruments."""
 
+    folder: str
+    fields: dict[str, list[str]]
 
-class DayBinWriter(DataSourceWriter):
+
+class DayBinWriter(DataSourceArrowWriter):
     def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite, self.staging = path.rstrip("/"), overwrite, f"_staging-{uuid.uuid4().hex}"
+        self.path, self.overwrite, self.id = path.rstrip("/"), overwrite, uuid.uuid4().hex
+        self.staging, self.aside = f"_staging-{self.id}", f"_old-{self.id}"
 
-    def write(self, iterator: Iterator) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         disk, root = _open(self.path)
-        at, moves = f"{root}/{self.staging}/{uuid.uuid4().hex}", []
-        for (inst, field), rows in groupby(iterator, key=lambda r: (r["instrument"], r["field"])):
-            own = [(r["cal_idx"], np.nan if r["value"] is None else r["value"]) for r in rows]
-            index, values = np.array([i for i, _ in own], np.int64), np.array([v for _, v in own], np.float64)
-            final = f"{root}/{inst}/{field}{SUFFIX}"
-            there = not self.overwrite and disk.get_file_info(final).type == fs.FileType.File
-            raw = extend(disk.open_input_stream(final).read(), index, values) if there else pack(index, values)
+        out = Written(f"{root}/{self.staging}/{uuid.uuid4().hex}", {})
+        for (inst, field), index, values in _vectors(iterator):
+            there = f"{root}/{inst}/{field}{SUFFIX}"
+            append = not self.overwrite and disk.get_file_info(there).type == fs.FileType.File
+            raw = extend(disk.open_input_stream(there).read(), index, values) if append else pack(index, values)
             if raw is None:
                 continue
-            disk.create_dir(f"{at}/{inst}")
-            with disk.open_output_stream(f"{at}/{inst}/{field}{SUFFIX}") as out:
-                out.write(raw)
-            moves.append((f"{at}/{inst}/{field}{SUFFIX}", final))
-        return Written(moves)
+            if inst not in out.fields:
+                disk.create_dir(f"{out.folder}/{inst}")
+            out.fields.setdefault(inst, []).append(field)
+            with disk.open_output_stream(f"{out.folder}/{inst}/{field}{SUFFIX}") as f:
+                f.write(raw)
+        return out
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Overwrite: old instruments step aside, new ones move in, then the old go; a failure moves them back. Append: longer
+        files replace shorter ones, each at once; after a failure the same append finishes the rest."""
         disk, root = _open(self.path)
-        if self.overwrite:
-            for info in disk.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-                if info.type == fs.FileType.Directory and not info.base_name.startswith("_"):
-                    disk.delete_dir(info.path)
-        moves = [m for message in messages if message for m in message.moves]
-        for folder in {final.rpartition("/")[0] for _, final in moves}:
-            disk.create_dir(folder)
-        for staged, final in moves:
-            disk.move(staged, final)
+        staged = [(f"{m.folder}/{inst}", inst, fields) for m in messages if m for inst, fields in m.fields.items()]
+        if not self.overwrite:
+            _all(lambda x: disk.create_dir(f"{root}/{x[1]}"), staged)
+            _all(lambda x: disk.move(*x), [(f"{at}/{field}{SUFFIX}", f"{root}/{inst}/{field}{SUFFIX}") for at, inst, fields in staged for field in fields])
+            return self.abort(messages)
+        disk.create_dir(f"{root}/{self.aside}")
+        old = [i.base_name for i in disk.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.Directory and not i.base_name.startswith("_")]
+        moved: list[str] = []
+        try:
+            _all(lambda inst: disk.move(f"{root}/{inst}", f"{root}/{self.aside}/{inst}"), old)
+            _all(lambda x: (disk.move(x[0], f"{root}/{x[1]}"), moved.append(x[1])), staged)
+        except BaseException:
+            for inst in moved:
+                disk.delete_dir(f"{root}/{inst}")
+            for info in disk.get_file_info(fs.FileSelector(f"{root}/{self.aside}")):
+                disk.move(info.path, f"{root}/{info.base_name}")
+            disk.delete_dir(f"{root}/{self.aside}")
+            raise
+        disk.delete_dir(f"{root}/{self.aside}")
         self.abort(messages)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -104,6 +132,29 @@ class DayBinWriter(DataSourceWriter):
             disk.delete_dir(f"{root}/{self.staging}")
 
 
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, str], np.ndarray, np.ndarray]]:
+    """Each vector of batches sorted by instrument and field: its names, positions and values; nulls are NaN."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    name: tuple[str, str] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = [batch.column(c).dictionary_encode() for c in ("instrument", "field")]
+        inst, field = (x.indices.to_numpy() for x in names)
+        index = batch.column("cal_idx").to_numpy()
+        values = batch.column("value").to_numpy(zero_copy_only=False).astype(np.float64)
+        turns = (np.flatnonzero((inst[1:] != inst[:-1]) | (field[1:] != field[:-1])) + 1).tolist()
+        for a, b in zip([0, *turns], [*turns, batch.num_rows], strict=True):
+            own = (names[0].dictionary[int(inst[a])].as_py(), names[1].dictionary[int(field[a])].as_py())
+            if own != name and held:
+                yield name, *(np.concatenate(x) for x in zip(*held, strict=True))
+                held = []
+            name = own
+            held.append((index[a:b], values[a:b]))
+    if held:
+        yield name, *(np.concatenate(x) for x in zip(*held, strict=True))
+
+
 class DayBin(DataSource):
     """Writes rows ``(instrument, field, cal_idx, value)``, sorted in their partition, all of an instrument in one partition."""
 
@@ -118,9 +169,12 @@ class DayBin(DataSource):
 def write(slots: DataFrame, fields: list[str], path: str, append: bool = False, tasks: int | None = None) -> None:
     """Write features ``(instrument, cal_idx, <fields>)``; with ``append`` only what comes after the files' ends.
 
-    One shuffle deals instruments to ``tasks``, by default the session's shuffle partitions; each task holds one vector.
+    One shuffle deals instruments to ``tasks``, by default the session's shuffle partitions; each task holds one vector. A path
+    without a scheme is a task's own disk, so it is an error anywhere but in a local session.
     """
     spark = slots.sparkSession
+    if not urlsplit(path).scheme and spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError(f"give {path} with its scheme: tasks write it")
     spark.dataSource.register(DayBin)
     long = slots.select("instrument", F.col("cal_idx").cast("long").alias("cal_idx"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("value")) for f in fields])).alias("x"))
     n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -13,24 +13,32 @@ PAYLOAD = "code int, msg string, data struct<fields: array<string>, items: array
 def parse_payloads(df: DataFrame, text: str = "payload") -> DataFrame:
     """``df`` with ``code``, ``msg``, ``data`` of the JSON in ``text``, and ``reject``, the reason a payload can't be used, or null.
 
-    A code other than 0, a body without data and an item that doesn't fit the fields are errors. No items is a valid,
-    empty result.
+    A code other than 0, a body without data, a field name that is null or occurs twice, and an item that doesn't fit the
+    fields are errors. No items is a valid, empty result. A payload is parsed once: what follows is computed inside one
+    function of the parsed value, which the optimiser can't take apart.
     """
-    p = df.withColumn("p", F.from_json(text, PAYLOAD))
-    code, fields, items = F.col("p.code"), F.col("p.data.fields"), F.col("p.data.items")
-    misfit = F.exists(F.coalesce(items, F.array().cast("array<array<string>>")), lambda i: F.size(i) != F.size(fields))
-    reject = (
-        F.when(F.col("p").isNull() | code.isNull(), "malformed").when(code != 0, F.concat(F.lit("code "), code.cast("string")))
-        .when(fields.isNull() | items.isNull(), "no data").when(misfit, "item length")
-    )
-    return p.withColumn("reject", reject).select(*df.columns, code.alias("code"), F.col("p.msg").alias("msg"), F.col("p.data").alias("data"), "reject")
+
+    def judged(p: Column) -> Column:
+        code, fields, items = p["code"], p["data"]["fields"], p["data"]["items"]
+        misfit = F.exists(F.coalesce(items, F.array().cast("array<array<string>>")), lambda i: i.isNull() | (F.size(i) != F.size(fields)))
+        reject = (
+            F.when(p.isNull() | code.isNull(), "malformed").when(code != 0, F.concat(F.lit("code "), code.cast("string")))
+            .when(fields.isNull() | items.isNull(), "no data").when(F.exists(fields, lambda f: f.isNull()) | (F.size(F.array_distinct(fields)) < F.size(fields)), "field names").when(misfit, "item length")
+        )
+        return F.struct(code.alias("code"), p["msg"].alias("msg"), p["data"].alias("data"), reject.alias("reject"))
+
+    one = F.transform(F.array(F.from_json(text, PAYLOAD)), judged)
+    return df.select(*df.columns, F.inline(one))
 
 
 def payload_rows(parsed: DataFrame, columns: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """A row per item of good payloads, with the given columns and types; a value of another type is null, an unknown field dropped."""
-    rows = parsed.where("reject IS NULL").select(*keep, F.col("data.fields").alias("__f"), F.posexplode("data.items").alias("row_no", "__i"))
-    pairs = rows.withColumn("__m", F.map_from_arrays("__f", "__i"))
-    return pairs.select(*keep, "row_no", *[F.try_element_at("__m", F.lit(c)).try_cast(t).alias(c) for c, t in columns.items()])
+    """A row per item of good payloads, with the given columns and types; a value of another type is null, an unknown field dropped.
+
+    Where a field stands is looked up once a payload.
+    """
+    rows = parsed.where("reject IS NULL").select(*keep, F.array(*[F.array_position("data.fields", F.lit(c)).cast("int") for c in columns]).alias("__at"), F.posexplode("data.items").alias("row_no", "__i"))
+    value = lambda k: F.get("__i", F.nullif(F.get("__at", F.lit(k)), F.lit(0)) - 1)
+    return rows.select(*keep, "row_no", *[value(k).try_cast(t).alias(c) for k, (c, t) in enumerate(columns.items())])
 
 
 def stitch_pages(pages: DataFrame, keys: list[str], max_rows: int, first: Column) -> DataFrame:

@@ -23,7 +23,8 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def merge_batch(batch: DataFrame, spec: TableSpec, path: str, schema: str) -> None:
     """Merge rows into the table at ``path``, partitioned by the month of its date; only months that the batch touches are rewritten.
 
-    Keyed tables take the last row of a key by ``seq``. Tables with a replace key, by which a batch brings whole days or
+    Keyed tables take the last row of a key by ``seq``; where the specification keeps rows without a whole key, all of them are
+    kept that aren't there yet. Tables with a replace key, by which a batch brings whole days or
     codes, lose what the batch brings anew; where that key isn't the date, old rows may stand in any month, so all months
     are read.
     """
@@ -36,7 +37,7 @@ def merge_batch(batch: DataFrame, spec: TableSpec, path: str, schema: str) -> No
     if by_date:
         old = old.join(F.broadcast(new.select(MONTH).distinct()), MONTH, "left_semi")  # months: few
     if spec.key:
-        merged = upsert.upsert(old, new, list(spec.key), [F.desc("seq")])
+        merged = upsert.upsert(old, new, list(spec.key), [F.desc("seq")], spec.keep_null_key)
     elif spec.replace_key:
         merged = upsert.replace_partitions(old, new, [spec.replace_key])
     else:

@@ -3,6 +3,8 @@ from __future__ import annotations
 from datetime import date
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -53,6 +55,46 @@ def test_write_append_read(spark, tmp_path):
     assert [r["instrument"] for r in daybin.read(spark, path).collect()] == ["C"]
 
 
+def test_failed_overwrite_keeps_the_old_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "v")
+    schema = "instrument string, cal_idx int, close double"
+    daybin.write(spark.createDataFrame([(i, 3, 1.5) for i in "ABC"], schema), ["close"], path)
+    writer = daybin.DayBinWriter(path, overwrite=True)
+    batch = pa.RecordBatch.from_pylist([{"instrument": i, "field": "close", "cal_idx": 1, "value": 9.0} for i in "BCD"])
+    message = writer.write(iter([batch.slice(0, 1), batch.slice(1)]))
+    assert message.fields == {"B": ["close"], "C": ["close"], "D": ["close"]}
+    real = daybin._open
+
+    class Fails:
+        def __init__(self, disk):
+            self.disk = disk
+
+        def __getattr__(self, name):
+            return getattr(self.disk, name)
+
+        def move(self, a, b):
+            if b.endswith("/D"):
+                raise OSError("no more moves")
+            self.disk.move(a, b)
+
+    monkeypatch.setattr(daybin, "_open", lambda p: (Fails(real(p)[0]), real(p)[1]))
+    with pytest.raises(OSError, match="no more moves"):
+        writer.commit([message])
+    writer.abort([message])
+    monkeypatch.undo()
+    assert sorted((r["instrument"], r["cal_idx"], r["value"]) for r in daybin.read(spark, path).collect()) == [(i, 3, 1.5) for i in "ABC"]
+    assert sorted(p.name for p in (tmp_path / "v").iterdir()) == ["A", "B", "C"]
+
+
+def test_vectors_over_batches():
+    rows = [{"instrument": i, "field": f, "cal_idx": k, "value": None if k == 2 else float(k)} for i in "AB" for f in "xy" for k in range(5)]
+    batch = pa.RecordBatch.from_pylist(rows)
+    for step in (1, 3, 20):
+        got = list(daybin._vectors(batch.slice(k, step) for k in range(0, 20, step)))
+        assert [n for n, _, _ in got] == [("A", "x"), ("A", "y"), ("B", "x"), ("B", "y")]
+        assert all(i.tolist() == [0, 1, 2, 3, 4] and np.isnan(v[2]) and v[4] == 4.0 for _, i, v in got)
+
+
 def test_lists(spark, tmp_path):
     df = spark.createDataFrame([("SZ1", None, None), ("SH2", date(2020, 1, 1), date(2021, 1, 1))], "instrument string, start date, end date")
     text.write_instruments(df, f"{tmp_path}/i")

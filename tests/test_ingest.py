@@ -49,3 +49,20 @@ def test_code_replace_reaches_other_months(spark, tmp_path):
     run(spark, tmp_path, spec)
     land(tmp_path / "landed", "b.json", ["A", "20240302", "3"], at=10)
     assert run(spark, tmp_path, spec) == [("A", "2024-03-02", 3.0), ("B", "2024-01-02", 2.0)]
+
+
+def test_rows_without_a_whole_key_are_kept_once(spark, tmp_path):
+    spec = TableSpec("dividend", ("ts_code", "trade_date"), "trade_date", "domain", keep_null_key=True)
+    land(tmp_path / "landed", "a.json", ["A", None, "1"], ["A", None, "2"], ["A", "20240102", "3"])
+    want = [("A", "2024-01-02", 3.0), ("A", "None", 1.0), ("A", "None", 2.0)]
+    assert run(spark, tmp_path, spec) == want
+    land(tmp_path / "landed", "b.json", ["A", None, "2"], ["A", None, "1"], at=10)
+    assert run(spark, tmp_path, spec) == want
+
+
+def test_a_broken_payload_doesnt_end_the_stream(spark, tmp_path):
+    spec = TableSpec("bars", ("ts_code", "trade_date"), "trade_date", "trade_date")
+    land(tmp_path / "landed", "a.json", ["A", "20240102", "1.0"])
+    (tmp_path / "landed" / "b.json").write_text(json.dumps({"code": 0, "data": {"fields": ["val", "val"], "items": [["1", "2"]]}}) + "\n")
+    assert run(spark, tmp_path, spec) == [("A", "2024-01-02", 1.0)]
+    assert [r["reject"] for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["field names"]

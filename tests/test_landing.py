@@ -16,6 +16,7 @@ def test_reasons(spark):
     cases = {
         payload(): None, payload(items=()): None, payload(code=-1): "code -1", payload(code=40203): "code 40203", payload(items=(("A", "1", "2"),)): "item length",
         json.dumps({"msg": "no code"}): "malformed", json.dumps({"code": 0, "data": None}): "no data", "": "malformed",
+        payload(fields=("a", "a"), items=(("1", "2"),)): "field names", payload(fields=("a", None), items=(("1", "2"),)): "field names", '{"code":0,"data":{"fields":["a"],"items":[null]}}': "item length",
     }
     df = spark.createDataFrame([(p,) for p in cases], "payload string")
     assert {r["payload"]: r["reject"] for r in landing.parse_payloads(df).collect()} == cases
@@ -27,6 +28,14 @@ def test_rows_with_types(spark):
     assert [tuple(r) for r in out.orderBy("row_no").collect()] == [(0, "A", 1.5, None), (1, "B", None, None), (2, "C", None, None)]
 
 
+def test_one_bad_payload_doesnt_stop_the_rest_and_each_is_parsed_once(spark):
+    df = spark.createDataFrame([(payload(fields=("ts_code", "ts_code"), items=(("A", "B"),)),), (payload(),)], "payload string")
+    out = landing.payload_rows(landing.parse_payloads(df), {"ts_code": "string", "val": "double"})
+    assert [tuple(r) for r in out.collect()] == [(0, "A", 1.5)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def kept(spark, pages):
     df = spark.createDataFrame([("q", *p) for p in pages], "q string, page_no int, n_rows int, first string, status string")
     out = landing.stitch_pages(df, ["q"], 2, F.col("first"))

@@ -34,6 +34,17 @@ def test_null_keys_and_empty_rows(spark):
     assert upsert.drop_empty(b, key, keep_null_key=True).count() == 3
 
 
+def test_rows_without_a_key_have_none_in_common(spark):
+    key, order = ["ts_code", "trade_date"], [F.desc("val")]
+    old = spark.createDataFrame([("A", "1", 1.0), ("B", None, 5.0)], EOD)
+    new = spark.createDataFrame([("A", "1", 2.0), ("C", None, 3.0), ("C", None, 4.0), ("B", None, 5.0), ("C", None, 4.0), (None, None, None)], EOD)
+    once = upsert.upsert(old, new, key, order, null_keys=True)
+    want = sorted([("A", "1", 2.0), ("B", None, 5.0), ("C", None, 3.0), ("C", None, 4.0), ("C", None, 4.0), (None, None, None)], key=str)
+    assert rows(once) == want
+    assert rows(upsert.upsert(once, new, key, order, null_keys=True)) == want  # a repeated batch changes nothing
+    assert rows(upsert.upsert(old, new, key, order)) == [("A", "1", 2.0), ("B", None, 5.0)]
+
+
 def test_unknown_columns_go(spark):
     b = spark.createDataFrame([("A", 1.0, "x")], "ts_code string, val double, extra string")
     assert upsert.known_columns(b, ["ts_code", "val"]).columns == ["ts_code", "val"]
@@ -66,6 +77,13 @@ def test_log_transition_and_bad_state(spark):
         upsert.merge_log(old, new.withColumn("ok", F.lit(99))).collect()
 
 
+def test_repeated_results_count_once(spark):
+    old = log(spark, ("a", "1", 0, 2))
+    later = datetime(2024, 2, 2)
+    new = spark.createDataFrame([("a", "1", 1, NOW), ("a", "1", 2, later), ("a", "1", 0, later), ("b", "1", 1, NOW), ("b", "1", 1, NOW)], "table_name string, date_val string, ok int, last_try timestamp_ntz")
+    assert rows(upsert.merge_log(old, new)) == [("a", "1", 2, 2, later), ("b", "1", 1, 0, NOW)]
+
+
 def test_retry_until_abandoned(spark):
     old = log(spark, ("a", "1", 0, 4), ("a", "2", 0, 5), ("x", "1", 0, 0), ("a", "3", 2, 0))
     out = {(r["table_name"], r["date_val"]): (r["ok"], r["retry_count"], r["again"]) for r in upsert.retry(old, spark.createDataFrame([("a",)], "table_name string"), F.lit(NOW)).collect()}
