@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tapeline.catalog import EXPORTS, ExportSpec, derive_fields
 from tapeline.functions import codes
 from tapeline.operators import calendar, features, incremental, instruments, quality
-from tapeline.plans.inputs import BARS, CODES, DATES, LOG, SLOTTED, STATE, Query, bars, code, days, log, query, read, state, supplier_codes
+from tapeline.plans.inputs import BARS, CODES, DATES, LOG, QUERIES, SLOTTED, SQL, STATE, bars, code, days, log, query, read, state, supplier_codes
 from tapeline.sources import daybin, paths, text
 
 #: Quotients of two-decimal values fall on rounding ties; both sides move off them by the same bit.
@@ -132,46 +132,24 @@ def vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "d", codes.vwap("l_extendedprice", F.col("l_quantity") - 1).cast("double").alias("vwap"))
 
 
-FEW = "few AS (SELECT inst, cal_idx, max(l_quantity) AS q, max(CASE WHEN l_quantity > 25 THEN l_extendedprice END) AS p FROM slotted WHERE inst % 10 = 1 AND l_linenumber = 1 GROUP BY 1, 2)"
+#: A value a slot for all instruments and lines, with gaps.
+TOPS = "tops AS (SELECT inst, cal_idx, max(l_quantity) AS q, max(CASE WHEN l_quantity > 25 THEN l_extendedprice END) AS p FROM slotted GROUP BY 1, 2)"
 
 
-def _few(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _slotted(spark, sf_dir).where("inst % 10 = 1 AND l_linenumber = 1")
-    return s.groupBy("inst", "cal_idx").agg(F.max("l_quantity").alias("q"), F.max(F.when(F.col("l_quantity") > 25, F.col("l_extendedprice"))).alias("p"))
+def _tops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _slotted(spark, sf_dir).groupBy("inst", "cal_idx").agg(F.max("l_quantity").alias("q"), F.max(F.when(F.col("l_quantity") > 25, F.col("l_extendedprice"))).alias("p"))
 
 
-@query(f"""WITH {SLOTTED}, {FEW}, spans AS (SELECT inst, CAST(unnest(range(min(cal_idx), max(cal_idx) + 1)) AS INTEGER) AS cal_idx FROM few GROUP BY inst)
-           SELECT s.inst, s.cal_idx, q, p FROM spans s LEFT JOIN few f ON s.inst = f.inst AND s.cal_idx = f.cal_idx""")
+@query(f"""WITH {SLOTTED}, {TOPS}, spans AS (SELECT inst, CAST(unnest(range(min(cal_idx), max(cal_idx) + 1)) AS INTEGER) AS cal_idx FROM tops GROUP BY inst)
+           SELECT s.inst, s.cal_idx, q, p FROM spans s LEFT JOIN tops f ON s.inst = f.inst AND s.cal_idx = f.cal_idx""")
 def dense_align(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.densify(_few(spark, sf_dir), ["inst"], ["q", "p"])
+    return features.densify(_tops(spark, sf_dir), ["inst"], ["q", "p"])
 
 
-@query(f"""WITH {SLOTTED}, {FEW} SELECT inst, 'q' AS field, min(cal_idx) AS first_idx, max(cal_idx) AS last_idx FROM few GROUP BY 1 UNION ALL
-           SELECT inst, 'p', min(cal_idx), max(cal_idx) FROM few WHERE p IS NOT NULL GROUP BY 1""")
+@query(f"""WITH {SLOTTED}, {TOPS} SELECT inst, 'q' AS field, min(cal_idx) AS first_idx, max(cal_idx) AS last_idx FROM tops GROUP BY 1 UNION ALL
+           SELECT inst, 'p', min(cal_idx), max(cal_idx) FROM tops WHERE p IS NOT NULL GROUP BY 1""")
 def trim_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.valid_bounds(_few(spark, sf_dir), ["inst"], ["q", "p"])
-
-
-#: The same slots of all instruments and lines.
-WHOLE = FEW.replace(" WHERE inst % 10 = 1 AND l_linenumber = 1", "")
-
-
-def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _slotted(spark, sf_dir).groupBy("inst", "cal_idx").agg(F.max("l_quantity").alias("q"), F.max(F.when(F.col("l_quantity") > 25, F.col("l_extendedprice"))).alias("p"))
-
-
-@query(f"""WITH {SLOTTED}, {WHOLE}, spans AS (SELECT inst, CAST(unnest(range(min(cal_idx), max(cal_idx) + 1)) AS INTEGER) AS cal_idx FROM few GROUP BY inst)
-           SELECT s.inst, s.cal_idx, q, p FROM spans s LEFT JOIN few f ON s.inst = f.inst AND s.cal_idx = f.cal_idx""")
-def dense_align_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All instruments and lines."""
-    return features.densify(_whole(spark, sf_dir), ["inst"], ["q", "p"])
-
-
-@query(f"""WITH {SLOTTED}, {WHOLE} SELECT inst, 'q' AS field, min(cal_idx) AS first_idx, max(cal_idx) AS last_idx FROM few GROUP BY 1 UNION ALL
-           SELECT inst, 'p', min(cal_idx), max(cal_idx) FROM few WHERE p IS NOT NULL GROUP BY 1""")
-def trim_bounds_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All instruments and lines."""
-    return features.valid_bounds(_whole(spark, sf_dir), ["inst"], ["q", "p"])
+    return features.valid_bounds(_tops(spark, sf_dir), ["inst"], ["q", "p"])
 
 
 BLOCK = ExportSpec("block_trade", "stock", naming="aggregated", prefix="bt", agg="sum_count", count_name="bt_trade_cnt", weights={"price": "vol"})
@@ -430,11 +408,11 @@ def reset_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- files ---------------------------------------------------------------------------------------------------
 
-VECTORS = f"{SLOTTED}, {FEW}, long AS (SELECT CAST(inst AS VARCHAR) AS instrument, 'q' AS field, CAST(cal_idx AS BIGINT) AS cal_idx, CAST(CAST(q AS REAL) AS DOUBLE) AS value FROM few UNION ALL SELECT CAST(inst AS VARCHAR), 'p', cal_idx, CAST(CAST(p AS REAL) AS DOUBLE) FROM few WHERE p IS NOT NULL)"
+VECTORS = f"{SLOTTED}, {TOPS}, long AS (SELECT CAST(inst AS VARCHAR) AS instrument, 'q' AS field, CAST(cal_idx AS BIGINT) AS cal_idx, CAST(CAST(q AS REAL) AS DOUBLE) AS value FROM tops UNION ALL SELECT CAST(inst AS VARCHAR), 'p', cal_idx, CAST(CAST(p AS REAL) AS DOUBLE) FROM tops WHERE p IS NOT NULL)"
 
 
-def _vectors(spark: SparkSession, sf_dir: str, slots: Query = _few) -> DataFrame:
-    return paths.stage(slots(spark, sf_dir).select(F.col("inst").cast("string").alias("instrument"), "cal_idx", "q", "p"), "slots")
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paths.stage(_tops(spark, sf_dir).select(F.col("inst").cast("string").alias("instrument"), "cal_idx", "q", "p"), "slots")
 
 
 def _read_vectors(spark: SparkSession, path: str) -> DataFrame:
@@ -457,24 +435,9 @@ def daybin_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_vectors(spark, path)
 
 
-WHOLE_VECTORS = VECTORS.replace(FEW, WHOLE)
-
-
-@query(f"WITH {WHOLE_VECTORS} SELECT * FROM long")
-def daybin_roundtrip_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All instruments and lines."""
-    path = paths.fresh_path(spark, "vectors")
-    daybin.write(_vectors(spark, sf_dir, _whole), ["q", "p"], path)
-    return _read_vectors(spark, path)
-
-
-@query(f"WITH {WHOLE_VECTORS} SELECT * FROM long")
-def daybin_append_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All instruments and lines; half the days first, then all."""
-    path, slots = paths.fresh_path(spark, "vectors"), _vectors(spark, sf_dir, _whole)
-    daybin.write(slots.where("cal_idx < 900"), ["q", "p"], path)
-    daybin.write(slots, ["q", "p"], path, append=True)
-    return _read_vectors(spark, path)
+# These four once ran on some instruments only, and on all under these names, which stay.
+for _name in ("dense_align", "trim_bounds", "daybin_roundtrip", "daybin_append"):
+    QUERIES[f"{_name}_all"], SQL[f"{_name}_all"] = QUERIES[_name], SQL[_name]
 
 
 @query(f"""WITH {DATES}, {BARS}, {MEMBERS} SELECT 'calendar' AS file, count(*) AS n, CAST(sum(d - DATE '1990-01-01') AS BIGINT) AS total FROM cal UNION ALL
