@@ -27,37 +27,41 @@ def with_status(state: DataFrame, *status: str) -> DataFrame:
 
 
 def history(source: DataFrame, state: DataFrame) -> DataFrame:
-    """For each instrument of ``source(instrument, date)``: first and last date, and rows up to its own mark."""
-    marks = state.select("instrument", "last_date")
-    return source.join(marks, "instrument", "left").groupBy("instrument").agg(F.min("date").alias("first_seen"), F.max("date").alias("last_seen"), F.count_if(F.col("date") <= F.col("last_date")).alias("n_history"))
+    """For each instrument of each table of ``source(instrument, source_table, date)``: first and last date, all rows, and rows up
+    to its own mark in that table."""
+    marks = state.select(*STATE_KEY, "last_date")
+    return source.join(marks, STATE_KEY, "left").groupBy(*STATE_KEY).agg(
+        F.min("date").alias("first_seen"), F.max("date").alias("last_seen"), F.count("*").alias("n_rows"), F.count_if(F.col("date") <= F.col("last_date")).alias("n_history"))
 
 
 def decide(instruments: DataFrame, state: DataFrame, source: DataFrame, desired: Sequence[str]) -> DataFrame:
-    """``(instrument, action, reason, added)`` with one action for each wanted instrument of a source table.
+    """``(instrument, source_table, action, reason, added)`` with one action for each wanted ``(instrument, source_table)``.
 
     ``new``: never done. ``rebuild``: no mark, an earlier first date than before, or more rows up to the mark than were
     written, whether the table aggregates or not, as rows are counted before aggregation. ``backfill``: fields were added.
     ``tail``: rows after the mark. ``none``: nothing to do. A rebuild covers added fields and the tail; a backfill comes
-    with the tail.
+    with the tail. An instrument's state in one table says nothing about another.
     """
-    seen = history(source, state)
-    known = state.where("status = 'done'")
-    rows = instruments.select("instrument").distinct().join(known, "instrument", "left").join(seen, "instrument", "left")
-    want = F.array(*map(F.lit, desired))
-    added = missing_fields(want, F.col("fields"))
+    return _decided(instruments.select(*STATE_KEY).distinct(), state, history(source, state), desired).select(*STATE_KEY, "action", "reason", F.array_join("added", ",").alias("added"))
+
+
+def _decided(wanted: DataFrame, state: DataFrame, seen: DataFrame, desired: Sequence[str]) -> DataFrame:
+    """``wanted`` with the state's and the history's columns, ``action``, ``reason`` and ``added``."""
+    rows = wanted.join(state.where("status = 'done'"), STATE_KEY, "left").join(seen, STATE_KEY, "left")
+    added = missing_fields(F.array(*map(F.lit, desired)), F.col("fields"))
     reason = (
         F.when(F.col("status").isNull(), F.lit(None).cast("string")).when(F.col("last_date").isNull(), "no mark")
         .when(F.col("first_seen") < F.col("first_date"), "earlier start").when(F.col("n_history") > F.col("row_count"), "grown history")
     )
     tail = F.coalesce(F.col("last_seen") > F.col("last_date"), F.lit(False))
     action = F.when(F.col("status").isNull(), "new").when(F.col("reason").isNotNull(), "rebuild").when(F.size("added") > 0, "backfill").when(tail, "tail").otherwise("none")
-    return rows.withColumns({"reason": reason, "added": added}).select("instrument", action.alias("action"), "reason", F.array_join("added", ",").alias("added"))
+    return rows.withColumns({"reason": reason, "added": added}).withColumn("action", action)
 
 
 def tail_rows(source: DataFrame, state: DataFrame) -> DataFrame:
-    """Rows after their instrument's mark."""
-    marks = state.where("status = 'done'").select("instrument", "last_date")
-    return source.join(marks, "instrument").where(F.col("date") > F.col("last_date")).select(*source.columns)
+    """Rows after their instrument's mark in their table."""
+    marks = state.where("status = 'done'").select(*STATE_KEY, "last_date")
+    return source.join(marks, STATE_KEY).where(F.col("date") > F.col("last_date")).select(*source.columns)
 
 
 def merge_state(state: DataFrame, new: DataFrame) -> DataFrame:
@@ -67,8 +71,8 @@ def merge_state(state: DataFrame, new: DataFrame) -> DataFrame:
 
 def advance(state: DataFrame, tail: DataFrame) -> DataFrame:
     """State after tails were written: marks moved on, row counts added."""
-    more = tail.groupBy("instrument").agg(F.max("date").alias("new_last"), F.count("*").alias("n_new"))
-    out = state.join(more, "instrument", "left")
+    more = tail.groupBy(*STATE_KEY).agg(F.max("date").alias("new_last"), F.count("*").alias("n_new"))
+    out = state.join(more, STATE_KEY, "left")
     return out.withColumn("last_date", F.greatest("last_date", "new_last")).withColumn("row_count", F.col("row_count") + F.coalesce("n_new", F.lit(0))).select(*state.columns)
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tapeline.catalog import EXPORTS, ExportSpec, derive_fields
 from tapeline.functions import codes
-from tapeline.operators import calendar, features, incremental, instruments, quality
-from tapeline.plans.inputs import BARS, CODES, DATES, LOG, QUERIES, SLOTTED, SQL, STATE, bars, code, days, log, query, read, state, supplier_codes
+from tapeline.operators import calendar, export, features, incremental, instruments, quality
+from tapeline.plans.inputs import BARS, CODE_OF, CODES, DATES, LOG, NOW, QUERIES, SLOTTED, SQL, STATE, bars, code, days, log, query, read, state, supplier_codes
 from tapeline.sources import daybin, paths, text
 
 #: Quotients of two-decimal values fall on rounding ties; both sides move off them by the same bit.
@@ -336,13 +336,13 @@ DECIDED = f"""{STATE}, seen AS (SELECT b.inst AS instrument, min(d) AS first_see
 
 
 def _source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bars(spark, sf_dir).select(F.col("inst").alias("instrument"), F.col("d").alias("date"), "l_orderkey", "l_linenumber", "l_partkey")
+    return bars(spark, sf_dir).select(F.col("inst").alias("instrument"), F.lit("bars").alias("source_table"), F.col("d").alias("date"), "l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query(f"""WITH {DECIDED} SELECT instrument, CASE WHEN status IS NULL THEN 'new' WHEN reason IS NOT NULL THEN 'rebuild' WHEN added <> '' THEN 'backfill' WHEN tail THEN 'tail' ELSE 'none' END AS action, reason, added FROM decided""")
 def rebuild_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _source(spark, sf_dir)
-    return incremental.decide(src, state(spark, sf_dir), src, WANTED)
+    return incremental.decide(src, state(spark, sf_dir), src, WANTED).drop("source_table")
 
 
 @query(f"WITH {STATE} SELECT w.instrument, s.instrument IS NULL AS is_new FROM (SELECT DISTINCT inst AS instrument FROM bars) w LEFT JOIN (SELECT * FROM state WHERE status = 'done') s USING (instrument)")
@@ -364,12 +364,12 @@ def added_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {DECIDED} SELECT instrument, first_seen, last_seen, n_history FROM seen")
 def history_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incremental.history(_source(spark, sf_dir), state(spark, sf_dir))
+    return incremental.history(_source(spark, sf_dir), state(spark, sf_dir)).select("instrument", "first_seen", "last_seen", "n_history")
 
 
 @query(f"WITH {STATE} SELECT b.inst AS instrument, b.d AS date, l_orderkey, l_linenumber, l_partkey FROM bars b JOIN state s ON s.instrument = b.inst WHERE s.status = 'done' AND b.d > s.last_date")
 def tail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incremental.tail_rows(_source(spark, sf_dir), state(spark, sf_dir))
+    return incremental.tail_rows(_source(spark, sf_dir), state(spark, sf_dir)).drop("source_table")
 
 
 @query(f"""WITH {STATE}, t AS (SELECT b.inst AS instrument, max(d) AS new_last, count(*) AS n FROM bars b JOIN state s ON s.instrument = b.inst WHERE s.status = 'done' AND b.d > s.last_date GROUP BY 1)
@@ -406,6 +406,66 @@ def reset_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+MARK = "2000-06-30"
+#: The second source table: orders by 200 groups of customers, whose names are partly those of the first table's instruments.
+HELD = ExportSpec("holders", "stock", "ann_date", naming="aggregated", prefix="ho", agg="sum_count", count_name="ho_cnt")
+
+
+def _exports(spark: SparkSession, sf_dir: str, first: bool) -> dict[str, export.Export]:
+    """Two tables; in the ``first`` run they end at MARK, some instruments lack their early rows, and fields are still to come."""
+    trades, orders = _trades(spark, sf_dir), read(spark, sf_dir, "orders").withColumn("held_by", F.col("o_custkey") % 200)
+    holders = orders.select(code("held_by").alias("ts_code"), F.to_date("o_orderdate").alias("ann_date"), (F.col("o_orderkey") % 100).cast("double").alias("val"))
+    if first:
+        trades = trades.where(f"trade_date <= DATE '{MARK}' AND (ts_code NOT LIKE '%1.SZ' OR trade_date > DATE '1997-01-01') AND ts_code NOT LIKE '%5.SZ'")
+        holders = holders.where(f"ann_date <= DATE '{MARK}' AND ts_code NOT LIKE '%3.CSI'")
+    fields = {"block_trade": [f for f in derive_fields(BLOCK, trades.schema) if f.name != "bt_price"], "holders": [f for f in derive_fields(HELD, holders.schema) if not first or f.name != "ho_cnt"]}
+    return {"block_trade": export.Export(trades, BLOCK, tuple(fields["block_trade"])), "holders": export.Export(holders, HELD, tuple(fields["holders"]))}
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
+    base = paths.fresh_path(spark, "export")
+    at, out = f"{base}/state", f"{base}/vectors"
+    cal, now = days(spark, sf_dir), F.lit(NOW).cast("timestamp")
+    export.run(spark, _exports(spark, sf_dir, True), cal, at, out, now)
+    return at, out, export.run(spark, _exports(spark, sf_dir, False), cal, at, out, now)
+
+
+GROUPS = f"""{DATES}, {BARS}, held AS (SELECT o_custkey % 200 AS inst, CAST(o_orderdate AS DATE) AS d, CAST(o_orderkey % 100 AS DOUBLE) AS val FROM orders),
+             pairs AS (SELECT 'block_trade' AS source_table, inst, d FROM bars UNION ALL SELECT 'holders', inst, d FROM held)"""
+
+
+@query(f"""WITH {GROUPS}, daily AS (SELECT inst, d, sum(l_tax) AS bt_amount, sum(coalesce(nullif(l_quantity, 1), 0)) AS bt_vol, count(*) AS bt_trade_cnt FROM bars GROUP BY 1, 2),
+           hdaily AS (SELECT inst, d, sum(val) AS ho_val, count(*) AS ho_cnt FROM held GROUP BY 1, 2),
+           t AS (SELECT x.*, c.idx FROM daily x ASOF JOIN cal c ON x.d <= c.d WHERE x.d >= (SELECT min(d) FROM cal)),
+           h AS (SELECT x.*, c.idx FROM hdaily x ASOF JOIN cal c ON x.d <= c.d WHERE x.d >= (SELECT min(d) FROM cal)),
+           long AS (SELECT inst, idx, 'bt_amount' AS field, arg_max(bt_amount, d) AS v FROM t GROUP BY 1, 2 UNION ALL SELECT inst, idx, 'bt_vol', arg_max(bt_vol, d) FROM t GROUP BY 1, 2
+                    UNION ALL SELECT inst, idx, 'bt_trade_cnt', arg_max(bt_trade_cnt, d) FROM t GROUP BY 1, 2 UNION ALL SELECT inst, idx, 'ho_val', arg_max(ho_val, d) FROM h GROUP BY 1, 2
+                    UNION ALL SELECT inst, idx, 'ho_cnt', arg_max(ho_cnt, d) FROM h GROUP BY 1, 2)
+           SELECT {INST_OF.format('inst')} AS instrument, field, CAST(idx AS BIGINT) AS cal_idx, round(v, 2) AS value FROM long""")
+def incremental_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables exported up to a mark and then brought up to date, in one set of files: the same vectors as from one build."""
+    _, out, _ = _exported(spark, sf_dir)
+    return daybin.read(spark, out).where("value IS NOT NULL").select("instrument", "field", "cal_idx", F.round(F.col("value").cast("double"), 2).alias("value"))
+
+
+@query(f"""WITH {GROUPS} SELECT {INST_OF.format('inst')} AS instrument, source_table, max(d) AS last_date, min(d) AS first_date, count(*) AS row_count, 'done' AS status,
+           CASE source_table WHEN 'holders' THEN 'ho_val,ho_cnt' ELSE 'bt_amount,bt_vol,bt_trade_cnt' END AS fields FROM pairs GROUP BY ALL""")
+def incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after both runs: a row for each instrument and table."""
+    at, _, _ = _exported(spark, sf_dir)
+    return export.read_state(spark, at).select("instrument", "source_table", "last_date", "first_date", "row_count", "status", F.array_join("fields", ",").alias("fields"))
+
+
+@query(f"""WITH {GROUPS}, seen AS (SELECT source_table, inst, {CODE_OF.format('inst')} AS code, min(d) AS a, max(d) AS z, count(*) AS n FROM pairs GROUP BY ALL),
+           early AS (SELECT source_table, inst, min(d) AS a, max(d) AS z FROM pairs WHERE d <= DATE '{MARK}' AND CASE source_table WHEN 'holders' THEN {CODE_OF.format('inst')} NOT LIKE '%3.CSI'
+                     ELSE {CODE_OF.format('inst')} NOT LIKE '%5.SZ' AND ({CODE_OF.format('inst')} NOT LIKE '%1.SZ' OR d > DATE '1997-01-01') END GROUP BY ALL)
+           SELECT source_table, CASE WHEN e.a IS NULL THEN 'new' WHEN s.a < e.a THEN 'rebuild' WHEN source_table = 'holders' THEN 'backfill' WHEN s.z > e.z THEN 'tail' ELSE 'none' END AS action,
+                  count(*) AS n_instruments, CAST(sum(n) AS BIGINT) AS n_rows FROM seen s LEFT JOIN early e USING (source_table, inst) GROUP BY ALL""")
+def incremental_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second run wrote and skipped."""
+    return export.summary(_exported(spark, sf_dir)[2])
+
+
 # --- files ---------------------------------------------------------------------------------------------------
 
 VECTORS = f"{SLOTTED}, {TOPS}, long AS (SELECT CAST(inst AS VARCHAR) AS instrument, 'q' AS field, CAST(cal_idx AS BIGINT) AS cal_idx, CAST(CAST(q AS REAL) AS DOUBLE) AS value FROM tops UNION ALL SELECT CAST(inst AS VARCHAR), 'p', cal_idx, CAST(CAST(p AS REAL) AS DOUBLE) FROM tops WHERE p IS NOT NULL)"
@@ -431,7 +491,7 @@ def daybin_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half the days first, then all: only what is new is appended."""
     path, slots = paths.fresh_path(spark, "vectors"), _vectors(spark, sf_dir)
     daybin.write(slots.where("cal_idx < 900"), ["q", "p"], path)
-    daybin.write(slots, ["q", "p"], path, append=True)
+    daybin.write(slots, ["q", "p"], path, mode="append")
     return _read_vectors(spark, path)
 
 

@@ -78,21 +78,23 @@ class Written(WriterCommitMessage):
 
     folder: str
     fields: dict[str, list[str]]
+    empty: list[str]
 
 
 class DayBinWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite, self.id = path.rstrip("/"), overwrite, uuid.uuid4().hex
+    def __init__(self, path: str, mode: str):
+        self.path, self.mode, self.id = path.rstrip("/"), mode, uuid.uuid4().hex
         self.staging, self.aside = f"_staging-{self.id}", f"_old-{self.id}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         disk, root = _open(self.path)
-        out = Written(f"{root}/{self.staging}/{uuid.uuid4().hex}", {})
+        out = Written(f"{root}/{self.staging}/{uuid.uuid4().hex}", {}, [])
         for (inst, field), index, values in _vectors(iterator):
             there = f"{root}/{inst}/{field}{SUFFIX}"
-            append = not self.overwrite and disk.get_file_info(there).type == fs.FileType.File
+            append = self.mode == "append" and disk.get_file_info(there).type == fs.FileType.File
             raw = extend(disk.open_input_stream(there).read(), index, values) if append else pack(index, values)
             if raw is None:
+                out.empty += [there] if self.mode == "replace" else []
                 continue
             if inst not in out.fields:
                 disk.create_dir(f"{out.folder}/{inst}")
@@ -102,13 +104,15 @@ class DayBinWriter(DataSourceArrowWriter):
         return out
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        """Overwrite: old instruments step aside, new ones move in, then the old go; a failure moves them back. Append: longer
-        files replace shorter ones, each at once; after a failure the same append finishes the rest."""
+        """Overwrite: old instruments step aside, new ones move in, then the old go; a failure moves them back. Append and
+        replace: new files replace old ones, each at once; after a failure the same write finishes the rest."""
         disk, root = _open(self.path)
         staged = [(f"{m.folder}/{inst}", inst, fields) for m in messages if m for inst, fields in m.fields.items()]
-        if not self.overwrite:
+        if self.mode != "overwrite":
             _all(lambda x: disk.create_dir(f"{root}/{x[1]}"), staged)
             _all(lambda x: disk.move(*x), [(f"{at}/{field}{SUFFIX}", f"{root}/{inst}/{field}{SUFFIX}") for at, inst, fields in staged for field in fields])
+            gone = [x for m in messages if m for x in m.empty]
+            _all(lambda x: disk.delete_file(x) if disk.get_file_info(x).type == fs.FileType.File else None, gone)
             return self.abort(messages)
         disk.create_dir(f"{root}/{self.aside}")
         old = [i.base_name for i in disk.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.Directory and not i.base_name.startswith("_")]
@@ -163,11 +167,12 @@ class DayBin(DataSource):
         return "daybin"
 
     def writer(self, schema: StructType, overwrite: bool) -> DayBinWriter:
-        return DayBinWriter(self.options["path"], overwrite)
+        return DayBinWriter(self.options["path"], self.options.get("vectors", "overwrite" if overwrite else "append"))
 
 
-def write(slots: DataFrame, fields: list[str], path: str, append: bool = False, tasks: int | None = None) -> None:
-    """Write features ``(instrument, cal_idx, <fields>)``; with ``append`` only what comes after the files' ends.
+def write(slots: DataFrame, fields: list[str], path: str, mode: str = "overwrite", tasks: int | None = None) -> None:
+    """Write features ``(instrument, cal_idx, <fields>)``. ``overwrite``: nothing else stays. ``replace``: the files of these instruments
+    and fields are written anew, or go where there is no value, and others stay. ``append``: only what comes after the files' ends.
 
     One shuffle deals instruments to ``tasks``, by default the session's shuffle partitions; each task holds one vector. A path
     without a scheme is a task's own disk, so it is an error anywhere but in a local session.
@@ -178,8 +183,10 @@ def write(slots: DataFrame, fields: list[str], path: str, append: bool = False,
     spark.dataSource.register(DayBin)
     long = slots.select("instrument", F.col("cal_idx").cast("long").alias("cal_idx"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("value")) for f in fields])).alias("x"))
     n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = long.select("instrument", "x.field", "cal_idx", "x.value").where("value IS NOT NULL").repartition(n, "instrument").sortWithinPartitions("instrument", "field", "cal_idx")
-    dealt.write.format("daybin").mode("append" if append else "overwrite").save(path)
+    rows = long.select("instrument", "x.field", "cal_idx", "x.value")
+    rows = rows if mode == "replace" else rows.where("value IS NOT NULL")
+    dealt = rows.repartition(n, "instrument").sortWithinPartitions("instrument", "field", "cal_idx")
+    dealt.write.format("daybin").mode("overwrite" if mode == "overwrite" else "append").option("vectors", mode).save(path)
 
 
 READ = "instrument string, field string, cal_idx long, value float, reject string"

@@ -48,18 +48,28 @@ def test_write_append_read(spark, tmp_path):
     path = str(tmp_path / "v")
     schema = "instrument string, cal_idx int, close double, vol double"
     daybin.write(spark.createDataFrame([("A", 3, 1.5, None), ("A", 5, 2.5, None), ("B", 1, None, 7.0)], schema), ["close", "vol"], path)
-    daybin.write(spark.createDataFrame([("A", 4, 9.0, None), ("A", 8, 3.5, 4.0)], schema), ["close", "vol"], path, append=True)
+    daybin.write(spark.createDataFrame([("A", 4, 9.0, None), ("A", 8, 3.5, 4.0)], schema), ["close", "vol"], path, mode="append")
     got = {(r["instrument"], r["field"], r["cal_idx"]): r["value"] for r in daybin.read(spark, path).collect()}
     assert got == {("A", "close", 3): 1.5, ("A", "close", 4): None, ("A", "close", 5): 2.5, ("A", "close", 6): None, ("A", "close", 7): None, ("A", "close", 8): 3.5, ("A", "vol", 8): 4.0, ("B", "vol", 1): 7.0}
     daybin.write(spark.createDataFrame([("C", 1, 1.0, 1.0)], schema), ["close"], path)
     assert [r["instrument"] for r in daybin.read(spark, path).collect()] == ["C"]
 
 
+def test_replace_touches_its_own_files_only(spark, tmp_path):
+    path, schema = str(tmp_path / "v"), "instrument string, cal_idx int, close double, vol double"
+    daybin.write(spark.createDataFrame([("A", 3, 1.5, 5.0), ("B", 1, 2.5, 7.0)], schema), ["close", "vol"], path)
+    daybin.write(spark.createDataFrame([("A", 9, 4.0, None)], schema), ["close"], path, mode="replace")
+    read = lambda: sorted((r["instrument"], r["field"], r["cal_idx"], r["value"]) for r in daybin.read(spark, path).collect())
+    assert read() == [("A", "close", 9, 4.0), ("A", "vol", 3, 5.0), ("B", "close", 1, 2.5), ("B", "vol", 1, 7.0)]
+    daybin.write(spark.createDataFrame([("A", 9, 4.0, None)], schema), ["close", "vol"], path, mode="replace")
+    assert read() == [("A", "close", 9, 4.0), ("B", "close", 1, 2.5), ("B", "vol", 1, 7.0)]
+
+
 def test_failed_overwrite_keeps_the_old_files(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "v")
     schema = "instrument string, cal_idx int, close double"
     daybin.write(spark.createDataFrame([(i, 3, 1.5) for i in "ABC"], schema), ["close"], path)
-    writer = daybin.DayBinWriter(path, overwrite=True)
+    writer = daybin.DayBinWriter(path, "overwrite")
     batch = pa.RecordBatch.from_pylist([{"instrument": i, "field": "close", "cal_idx": 1, "value": 9.0} for i in "BCD"])
     message = writer.write(iter([batch.slice(0, 1), batch.slice(1)]))
     assert message.fields == {"B": ["close"], "C": ["close"], "D": ["close"]}
