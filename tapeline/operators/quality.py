@@ -78,3 +78,22 @@ def issues(log: DataFrame, coverage: DataFrame) -> DataFrame:
 def summary(coverage: DataFrame) -> DataFrame:
     """Tables of each tier."""
     return coverage.groupBy("tier").agg(F.count("*").alias("n_tables"))
+
+
+def report(coverage: DataFrame, counts: DataFrame, log: DataFrame) -> DataFrame:
+    """A row for each table: what is there, what the calendar misses, and the states of its loads, side by side.
+
+    ``coverage`` is that of :func:`dated_coverage`, of the dated tables; ``counts(table_name, n_rows)`` of all tables.
+    """
+    states = state_counts(log)
+    named = snapshot_states(counts, log).select("table_name", "n_rows", "state")
+    out = named.join(coverage.select("table_name", "n_missing", "fill", "tier"), "table_name", "left").join(states, "table_name", "left")
+    return out.withColumns({f"ok_{k}": F.coalesce(f"ok_{k}", F.lit(0)) for k in range(4)})
+
+
+def overall(tables: DataFrame) -> DataFrame:
+    """One row over all tables of a :func:`report`: tables, rows, empty and untouched tables, those of each tier, and loads by state."""
+    return tables.agg(
+        F.count("*").alias("n_tables"), F.sum("n_rows").alias("total_rows"), F.count_if(F.col("state") == "empty").alias("n_empty"), F.count_if(F.col("state") == "untouched").alias("n_untouched"),
+        *[F.count_if(F.col("tier") == t).alias(f"n_{t}") for t in ("perfect", "small_gap", "big_gap")], F.coalesce(F.sum("n_missing"), F.lit(0)).alias("n_missing"), *[F.sum(f"ok_{k}").alias(f"ok_{k}") for k in range(4)],
+    )

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tapeline.catalog import TableSpec
 from tapeline.functions import dates
 from tapeline.operators.upsert import EMPTY, LOADED, LOG_KEY
 
@@ -45,6 +49,49 @@ def expected_by_domain(codes: DataFrame, spans: DataFrame, table: Column) -> Dat
     return pairs.select(table.alias("table_name"), dates.partition_key("domain", code=F.col("code"), period=F.col("period")).alias("date_val"), "code", "period", "start", "end")
 
 
+def every_day(start: Column, end: Column, spark: SparkSession) -> DataFrame:
+    """``(d)``: all days from start to end, open or not."""
+    return spark.range(1).select(F.explode(dates.natural_days(start, end)).alias("d"))
+
+
+def expected(spec: TableSpec, open_days: DataFrame, all_days: DataFrame, codes: DataFrame | None = None, mode: str = "monthly") -> DataFrame:
+    """``(table_name, date_val, start, end)``: the partitions of a table that its strategy in the catalogue asks for.
+
+    ``trade_date`` has one for each open day, or for each day where the table is dated by announcement, as those fall on any
+    day; ``date_range`` one for each year, ``freq`` a weekly and a monthly one for each open day, ``domain`` one for each of
+    ``codes(code)`` and each period of ``mode``, and ``once`` one in all.
+    """
+    name = F.lit(spec.name)
+    if spec.strategy == "domain":
+        if codes is None:
+            raise ValueError(f"{spec.name} is loaded by code; give the codes")
+        out = expected_by_domain(codes, periods(open_days, mode), name)
+    elif spec.strategy == "once":
+        out = periods(open_days, "once").select(name.alias("table_name"), F.col("period").alias("date_val"), "start", "end")
+    elif spec.strategy == "trade_date":
+        out = expected_by_day(all_days if spec.date_col == "ann_date" else open_days, name)
+    else:
+        out = {"date_range": expected_by_year, "freq": expected_by_frequency}[spec.strategy](open_days, name)
+    return out.select("table_name", "date_val", "start", "end")
+
+
+def work_list(specs: Sequence[TableSpec], open_days: DataFrame, all_days: DataFrame, log: DataFrame, codes: Mapping[str, DataFrame] | None = None, mode: str = "monthly") -> DataFrame:
+    """``(table_name, strategy, date_val, start, end)``: all partitions of the catalogue's tables that are still to load.
+
+    Tables by code are asked again for an empty latest period, as it may have been too early. ``codes`` has the codes of each
+    table that is loaded by code; the last period of the others follows from their own partitions.
+    """
+    parts = []
+    for spec in specs:
+        own = expected(spec, open_days, all_days, (codes or {}).get(spec.name), mode)
+        if spec.strategy == "domain":
+            own = pending_domain(own.withColumn("period", F.substring_index("date_val", "_", -1)), log)
+        else:
+            own = pending(own, log)
+        parts.append(own.select("table_name", F.lit(spec.strategy).alias("strategy"), "date_val", "start", "end"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def pending(expected: DataFrame, log: DataFrame) -> DataFrame:
     """Expected partitions that aren't logged as loaded or empty."""
     done = log.where(F.col("ok").isin(LOADED, EMPTY)).select(*LOG_KEY)

@@ -326,6 +326,30 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.summary(quality.dated_coverage(_rows(spark, sf_dir), days(spark, sf_dir)))
 
 
+REPORT = f"""{COVER}, {LOG}, counts AS (SELECT o_orderpriority AS table_name, count(*) AS n_rows FROM orders GROUP BY 1 UNION ALL SELECT 'none_urgent', 0),
+              states AS (SELECT table_name, count(*) FILTER (ok = 0) AS ok_0, count(*) FILTER (ok = 1) AS ok_1, count(*) FILTER (ok = 2) AS ok_2, count(*) FILTER (ok = 3) AS ok_3 FROM log GROUP BY 1),
+              report AS (SELECT table_name, n_rows, CASE WHEN n_rows > 0 THEN NULL WHEN s.ok_0 IS NULL THEN 'untouched' ELSE 'empty' END AS state, n_missing, fill, tier,
+                         coalesce(ok_0, 0) AS ok_0, coalesce(ok_1, 0) AS ok_1, coalesce(ok_2, 0) AS ok_2, coalesce(ok_3, 0) AS ok_3 FROM counts LEFT JOIN cover USING (table_name) LEFT JOIN states s USING (table_name))"""
+
+
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("table_name"))
+    counts = o.groupBy("table_name").agg(F.count("*").alias("n_rows")).unionByName(quality.row_counts({"none_urgent": o.where("table_name IS NULL")}))
+    return quality.report(quality.dated_coverage(_rows(spark, sf_dir), days(spark, sf_dir)), counts, log(spark, sf_dir))
+
+
+@query(f"WITH {REPORT} SELECT * FROM report")
+def table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir)
+
+
+@query(f"""WITH {REPORT} SELECT count(*) AS n_tables, CAST(sum(n_rows) AS BIGINT) AS total_rows, count(*) FILTER (state = 'empty') AS n_empty, count(*) FILTER (state = 'untouched') AS n_untouched,
+           count(*) FILTER (tier = 'perfect') AS n_perfect, count(*) FILTER (tier = 'small_gap') AS n_small_gap, count(*) FILTER (tier = 'big_gap') AS n_big_gap, CAST(coalesce(sum(n_missing), 0) AS BIGINT) AS n_missing,
+           CAST(sum(ok_0) AS BIGINT) AS ok_0, CAST(sum(ok_1) AS BIGINT) AS ok_1, CAST(sum(ok_2) AS BIGINT) AS ok_2, CAST(sum(ok_3) AS BIGINT) AS ok_3 FROM report""")
+def report_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.overall(_report(spark, sf_dir))
+
+
 # --- incremental ---------------------------------------------------------------------------------------------
 
 WANTED = ["price", "vol"]
@@ -526,6 +550,18 @@ def manifest_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("name", "source_table").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {DATES}, {NAMES}, c AS (SELECT CASE name WHEN 'bd_close' THEN 'OHLCV' WHEN 'vwap' THEN 'OHLCV' WHEN 'pe_ttm' THEN 'valuation' WHEN 'turnover_rate' THEN 'liquidity' WHEN 'mf_buy_sm_vol' THEN 'moneyflow'
+           WHEN 'md_rzye' THEN 'margin' WHEN 'mg_rqyl' THEN 'margin' WHEN 'cyq_winner_rate' THEN 'chip' WHEN 'sl_up_limit' THEN 'event' WHEN 'gz_on' THEN 'macro' WHEN 'bb_undp' THEN 'fundamental' ELSE 'technical' END AS category,
+           count(*) AS n_fields FROM names GROUP BY 1)
+           SELECT (SELECT min(d) FROM cal) AS start, (SELECT max(d) FROM cal) AS "end", (SELECT count(*) FROM cal) AS n_days, (SELECT CAST(sum(n_fields) AS BIGINT) FROM c) AS n_total, category, n_fields FROM c""")
+def manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest's totals, written and read back: a row for each category with the calendar's range."""
+    path = paths.fresh_path(spark, "manifest")
+    text.write_manifest(_names(spark, sf_dir), path, days(spark, sf_dir))
+    back = spark.read.schema("start date, end date, n_days bigint, categories map<string,bigint>, n_fields bigint").json(f"{path}_totals")
+    return back.select("start", "end", "n_days", F.col("n_fields").alias("n_total"), F.explode("categories").alias("category", "n_fields"))
+
+
 @query("""SELECT event_id, upper(substr(sha256('{"event_type":"' || event_type || '","user_id":' || CAST(user_id AS VARCHAR) || '}'), 1, 16)) AS batch FROM events""")
 def batch_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", codes.batch_id(F.struct("event_type", "user_id")).alias("batch"))

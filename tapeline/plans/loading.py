@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeline.catalog import ExportSpec, FieldDef, TableSpec
@@ -254,6 +254,33 @@ def plan_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.preview({"domain": _expected_months(spark, sf_dir), "date_range": worklist.expected_by_year(days(spark, sf_dir), F.lit("orders"))}, log(spark, sf_dir))
 
 
+#: Tables of each strategy; repurchases are dated by announcement, so they are asked for on every day.
+ASKED = (TableSpec("bars", date_col="trade_date", strategy="trade_date"), TableSpec("repurchase", (), "ann_date", "trade_date"), TableSpec("orders", strategy="date_range"),
+         TableSpec("weekly", strategy="freq"), TableSpec("weights", strategy="domain"), TableSpec("basic", strategy="once"))
+
+
+@query(f"""WITH {DATES}, {CODES}, span AS (SELECT min(d) AS a, max(d) AS z FROM dates), every AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS d FROM span),
+           months AS (SELECT DISTINCT strftime(d, '%Y%m') AS period, CAST(date_trunc('month', d) AS DATE) AS start, last_day(d) AS "end" FROM cal),
+           expected AS (SELECT 'bars' AS table_name, 'trade_date' AS strategy, strftime(d, '%Y%m%d') AS date_val, d AS start, d AS "end", NULL AS period FROM cal
+                        UNION ALL SELECT 'repurchase', 'trade_date', strftime(d, '%Y%m%d'), d, d, NULL FROM every
+                        UNION ALL SELECT DISTINCT 'orders', 'date_range', strftime(d, '%Y'), make_date(year(d), 1, 1), make_date(year(d), 12, 31), NULL FROM cal
+                        UNION ALL SELECT 'weekly', 'freq', strftime(d, '%Y%m%d') || '_' || f, d, d, NULL FROM cal, (VALUES ('W'), ('M')) t(f)
+                        UNION ALL SELECT 'weights', 'domain', code || '_' || period, start, "end", period FROM codes, months UNION ALL SELECT 'basic', 'once', '__once__', NULL, NULL, NULL),
+           log AS (SELECT table_name, date_val, row_number() OVER (PARTITION BY table_name ORDER BY date_val) % 4 AS ok FROM expected WHERE table_name NOT IN ('orders', 'basic'))
+           SELECT table_name, strategy, date_val, start, "end" FROM expected e LEFT JOIN log l USING (table_name, date_val)
+           WHERE l.ok IS NULL OR NOT (l.ok = 1 OR l.ok = 2 AND (strategy <> 'domain' OR period <> (SELECT max(period) FROM months)))""")
+def catalogue_work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left to load of a table of each strategy, against a log that has part of them."""
+    table = calendar_table(spark, sf_dir)
+    open_, span = days(spark, sf_dir), table.agg(F.min("cal_date").alias("a"), F.max("cal_date").alias("z"))
+    every = span.select(F.explode(dates.natural_days(F.col("a"), F.col("z"))).alias("d"))
+    listed = supplier_codes(spark, sf_dir)
+    asked = [worklist.expected(s, open_, every, listed) for s in ASKED if s.name not in ("orders", "basic")]
+    rank = F.row_number().over(Window.partitionBy("table_name").orderBy("date_val"))
+    logged = reduce(DataFrame.unionByName, asked).select("table_name", "date_val", (rank % 4).alias("ok"))
+    return worklist.work_list(ASKED, open_, every, logged, {"weights": listed})
+
+
 KEYED = f"""{LOG}, keyed AS (SELECT table_name, last_try, CASE CAST(date_val AS INTEGER) % 5 WHEN 0 THEN 'trade_date' WHEN 1 THEN 'date_range' WHEN 2 THEN 'freq' WHEN 3 THEN 'domain' ELSE 'once' END AS strategy,
             CASE CAST(date_val AS INTEGER) % 5 WHEN 0 THEN strftime(last_try, '%Y%m%d') WHEN 1 THEN strftime(last_try, '%Y') WHEN 2 THEN strftime(last_try, '%Y%m%d') || '_W' WHEN 3 THEN table_name || '_' || date_val ELSE '__once__' END AS key FROM log)"""
 

@@ -23,13 +23,13 @@ def _listed(df: DataFrame) -> DataFrame:
 
 
 def write_instruments(df: DataFrame, path: str) -> None:
-    """Tab-separated instrument, start and end, with the defaults for what is missing."""
-    _listed(df).select("instrument", "start", "end").coalesce(1).sortWithinPartitions("instrument", "start").write.mode("overwrite").option("sep", "\t").csv(path)
+    """Tab-separated instrument, start and end, with the defaults for what is missing; files follow each other in order."""
+    _listed(df).select("instrument", "start", "end").orderBy("instrument", "start").write.mode("overwrite").option("sep", "\t").csv(path)
 
 
 def write_constituents(df: DataFrame, path: str) -> None:
-    """A folder per index with tab-separated constituent, start and end, sorted."""
-    _listed(df).select("index_code", "instrument", "start", "end").repartition("index_code").sortWithinPartitions("index_code", "instrument", "start").write.mode("overwrite").partitionBy("index_code").option("sep", "\t").csv(path)
+    """A folder per index with tab-separated constituent, start and end, sorted; a large index has several files in order."""
+    _listed(df).select("index_code", "instrument", "start", "end").orderBy("index_code", "instrument", "start").write.mode("overwrite").partitionBy("index_code").option("sep", "\t").csv(path)
 
 
 def read_ranges(spark: SparkSession, path: str, index: bool = False) -> DataFrame:
@@ -43,10 +43,19 @@ def manifest(fields: DataFrame) -> DataFrame:
     return fields.select("name", "source_table", codes.applies_to("inst_type").alias("applies_to"), codes.category("name", "source_table").alias("category"), codes.adjustment("inst_type", "source_table").alias("adjustment"))
 
 
-def write_manifest(fields: DataFrame, path: str) -> None:
-    """A JSON line per field; category counts are a grouping of it."""
+def manifest_totals(fields: DataFrame, days: DataFrame) -> DataFrame:
+    """One row: first and last day of the calendar, its length, the number of fields and their counts by category."""
+    by = category_counts(fields).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "n_fields")))).alias("categories"), F.sum("n_fields").alias("n_fields"))  # some ten categories
+    return days.agg(F.min("d").alias("start"), F.max("d").alias("end"), F.count("*").alias("n_days")).crossJoin(by)
+
+
+def write_manifest(fields: DataFrame, path: str, days: DataFrame | None = None) -> None:
+    """A JSON line per field in ``path``, and with ``days`` the totals as one more file beside them, ``<path>_totals``."""
     m = manifest(fields)
     m.select(F.to_json(F.struct(*m.columns)).alias("value")).write.mode("overwrite").text(path)
+    if days is not None:
+        t = manifest_totals(fields, days)
+        t.select(F.to_json(F.struct(*t.columns)).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}_totals")
 
 
 def category_counts(fields: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tapeline.functions import dates
 from tapeline.operators import calendar
 
+# Open days, and where dates fall among them.
 DAYS = ["1991-01-02", "1991-01-03", "1991-01-04", "1991-01-07", "1991-01-08"]
 
 
