@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,56 @@ def chunks(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[l
         yield tuple(out)
 
 
+#: Lower-cases A-Z in UTF-8 bytes.
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def _one(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def runs(batches: Iterator[pa.RecordBatch], *keys: str, together: bool = False) -> Iterator[pa.RecordBatch]:
+    """Whole runs of rows of equal ``keys``, of batches sorted by them; ``together`` gives runs that end in one batch at once."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        if rest and any(rest[-1].column(k)[-1].as_py() != c[0] for k, c in zip(keys, columns, strict=True)):
+            yield _one(rest)
+            rest = []
+        turns = (np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1).tolist()
+        if turns:
+            yield _one([*rest, batch.slice(0, turns[-1] if together else turns[0])])
+            for a, b in () if together else zip(turns, turns[1:], strict=False):
+                yield batch.slice(a, b - a)
+            rest = [batch.slice(turns[-1])]
+        else:
+            rest.append(batch)
+    if rest:
+        yield _one(rest)
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each node to the smallest of its component: as many as nodes, however many pairs came in."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, root[u], low)
+        np.minimum.at(new, root[v], low)
+        np.minimum.at(new, u, low)
+        np.minimum.at(new, v, low)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    far = root != np.arange(len(nodes))
+    return nodes[far], nodes[root[far]]
+
+
 def shares(counts: dict, rows: int, least: int = 50) -> dict:
     """The share of each label's rows in a sample of about ``rows``: all of rare labels, as many of each other, and ``least`` or more."""
     quota, left = float(rows), rows

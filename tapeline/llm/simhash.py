@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -12,16 +12,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm._shared import chunks, connected_components, stage
+from tapeline.llm import minhash
+from tapeline.llm._shared import LOWER, chunks, connected_components, drop_staged, forest, runs, stage
 
 SHINGLE = 4
 THRESHOLD = 4
 SEED = 42
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Covering radius of the code: a Hamming code on part of a block, all words on the rest.
 RADIUS = 1
 #: Members of one anchor that a task compares at once; a larger anchor is cut into squares of this side.
 SQUARE = 20_000
+#: Different fingerprints up to which three blocks cost less than two: with three each is placed at 36 anchors of 2^17, with two
+#: at 172 of 2^27, so that an anchor has few members for many billions of them. The links are the same.
+THREE_BLOCKS = 50_000_000
 #: Pairs compared in one vectorised step.
 STEP = 2_000_000
 
@@ -45,14 +48,14 @@ def fingerprint(raw: bytes | None, size: int = SHINGLE) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for ids, texts in chunks(batches, "doc_id", "text"):
+    for ids, rids, texts in chunks(batches, "doc_id", "rid", "text"):
         fps = np.array([fingerprint(t, size) for t in texts], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps)], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rids, pa.int64()), pa.array(fps)], names=["doc_id", "rid", "fp"])
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``, the fingerprint as a signed long, for each row of ``docs(doc_id, text)``."""
-    return docs.select("doc_id", "text").mapInArrow(lambda it: _fingerprints(it, size), "doc_id bigint, fp bigint")
+    """``(doc_id, rid, fp)``, a hash of the text and the fingerprint as a signed long, for each row of ``docs(doc_id, text)``."""
+    return docs.select("doc_id", F.xxhash64("text").alias("rid"), "text").mapInArrow(lambda it: _fingerprints(it, size), "doc_id bigint, rid bigint, fp bigint")
 
 
 @lru_cache
@@ -87,21 +90,40 @@ def _anchor_rows(block: Column, bits: int, within: int, blocks: int, number: int
     return F.transform(near, lambda m, i: F.struct((block.bitwiseXOR(m) * blocks + number).alias("key"), (i == 0).alias("home")))
 
 
+def _words(blocks: int, threshold: int) -> list[tuple[Column, int, int]]:
+    """Of each block its word of ``fp``, its bits, and the distance within which a fingerprint is placed at anchors."""
+    edges = [64 * k // blocks for k in range(blocks + 1)]
+    bits = [b - a for a, b in zip(edges, edges[1:], strict=False)]
+    return [(F.shiftrightunsigned("fp", edges[k]).bitwiseAND(F.lit((1 << bits[k]) - 1)), bits[k], RADIUS + threshold // blocks) for k in range(blocks)]
+
+
 def _members(fps: DataFrame, blocks: int, threshold: int) -> DataFrame:
     """``(key, fp, home)``: each fingerprint at every anchor within covering radius plus the block's share of the threshold."""
-    edges = [64 * k // blocks for k in range(blocks + 1)]
-    parts = []
-    for k in range(blocks):
-        bits = edges[k + 1] - edges[k]
-        word = F.shiftrightunsigned("fp", edges[k]).bitwiseAND(F.lit((1 << bits) - 1))
-        parts.append(_anchor_rows(word, bits, RADIUS + threshold // blocks, blocks, k))
+    parts = [_anchor_rows(word, bits, within, blocks, k) for k, (word, bits, within) in enumerate(_words(blocks, threshold))]
     dealt = fps.select("fp").repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")  # few bytes become many
     return dealt.select("fp", F.explode(F.concat(*parts)).alias("m")).select("m.key", "fp", "m.home")
 
 
-def _spread(members: DataFrame, square: int) -> DataFrame:
-    """Cut anchors of more than ``square`` members into squares (i, j): home members of slice i meet members of slice j."""
-    hot = members.groupBy("key").count().where(F.col("count") > square).select("key", F.ceil(F.col("count") / square).cast("int").alias("cuts"))
+def _hot(fps: DataFrame, blocks: int, threshold: int, square: int) -> DataFrame | None:
+    """``(key, cuts)`` of anchors with more than ``square`` members, or None where no anchor can have so many.
+
+    Fingerprints are counted by block word first: there are as many words as their bits allow, however many fingerprints.
+    """
+    words = _words(blocks, threshold)
+    counted = [stage(fps.groupBy(word.alias("word")).agg(F.count("*").alias("n")), "words") for word, _, _ in words]
+    near = [sum(map(len, covering_masks(bits, within)[1])) for _, bits, within in words]
+    most = [(c.agg(F.max("n")).first()[0] or 0) * own for c, own in zip(counted, near, strict=True)]
+    if max(most) <= square:
+        return None
+    keys = [c.select("n", F.explode(_anchor_rows(F.col("word"), bits, within, blocks, k)).alias("m")).select("m.key", "n") for k, (c, (_, bits, within)) in enumerate(zip(counted, words, strict=True))]
+    sums = reduce(DataFrame.unionByName, keys).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > square)
+    return sums.select("key", F.ceil(F.col("n") / square).cast("int").alias("cuts"))
+
+
+def _spread(members: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Cut hot anchors into squares (i, j): home members of slice i meet members of slice j."""
+    if hot is None:
+        return members.select("key", F.lit(0).alias("cell"), "fp", "home", F.lit(True).alias("member"))
     cut = members.join(hot, "key", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int")
     each = F.sequence(F.lit(0), F.col("cuts") - 1)
@@ -113,26 +135,6 @@ def _spread(members: DataFrame, square: int) -> DataFrame:
     return cut.select("key", "fp", F.explode(rows).alias("c")).select("key", "c.cell", "fp", "c.home", "c.member")
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from each node to the smallest of its component: as many as nodes, however many pairs came in."""
-    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    u, v = at[: len(a)], at[len(a) :]
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[u], root[v])
-        new = root.copy()
-        np.minimum.at(new, root[u], low)
-        np.minimum.at(new, root[v], low)
-        np.minimum.at(new, u, low)
-        np.minimum.at(new, v, low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    far = root != np.arange(len(nodes))
-    return nodes[far], nodes[root[far]]
-
-
 def _compare(key: np.ndarray, fp: np.ndarray, home: np.ndarray, is_member: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links within runs of equal ``key``: every home row against every member row of its run."""
     starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(1)]))
@@ -151,71 +153,62 @@ def _compare(key: np.ndarray, fp: np.ndarray, home: np.ndarray, is_member: np.nd
         right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[run[part]], n)
         near = (np.bitwise_count(fp[left] ^ fp[right]) <= threshold) & (fp[left] != fp[right]) & is_member[right]
         if near.any():
-            yield _forest(fp[left[near]].view(np.int64), fp[right[near]].view(np.int64))
+            yield forest(fp[left[near]].view(np.int64), fp[right[near]].view(np.int64))
 
 
 def _links(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
-    """Reads rows sorted by (key, cell) and links each run as soon as it is complete; a run is at most a square's two sides."""
-    rest: list[pa.RecordBatch] = []
-
-    def flush(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        col = lambda c: np.concatenate([r.column(c).to_numpy(zero_copy_only=False) for r in rows])
+    """Links of whole runs of equal (key, cell), many small ones at a time; a run is at most a square's two sides."""
+    for part in runs(batches, "key", "cell", together=True):
+        col = lambda c: part.column(c).to_numpy(zero_copy_only=False)  # noqa: E731, B023
         keys = np.stack([col("key"), col("cell").astype(np.int64)], 1)
         for a, b in _compare(keys, col("fp").view(np.uint64), col("home"), col("member"), threshold):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    for batch in batches:
-        key, cell = batch.column("key").to_numpy(), batch.column("cell").to_numpy()
-        turn = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1]))
-        new = rest and batch.num_rows and (rest[-1].column("key")[-1].as_py(), rest[-1].column("cell")[-1].as_py()) != (key[0], cell[0])
-        if new:
-            yield from flush(rest)
-            rest = []
-        if len(turn):
-            cut = int(turn[-1]) + 1
-            yield from flush([*rest, batch.slice(0, cut)])
-            rest = [batch.slice(cut)]
-        elif batch.num_rows:
-            rest.append(batch)
-    if rest:
-        yield from flush(rest)
-
-
-def links(fps: DataFrame, threshold: int = THRESHOLD, blocks: int = 3, square: int = SQUARE) -> DataFrame:
-    """A forest ``(a, b)`` of links between different fingerprints of ``fps(fp)`` at ``threshold`` or fewer differing bits.
+
+def links(fps: DataFrame, threshold: int = THRESHOLD, blocks: int | None = None, square: int = SQUARE) -> DataFrame:
+    """A forest ``(a, b)`` of links between the different fingerprints of ``fps(fp)`` at ``threshold`` or fewer differing bits.
 
     Two such fingerprints differ in at most threshold // blocks bits of some block. There the first's home anchor, within
     the covering radius, is within radius plus that many bits of the second, so they meet. An anchor yields a forest, not
-    its pairs; components of the forest are those of all links.
+    its pairs; components of the forest are those of all links. ``blocks`` is chosen by the number of fingerprints.
     """
-    spread = _spread(_members(fps, blocks, threshold), square)
+    blocks = blocks or (3 if fps.count() <= THREE_BLOCKS else 2)
+    spread = _spread(_members(fps, blocks, threshold), _hot(fps, blocks, threshold, square))
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = spread.repartition(n, "key", "cell").sortWithinPartitions("key", "cell")
     return dealt.mapInArrow(lambda it: _links(it, threshold), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE, blocks: int = 3) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` for each row of ``docs(doc_id, text)``.
-
-    Links join fingerprints at ``threshold`` or fewer differing bits, and the component's id is its smallest doc_id. Null,
-    empty and wordless texts have fingerprint zero and link like any other. Equal fingerprints are one node, so copies
-    are never paired. Rows of equal doc_id each appear; other columns are ignored; an empty table gives an empty result.
-    """
+def _placed(docs: DataFrame, threshold: int, size: int, blocks: int | None) -> DataFrame:
+    """``(doc_id, rid, fp, component_id)`` for each row."""
     rows = stage(fingerprints(docs, size), "fingerprints")
     fps = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fps")
     roots = connected_components(links(fps, threshold, blocks)).select(F.col("node").alias("fp"), "root")
     placed = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = placed.join(least, "root").select("fp", "component_id")
-    return rows.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    of = stage(placed.join(least, "root").select("fp", "component_id"), "components")  # a written side lets Spark split the join by fingerprint
+    drop_staged(fps)
+    return rows.join(of, "fp")
 
 
-def keep_one(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
-    """``docs`` without the near-duplicates: of each component the row of the smallest doc_id stays, with all columns.
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE, blocks: int | None = None) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)`` for each row of ``docs(doc_id, text)``.
 
-    Texts without a word are one group. Rows that repeat the doc_id that stays all stay.
+    Links join fingerprints at ``threshold`` or fewer differing bits, and the component's id is its smallest doc_id. Null,
+    empty and wordless texts have fingerprint zero and link like any other. Equal fingerprints are one node, so copies
+    are never paired. Rows of equal doc_id each appear; other columns are ignored; an empty table gives an empty result.
     """
-    parts = near_duplicates(docs, threshold, size)
-    gone = parts.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return _placed(docs, threshold, size, blocks).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
 
+def keep_one(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE, similarity: float | None = None) -> DataFrame:
+    """``docs`` without the near-duplicates: of each component the document of the smallest doc_id stays, with all columns.
+
+    With ``similarity`` links are those of the texts' shingles at that Jaccard similarity (:mod:`minhash`), else those of
+    fingerprints at ``threshold``. Texts without a word are one group. Rows of equal doc_id are told apart by their texts;
+    equal rows of the document that stays all stay, and so do rows without an id.
+    """
+    parts = _placed(docs, threshold, size, None) if similarity is None else minhash.near_duplicates(docs, similarity, size)
+    gone = stage(parts.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"), F.col("rid").alias("__rid")).distinct(), "gone")
+    # how many go grows with the corpus, so they are never broadcast
+    return docs.join(gone.hint("merge"), (docs["doc_id"] == gone["__gone"]) & (F.xxhash64(docs["text"]) == gone["__rid"]), "left_anti")
