@@ -9,28 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.sources.paths import fresh_path
+from tapeline.sources.paths import drop_staged, stage
+
+__all__ = ["LOWER", "chunks", "connected_components", "drop_staged", "forest", "rows", "runs", "shares", "stage"]
 
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 ROWS = 256
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends here and lost executors cost nothing."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.staged_path = path
-    return out
-
-
-def drop_staged(df: DataFrame) -> None:
-    """Delete a table of :func:`stage` that no later plan reads."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of a few rows."""
     for batch in batches:
@@ -116,8 +102,8 @@ def shares(counts: dict, rows: int, least: int = 50) -> dict:
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``; root is the smallest node reachable.
 
-    Alternating large-star and small-star rounds; each is a partial aggregation and an equi-join, so a node with very many
-    neighbours is pre-aggregated and its join partition can be split. Rounds grow with the logarithm of a component's
+    Alternating large-star and small-star rounds; each is a partial aggregation and an equi-join. A node with very many
+    neighbours is pre-aggregated, and its part of the join can be split by Spark, as the aggregate is a written table. Rounds grow with the logarithm of a component's
     size. Nulls and self-loops are ignored; an empty input gives an empty result.
     """
     current = stage(edges.select("a", "b").where("a <> b").select(
@@ -125,12 +111,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(max_rounds):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")  # written, so that the join can be split
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = stage(small.unionByName(down.select("a", F.col("m").alias("b"))).distinct(), "edges")
         drop_staged(current)
+        drop_staged(least)
         current = after
         seen = current.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if tuple(seen) == mark:
