@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -58,6 +59,24 @@ def write_partitions(df: DataFrame, path: str, partition: Sequence[str]) -> None
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
 
 
+def replace_snapshot(df: DataFrame, path: str) -> None:
+    """Put ``df``, which may read from ``path``, in the place of the table there. It is written whole beside the old one, which goes
+    last, so that a failed write leaves the old table; a failed swap puts it back."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    new, now, old = place(f"{path}_new-{mark}"), place(path), place(f"{path}_old-{mark}")
+    df.write.parquet(new.toString())
+    disk = now.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = disk.exists(now)
+    if there and not disk.rename(now, old):
+        raise OSError(f"{path} can't be moved aside")
+    if not disk.rename(new, now):
+        if there:
+            disk.rename(old, now)
+        raise OSError(f"{path} can't be put in place")
+    disk.delete(old, True)
+
+
 #: States of a load: failed, has rows, has none, given up.
 FAILED, LOADED, EMPTY, ABANDONED = 0, 1, 2, 3
 MAX_RETRIES = 5

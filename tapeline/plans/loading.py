@@ -119,7 +119,7 @@ def snapshot_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     path = paths.fresh_path(spark, "snapshot")
     for part in (o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 2 = 1")):
-        part.write.mode("overwrite").parquet(path)
+        upsert.replace_snapshot(part, path)
     return spark.read.parquet(path)
 
 

@@ -116,3 +116,15 @@ def test_write_partitions_leaves_others(spark, tmp_path):
     upsert.write_partitions(spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string"), path, ["p"])
     upsert.write_partitions(spark.createDataFrame([(9, "a")], "v int, p string"), path, ["p"])
     assert rows(spark.read.parquet(path)) == [(2, "b"), (9, "a")]
+
+
+def test_snapshot_replace(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    upsert.replace_snapshot(spark.range(3), path)
+    upsert.replace_snapshot(spark.read.parquet(path).where("id > 0"), path)  # reads what it replaces
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    with pytest.raises(Exception, match="broken"):
+        upsert.replace_snapshot(spark.range(2).select(F.raise_error(F.lit("broken")).cast("bigint").alias("id")), path)
+    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    upsert.replace_snapshot(spark.range(0), path)
+    assert spark.read.parquet(path).count() == 0 and not [p for p in tmp_path.iterdir() if "_old-" in p.name]
