@@ -104,26 +104,21 @@ def _members(fps: DataFrame, blocks: int, threshold: int) -> DataFrame:
     return dealt.select("fp", F.explode(F.concat(*parts)).alias("m")).select("m.key", "fp", "m.home")
 
 
-def _hot(fps: DataFrame, blocks: int, threshold: int, square: int) -> DataFrame | None:
-    """``(key, cuts)`` of anchors with more than ``square`` members, or None where no anchor can have so many.
+def _hot(fps: DataFrame, blocks: int, threshold: int, square: int) -> DataFrame:
+    """``(key, cuts)`` of anchors with more than ``square`` members.
 
     Fingerprints are counted by block word first: there are as many words as their bits allow, however many fingerprints.
     """
-    words = _words(blocks, threshold)
-    counted = [stage(fps.groupBy(word.alias("word")).agg(F.count("*").alias("n")), "words") for word, _, _ in words]
-    near = [sum(map(len, covering_masks(bits, within)[1])) for _, bits, within in words]
-    most = [(c.agg(F.max("n")).first()[0] or 0) * own for c, own in zip(counted, near, strict=True)]
-    if max(most) <= square:
-        return None
-    keys = [c.select("n", F.explode(_anchor_rows(F.col("word"), bits, within, blocks, k)).alias("m")).select("m.key", "n") for k, (c, (_, bits, within)) in enumerate(zip(counted, words, strict=True))]
-    sums = reduce(DataFrame.unionByName, keys).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > square)
+    counted = []
+    for k, (word, bits, within) in enumerate(_words(blocks, threshold)):
+        words = fps.groupBy(word.alias("word")).agg(F.count("*").alias("n"))
+        counted.append(words.select("n", F.explode(_anchor_rows(F.col("word"), bits, within, blocks, k)).alias("m")).select("m.key", "n"))
+    sums = reduce(DataFrame.unionByName, counted).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > square)
     return sums.select("key", F.ceil(F.col("n") / square).cast("int").alias("cuts"))
 
 
-def _spread(members: DataFrame, hot: DataFrame | None) -> DataFrame:
+def _spread(members: DataFrame, hot: DataFrame) -> DataFrame:
     """Cut hot anchors into squares (i, j): home members of slice i meet members of slice j."""
-    if hot is None:
-        return members.select("key", F.lit(0).alias("cell"), "fp", "home", F.lit(True).alias("member"))
     cut = members.join(hot, "key", "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int")
     each = F.sequence(F.lit(0), F.col("cuts") - 1)
