@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import chat, decontaminate, langid, mixing, pii, quality, secrets, shard, simhash, substring
+from tapeline.llm import chat, decontaminate, divergence, infill, langid, mixing, ngram_join, pii, quality, secrets, shard, simhash, substring
 from tapeline.llm._shared import stage
 
 
@@ -100,11 +100,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(stats, cutoffs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; texts without a word are alone, whatever their ids."""
+    return ngram_join.linked(_read(spark, sf_dir, "documents")).drop("rid")
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; null texts are empty, null ids draw as empty ones."""
+    made = infill.with_restored(infill.transform(_read(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each pair of sources of a language, and for each source's 50 most overrepresented words."""
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_substring_dedup, op3_language_id, op4_secret_scan, op5_sharding,
         op6_mixing, op7_simhash_near_dedup, op8_chat_formatting, op9_pii_surrogates, op10_quality_rules,
+        op11_ngram_join, op12_infill, op13_source_divergence,
     )
 }
 
@@ -141,4 +158,37 @@ SQL: dict[str, str] = {
                CAST(sum(24 + length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'), chr(10), '&nl;'))
                         + length(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'))) AS BIGINT) AS formatted_chars
         FROM rows GROUP BY conv_id""",
+    "op11_ngram_join": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 2], ' ') AS s FROM w, unnest(range(1, greatest(2, len(ws) - 1))) AS t(i) WHERE len(ws) > 0),
+        size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        link AS (SELECT a, b FROM common c JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c.n >= 90 * (x.n + y.n - c.n)),
+        reach AS (SELECT doc_id, doc_id AS at FROM w UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.at)
+        SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(at) AS component_id FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id""",
+    "op12_infill": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        x AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS c2,
+              CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+                   WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+        c AS (SELECT *, substr(text, 1, least(c1, c2)) AS pre, substr(text, least(c1, c2) + 1, greatest(c1, c2) - least(c1, c2)) AS mid, substr(text, greatest(c1, c2) + 1) AS suf FROM x)
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(least(c1, c2) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(greatest(c1, c2) - least(c1, c2) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256 FROM c""",
+    "op13_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        w AS (SELECT r, lang, source, unnest(ws) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS c FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+        l AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+        have AS (SELECT w.lang, source, term, count(*) AS c FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+        total AS (SELECT lang, source, sum(c) AS n FROM have GROUP BY ALL),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(h.c, 0) AS c, 1 + CAST(CAST(1000000000 AS HUGEINT) * (coalesce(h.c, 0) + 5) // (coalesce(t.n, 0) + 5 * l.v) AS BIGINT) AS p,
+                     1 + CAST(CAST(1000000000 AS HUGEINT) * (k.c + 5) // (l.n + 5 * l.v) AS BIGINT) AS q
+              FROM g JOIN kept k USING (lang) JOIN l USING (lang) LEFT JOIN total t USING (lang, source) LEFT JOIN have h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+        pair AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        out AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                LEFT JOIN pair x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+                UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM out)
+        SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
