@@ -164,8 +164,8 @@ SQL: dict[str, str] = {
         size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
         common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
         link AS (SELECT a, b FROM common c JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c.n >= 90 * (x.n + y.n - c.n)),
-        reach AS (SELECT doc_id, doc_id AS at FROM w UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.at)
-        SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(at) AS component_id FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id""",
+        reach AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other)
+        SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id""",
     "op12_infill": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
         x AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS c2,
