@@ -1,15 +1,16 @@
 """Day-vector files: little-endian float32, the first value the position of the first day, then a value for each day.
 
-A file per instrument and field, ``<path>/<instrument>/<field>.day.bin``. Tasks stage files; the commit moves whole
-instruments at once, and an overwrite keeps what was there aside until all is in place, so a failed write leaves the old
-files. Registered as format ``daybin``.
+A file per instrument and field. Each write makes a version, a folder ``<path>/v<number>-<id>/i-<instrument>/<field>.day.bin`` that holds
+what it wrote; tasks put whole instruments there. A manifest names the versions that hold, and of a file's copies the one in the
+newest version counts. The driver publishes a manifest by one rename, so readers see a write whole or not at all, and the
+driver's work doesn't grow with the number of files. Vectors that can't be written are the version's rejects. Registered as format ``daybin``.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
@@ -23,11 +24,29 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from pyspark.sql.types import StructType
 
 SUFFIX = ".day.bin"
+#: Before an instrument's name in a version, as folders whose names begin with an underscore are hidden from readers.
+FOLDER = "i-"
+#: Positions are exact in a float32 up to here.
+MOST_DAYS = 1 << 24
+#: Versions that a manifest names at most; a write that makes more merges them first.
+VERSIONS = 8
+MANIFEST, REJECTS = "_manifest-", "_rejects"
 
 
 def pack(index: np.ndarray, values: np.ndarray) -> bytes | None:
-    """A file from positions in order and their values; ends without a value are cut, gaps are NaN. None without any value."""
-    values = values.astype("<f4")
+    """A file from positions in order and their values; ends without a value are cut, gaps are NaN. None without any value.
+
+    Positions that repeat or that a file can't hold, and values too large for its numbers, are errors.
+    """
+    if len(index) and (index[0] < 0 or index[-1] >= MOST_DAYS):
+        raise ValueError(f"day {index[0] if index[0] < 0 else index[-1]} is no position")
+    if (np.diff(index) <= 0).any():
+        raise ValueError("two values for a day")
+    with np.errstate(over="ignore"):
+        narrow = values.astype("<f4")
+    if (np.isinf(narrow) & np.isfinite(values)).any():
+        raise ValueError("a value is too large")
+    values = narrow
     good = np.flatnonzero(~np.isnan(values))
     if not len(good):
         return None
@@ -58,82 +77,147 @@ def extend(raw: bytes, index: np.ndarray, values: np.ndarray) -> bytes | None:
     return pack(np.concatenate([start + np.arange(len(have)), index[new]]), np.concatenate([have, values[new].astype("<f4")]))
 
 
+def merge(raw: bytes | None, index: np.ndarray, values: np.ndarray) -> bytes | None:
+    """An older file with the given values at their positions, in it or beyond its ends. Broken files are written anew; None if nothing is new."""
+    old = unpack(raw) if raw else None
+    new = ~np.isnan(values)
+    if old is None or not len(old[1]):
+        return pack(index, values)
+    if not new.any():
+        return None
+    fresh = unpack(pack(index[new], values[new]))
+    (a, have), (b, more) = old, fresh
+    start = min(a, b)
+    out = np.full(max(a + len(have), b + len(more)) - start, np.nan, "<f4")
+    out[a - start : a - start + len(have)] = have
+    at = np.flatnonzero(~np.isnan(more))
+    out[b - start + at] = more[at]
+    return pack(start + np.arange(len(out)), out)
+
+
 def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:").rstrip("/"))
+
+
+def _is_file(disk: fs.FileSystem, path: str) -> bool:
+    return disk.get_file_info(path).type == fs.FileType.File
 
 
-#: Moves and look-ups that the commit has under way at once.
-MOVES = 32
+def manifest(path: str) -> dict | None:
+    """``{number, versions, notes}`` of the vectors at ``path``; None where there are none, or none with versions."""
+    disk, root = _open(path)
+    there = [i.path for i in disk.get_file_info(fs.FileSelector(root, allow_not_found=True)) if i.base_name.startswith(MANIFEST)]
+    return json.loads(disk.open_input_stream(max(there)).read()) if there else None
 
 
-def _all(f: Callable, items: list) -> None:
-    with ThreadPoolExecutor(MOVES) as pool:
-        for _ in pool.map(f, items):
-            pass
+def _current(disk: fs.FileSystem, root: str, versions: list[str], name: str) -> bytes | None:
+    """The newest copy of a file; None where there is none, or where it was taken away."""
+    for v in reversed(versions):
+        if _is_file(disk, f"{root}/{v}/{name}"):
+            return disk.open_input_stream(f"{root}/{v}/{name}").read() or None
+    return None
+
+
+def _publish(path: str, base: dict | None, version: str, alone: bool, notes: dict) -> None:
+    """Make ``version`` the newest of those that hold, or the only one. One rename decides; what is deleted then nobody reads any more:
+    versions that neither this manifest nor the one before names."""
+    disk, root = _open(path)
+    now = manifest(path)
+    if (now or {}).get("number") != (base or {}).get("number"):
+        raise OSError(f"another write to {path} came between")
+    disk.create_dir(f"{root}/{version}")
+    old = base["versions"] if base else []
+    number = base["number"] + 1 if base else 1
+    new = {"number": number, "versions": [version] if alone else [*old, version], "notes": (base["notes"] if base else {}) | notes}
+    with disk.open_output_stream(f"{root}/_new-{version}") as f:
+        f.write(json.dumps(new).encode())
+    disk.move(f"{root}/_new-{version}", f"{root}/{MANIFEST}{number:010d}.json")
+    for i in disk.get_file_info(fs.FileSelector(root)):
+        if i.type == fs.FileType.Directory and i.base_name.startswith("v") and i.base_name not in {*old, *new["versions"]} and i.base_name.partition("-")[0][1:].isdigit():
+            disk.delete_dir(i.path)
+        elif i.base_name.startswith(MANIFEST) and i.base_name < f"{MANIFEST}{number - 1:010d}.json":
+            disk.delete_file(i.path)
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    """What a task staged: its folder, and the fields of each of its instruments."""
+    """What a task wrote."""
 
-    folder: str
-    fields: dict[str, list[str]]
-    empty: list[str]
+    n_files: int
+    n_rejects: int
 
 
 class DayBinWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, mode: str):
-        self.path, self.mode, self.id = path.rstrip("/"), mode, uuid.uuid4().hex
-        self.staging, self.aside = f"_staging-{self.id}", f"_old-{self.id}"
+    def __init__(self, path: str, mode: str, notes: dict | None = None):
+        self.path, self.mode, self.notes = path.rstrip("/"), mode, notes or {}
+        self.base = manifest(self.path)
+        self.versions = self.base["versions"] if self.base and mode != "overwrite" else []
+        self.version = f"v{self.base['number'] + 1 if self.base else 1:010d}-{uuid.uuid4().hex}"
+
+    def _file(self, disk: fs.FileSystem, root: str, name: str, index: np.ndarray, values: np.ndarray) -> bytes | None:
+        """What becomes of a vector: a file, an empty one that takes an older one away, or None, which leaves it."""
+        if self.mode in ("append", "merge"):
+            old = _current(disk, root, self.versions, name)
+            return merge(old, index, values) if self.mode == "merge" else extend(old, index, values) if old else pack(index, values)
+        raw = pack(index, values)
+        return b"" if raw is None and _current(disk, root, self.versions, name) else raw
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        """Instruments are put in place whole. One with a bad vector isn't, but is a reject; a repeated task makes the same of both."""
         disk, root = _open(self.path)
-        out = Written(f"{root}/{self.staging}/{uuid.uuid4().hex}", {}, [])
-        for (inst, field), index, values in _vectors(iterator):
-            there = f"{root}/{inst}/{field}{SUFFIX}"
-            append = self.mode == "append" and disk.get_file_info(there).type == fs.FileType.File
-            raw = extend(disk.open_input_stream(there).read(), index, values) if append else pack(index, values)
+        at = f"{root}/{self.version}"
+        tmp = f"{at}/_tmp-{uuid.uuid4().hex}"
+        rejects: list[dict] = []
+        done = Written(0, 0)
+        inst, n, bad = None, 0, False
+
+        def finish() -> None:
+            if n and not bad:
+                own = f"{at}/{FOLDER}{inst}"
+                if disk.get_file_info(own).type == fs.FileType.Directory:
+                    disk.delete_dir(own)  # of an attempt that was lost
+                disk.move(f"{tmp}/{inst}", own)
+                done.n_files += n
+
+        for (name, field), index, values in _vectors(iterator):
+            if name != inst:
+                finish()
+                inst, n, bad = name, 0, False
+            if bad:
+                continue
+            try:
+                raw = self._file(disk, root, f"{FOLDER}{name}/{field}{SUFFIX}", index, values)
+            except ValueError as e:
+                rejects.append({"instrument": name, "field": field, "reason": str(e)})
+                bad = True
+                continue
             if raw is None:
-                out.empty += [there] if self.mode == "replace" else []
                 continue
-            if inst not in out.fields:
-                disk.create_dir(f"{out.folder}/{inst}")
-            out.fields.setdefault(inst, []).append(field)
-            with disk.open_output_stream(f"{out.folder}/{inst}/{field}{SUFFIX}") as f:
+            if not n:
+                disk.create_dir(f"{tmp}/{inst}")
+            with disk.open_output_stream(f"{tmp}/{inst}/{field}{SUFFIX}") as f:
                 f.write(raw)
-        return out
+            n += 1
+        finish()
+        if disk.get_file_info(tmp).type == fs.FileType.Directory:
+            disk.delete_dir(tmp)
+        if rejects:
+            disk.create_dir(f"{at}/{REJECTS}")
+            with disk.open_output_stream(f"{at}/{REJECTS}/{uuid.uuid4().hex}.json") as f:
+                f.write("".join(json.dumps(r) + "\n" for r in rejects).encode())
+        done.n_rejects = len(rejects)
+        return done
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        """Overwrite: old instruments step aside, new ones move in, then the old go; a failure moves them back. Append and
-        replace: new files replace old ones, each at once; after a failure the same write finishes the rest."""
-        disk, root = _open(self.path)
-        staged = [(f"{m.folder}/{inst}", inst, fields) for m in messages if m for inst, fields in m.fields.items()]
-        if self.mode != "overwrite":
-            _all(lambda x: disk.create_dir(f"{root}/{x[1]}"), staged)
-            _all(lambda x: disk.move(*x), [(f"{at}/{field}{SUFFIX}", f"{root}/{inst}/{field}{SUFFIX}") for at, inst, fields in staged for field in fields])
-            gone = [x for m in messages if m for x in m.empty]
-            _all(lambda x: disk.delete_file(x) if disk.get_file_info(x).type == fs.FileType.File else None, gone)
-            return self.abort(messages)
-        disk.create_dir(f"{root}/{self.aside}")
-        old = [i.base_name for i in disk.get_file_info(fs.FileSelector(root)) if i.type == fs.FileType.Directory and not i.base_name.startswith("_")]
-        moved: list[str] = []
-        try:
-            _all(lambda inst: disk.move(f"{root}/{inst}", f"{root}/{self.aside}/{inst}"), old)
-            _all(lambda x: (disk.move(x[0], f"{root}/{x[1]}"), moved.append(x[1])), staged)
-        except BaseException:
-            for inst in moved:
-                disk.delete_dir(f"{root}/{inst}")
-            for info in disk.get_file_info(fs.FileSelector(f"{root}/{self.aside}")):
-                disk.move(info.path, f"{root}/{info.base_name}")
-            disk.delete_dir(f"{root}/{self.aside}")
-            raise
-        disk.delete_dir(f"{root}/{self.aside}")
-        self.abort(messages)
+        """Publish the version: before that readers have the old files, after it the new ones."""
+        counts = {"n_files": sum(m.n_files for m in messages if m), "n_rejects": sum(m.n_rejects for m in messages if m)}
+        _publish(self.path, self.base, self.version, self.mode == "overwrite", self.notes | counts)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        now = manifest(self.path)
         disk, root = _open(self.path)
-        if disk.get_file_info(f"{root}/{self.staging}").type == fs.FileType.Directory:
-            disk.delete_dir(f"{root}/{self.staging}")
+        if (not now or self.version not in now["versions"]) and disk.get_file_info(f"{root}/{self.version}").type == fs.FileType.Directory:
+            disk.delete_dir(f"{root}/{self.version}")
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, str], np.ndarray, np.ndarray]]:
@@ -167,46 +251,144 @@ class DayBin(DataSource):
         return "daybin"
 
     def writer(self, schema: StructType, overwrite: bool) -> DayBinWriter:
-        return DayBinWriter(self.options["path"], self.options.get("vectors", "overwrite" if overwrite else "append"))
+        mode = self.options.get("vectors", "overwrite" if overwrite else "append")
+        return DayBinWriter(self.options["path"], mode, json.loads(self.options.get("notes", "{}")))
+
+
+def write_long(rows: DataFrame, path: str, mode: str, tasks: int | None = None, notes: dict | None = None) -> None:
+    """Write rows ``(instrument, field, cal_idx, value)``: see :func:`write`."""
+    spark = rows.sparkSession
+    if not urlsplit(path).scheme and spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError(f"give {path} with its scheme: tasks write it")
+    if len((manifest(path) or {"versions": []})["versions"]) >= VERSIONS and mode != "overwrite":
+        compact(spark, path)
+    spark.dataSource.register(DayBin)
+    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = rows.select("instrument", "field", F.col("cal_idx").cast("long").alias("cal_idx"), F.col("value").cast("double").alias("value"))
+    dealt = own.repartition(n, "instrument").sortWithinPartitions("instrument", "field", "cal_idx")
+    out = dealt.write.format("daybin").mode("overwrite" if mode == "overwrite" else "append").option("vectors", mode)
+    out.option("notes", json.dumps(notes or {})).save(path)
 
 
-def write(slots: DataFrame, fields: list[str], path: str, mode: str = "overwrite", tasks: int | None = None) -> None:
+def write(slots: DataFrame, fields: list[str], path: str, mode: str = "overwrite", tasks: int | None = None, notes: dict | None = None) -> None:
     """Write features ``(instrument, cal_idx, <fields>)``. ``overwrite``: nothing else stays. ``replace``: the files of these instruments
     and fields are written anew, or go where there is no value, and others stay. ``append``: only what comes after the files' ends.
+    ``merge``: values take their positions, in the files or beyond their ends.
 
     One shuffle deals instruments to ``tasks``, by default the session's shuffle partitions; each task holds one vector. A path
-    without a scheme is a task's own disk, so it is an error anywhere but in a local session.
+    without a scheme is a task's own disk, so it is an error anywhere but in a local session. Vectors that can't be written are
+    :func:`rejects`; of their instruments nothing is written. ``notes`` are published with the files.
     """
-    spark = slots.sparkSession
-    if not urlsplit(path).scheme and spark.sparkContext.master.partition("[")[0] != "local":
-        raise ValueError(f"give {path} with its scheme: tasks write it")
-    spark.dataSource.register(DayBin)
-    long = slots.select("instrument", F.col("cal_idx").cast("long").alias("cal_idx"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("value")) for f in fields])).alias("x"))
-    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    long = slots.select("instrument", "cal_idx", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("value")) for f in fields])).alias("x"))
     rows = long.select("instrument", "x.field", "cal_idx", "x.value")
-    rows = rows if mode == "replace" else rows.where("value IS NOT NULL")
-    dealt = rows.repartition(n, "instrument").sortWithinPartitions("instrument", "field", "cal_idx")
-    dealt.write.format("daybin").mode("overwrite" if mode == "overwrite" else "append").option("vectors", mode).save(path)
+    write_long(rows if mode == "replace" else rows.where("value IS NOT NULL"), path, mode, tasks, notes)
+
+
+def rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``(instrument, field, reason)`` of the vectors that the newest version couldn't take."""
+    schema, now = "instrument string, field string, reason string", manifest(path)
+    disk, root = _open(path)
+    at = f"{now['versions'][-1]}/{REJECTS}" if now else REJECTS
+    if disk.get_file_info(f"{root}/{at}").type != fs.FileType.Directory:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(f"{path}/{at}/*.json").distinct()  # a repeated task says it twice
 
 
 READ = "instrument string, field string, cal_idx long, value float, reject string"
 
 
-def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _held(batches: Iterator[pd.DataFrame], path: str, versions: list[str]) -> Iterator[tuple[str, str, bytes]]:
+    """``(instrument, field, bytes)`` of files that no newer version has; files that were taken away are out."""
+    disk, root = _open(path)
     for batch in batches:
-        for path, raw in zip(batch["path"], batch["content"], strict=True):
-            inst, _, name = path.rpartition("/")
-            head = {"instrument": inst.rpartition("/")[2], "field": name.removesuffix(SUFFIX)}
-            found = unpack(bytes(raw))
+        for at, raw in zip(batch["path"], batch["content"], strict=True):
+            folder, inst, name = at.rsplit("/", 2)
+            newer = versions[versions.index(folder.rpartition("/")[2]) + 1 :] if versions else []
+            if (newer and any(i.type == fs.FileType.File for i in disk.get_file_info([f"{root}/{v}/{inst}/{name}" for v in newer]))) or (versions and not raw):
+                continue
+            yield inst.removeprefix(FOLDER) if versions else inst, name.removesuffix(SUFFIX), bytes(raw)
+
+
+def _files(spark: SparkSession, path: str, versions: list[str]) -> DataFrame:
+    folders = [f"{path}/{v}" for v in versions]
+    if not versions:  # a plain tree: folders that Spark takes for hidden are named
+        there = _open(path)[0].get_file_info(fs.FileSelector(_open(path)[1]))
+        folders = [path, *(f"{path}/{i.base_name}" for i in there if i.type == fs.FileType.Directory and i.base_name.startswith(("_", ".")))]
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{SUFFIX}").load(folders)
+    return found.select("path", "content")
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """``(instrument, field, cal_idx, value, reject)`` of all files; days without a value are null, broken files one rejected row.
+
+    A tree of files without a manifest is read as it is.
+    """
+    versions = (manifest(path) or {"versions": []})["versions"]
+
+    def unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for inst, field, raw in _held(batches, path, versions):
+            head, found = {"instrument": inst, "field": field}, unpack(raw)
             if found is None:
                 yield pd.DataFrame([head | {"cal_idx": None, "value": None, "reject": "not a vector file"}]).astype({"cal_idx": "Int64", "value": "Float32"})
             elif len(found[1]):
                 start, values = found
                 yield pd.DataFrame(head | {"cal_idx": start + np.arange(len(values)), "value": values, "reject": None})
 
-
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """``(instrument, field, cal_idx, value, reject)`` of all files; days without a value are null, broken files one rejected row."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{SUFFIX}").load(path)
-    rows = files.select("path", "content").mapInPandas(_unpacked, READ)
+    rows = _files(spark, path, versions).mapInPandas(unpacked, READ)
     return rows.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
+
+
+def remapped(spark: SparkSession, path: str, moved: dict[int, int], but: dict[str, set[int]] | None = None) -> DataFrame:
+    """``(instrument, field, cal_idx, value)`` of all files at new positions: ``moved`` says the new one of an old one, and what it lacks
+    goes. Where several old positions meet, the last value counts. ``but`` lists new positions that a field leaves out.
+
+    Each file is turned by the task that reads it; the map has a number for each day of a calendar.
+    """
+    versions = (manifest(path) or {"versions": []})["versions"]
+    to = np.full(max(moved, default=-1) + 1, -1, np.int64)
+    to[list(moved)] = list(moved.values())
+    out = {f: np.array(sorted(x), np.int64) for f, x in (but or {}).items()}
+
+    def turned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for inst, field, raw in _held(batches, path, versions):
+            start, values = unpack(raw) or (0, np.empty(0, "<f4"))
+            good = np.flatnonzero(~np.isnan(values))
+            good = good[start + good < len(to)]
+            at = to[start + good]
+            keep = (at >= 0) & ~np.isin(at, out.get(field, []))
+            at, values = at[keep], values[good[keep]]
+            last = np.append(at[1:] != at[:-1], True)[: len(at)]  # days stay in order
+            yield pd.DataFrame({"instrument": inst, "field": field, "cal_idx": at[last], "value": values[last]})
+
+    return _files(spark, path, versions).mapInPandas(turned, "instrument string, field string, cal_idx long, value float")
+
+
+def _copied(spark: SparkSession, path: str, versions: list[str], to: str, prefix: str = "") -> None:
+    def copied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        disk, root = _open(to)
+        n = 0
+        for inst, field, raw in _held(batches, path, versions):
+            own = f"{root}/{prefix}{inst}"
+            disk.create_dir(own)
+            tmp = f"{own}/_tmp-{uuid.uuid4().hex}"
+            with disk.open_output_stream(tmp) as f:
+                f.write(raw)
+            disk.move(tmp, f"{own}/{field}{SUFFIX}")
+            n += 1
+        yield pd.DataFrame({"n": [n]})
+
+    _files(spark, path, versions).mapInPandas(copied, "n bigint").agg(F.sum("n")).collect()  # one number
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Merge the versions into one: tasks copy the files that count, then the driver publishes the copy."""
+    base = manifest(path)
+    if base and len(base["versions"]) > 1:
+        version = f"v{base['number'] + 1:010d}-{uuid.uuid4().hex}"
+        _copied(spark, path, base["versions"], f"{path.rstrip('/')}/{version}", FOLDER)
+        _publish(path, base, version, True, {})
+
+
+def copy_tree(spark: SparkSession, path: str, to: str) -> None:
+    """The vectors that count as a plain tree ``<to>/<instrument>/<field>.day.bin``, as other programs read it."""
+    _copied(spark, path, (manifest(path) or {"versions": []})["versions"], to)
