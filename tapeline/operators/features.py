@@ -66,9 +66,13 @@ def last_in_slot(df: DataFrame, keys: Sequence[str], fields: Sequence[str], orde
 
 
 def densify(slots: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """A row for every slot between a key's first and last, null where there was none."""
-    spans = slots.groupBy(*keys).agg(F.min("cal_idx").alias("a"), F.max("cal_idx").alias("b")).select(*keys, F.explode(F.sequence("a", "b")).alias("cal_idx"))
-    return spans.join(slots, [*keys, "cal_idx"], "left").select(*keys, "cal_idx", *fields)
+    """A row for every slot between a key's first and last, null where there was none.
+
+    Each slot makes the rows up to the key's next one, so the slots are dealt once and joined with nothing.
+    """
+    after = F.lead("cal_idx").over(Window.partitionBy(*keys).orderBy("cal_idx")) - 1
+    own = slots.select(*keys, F.col("cal_idx").alias("__at"), F.coalesce(after, F.col("cal_idx")).alias("__to"), *fields)
+    return own.withColumn("cal_idx", F.explode(F.sequence("__at", "__to"))).select(*keys, "cal_idx", *[F.when(F.col("cal_idx") == F.col("__at"), F.col(f)).alias(f) for f in fields])
 
 
 def valid_bounds(slots: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -94,12 +98,12 @@ def _daily(rows: DataFrame, spec: ExportSpec, fields: Sequence[FieldDef]) -> Dat
     return rows.select(*keys, *[codes.number(f.column).alias(f.name) for f in fields if not f.computed], *[codes.number(c).alias(n) for n, c in inputs.items()])
 
 
-def build(table: DataFrame, spec: ExportSpec, fields: Sequence[FieldDef], days: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """Features ``(instrument, code, cal_idx, <fields>)`` of all instruments of a table, or of those in ``only(code)``.
+def slots(table: DataFrame, spec: ExportSpec, fields: Sequence[FieldDef], days: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """``(code, cal_idx, ...)``: the last value of each field and slot, of all instruments of a table or of those in ``only(code)``.
 
     One scan with the columns the fields need; an aggregation where the spec has one; dates forward to the next open day by
-    a broadcast map; then the last value of each field and slot. The volume-weighted price is computed from the slot's
-    amount and volume. Instruments without a row, and slots without one, have none.
+    a broadcast map; then the last values. Instruments without a row, and slots without one, have none. Inputs of the
+    volume-weighted price come as ``__amount`` and ``__vol``.
     """
     rows = source_rows(table, spec, fields)
     if only is not None:
@@ -108,7 +112,35 @@ def build(table: DataFrame, spec: ExportSpec, fields: Sequence[FieldDef], days:
     names = [c for c in daily.columns if c not in ("code", "date")]
     # after an aggregation a day has one row; else rows of a day are told apart by their values, so that the last is the same in every run
     order = ["date"] if spec.agg else ["date", *names]
-    slots = last_in_slot(to_slots(daily, "date", days), ["code", "cal_idx"], names, order)
+    return last_in_slot(to_slots(daily, "date", days), ["code", "cal_idx"], names, order)
+
+
+def finish(found: DataFrame, spec: ExportSpec, fields: Sequence[FieldDef]) -> DataFrame:
+    """Features ``(instrument, code, cal_idx, <fields>)`` of :func:`slots`: the price is computed from its slot's amount and volume."""
     priced = [codes.vwap("__amount", "__vol").cast("double").alias(f.name) for f in fields if f.computed == "vwap"]
-    kept = [n for n in names if not n.startswith("__")]
-    return slots.select(codes.instrument("code", spec.inst_type).alias("instrument"), "code", "cal_idx", *kept, *priced)
+    kept = [c for c in found.columns if c not in ("code", "cal_idx") and not c.startswith("__")]
+    return found.select(codes.instrument("code", spec.inst_type).alias("instrument"), "code", "cal_idx", *kept, *priced)
+
+
+def build(table: DataFrame, spec: ExportSpec, fields: Sequence[FieldDef], days: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Features ``(instrument, code, cal_idx, <fields>)`` of all instruments of a table, or of those in ``only(code)``."""
+    return finish(slots(table, spec, fields, days, only), spec, fields)
+
+
+def fold(late: DataFrame, carried: DataFrame) -> DataFrame:
+    """Slots of late rows, completed by what was last known of the slot they begin in.
+
+    ``carried(code, slot_idx, slot_values)`` has each instrument's last written slot and the values in it. Rows that fall into that
+    slot again are later than those behind the values, so a value that isn't null replaces the carried one, and a null leaves it.
+    """
+    names = [c for c in late.columns if c not in ("code", "cal_idx")]
+    own = late.join(carried.select("code", "slot_idx", "slot_values"), "code", "left")
+    same = F.col("cal_idx") == F.col("slot_idx")
+    return own.select("code", "cal_idx", *[F.when(same, F.coalesce(F.col(n), F.col("slot_values")[n])).otherwise(F.col(n)).alias(n) for n in names])
+
+
+def last_slot(found: DataFrame) -> DataFrame:
+    """``(code, slot_values)``: what each instrument's last slot has, by name."""
+    names = [c for c in found.columns if c not in ("code", "cal_idx")]
+    values = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.col(n).cast("double") for n in names]))
+    return found.groupBy("code").agg(F.max_by(values, "cal_idx").alias("slot_values"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,18 @@ def history(source: DataFrame, state: DataFrame) -> DataFrame:
         F.min("date").alias("first_seen"), F.max("date").alias("last_seen"), F.count("*").alias("n_rows"), F.count_if(F.col("date") <= F.col("last_date")).alias("n_history"))
 
 
+def counted_history(counts: DataFrame, state: DataFrame, end: date | None = None) -> DataFrame:
+    """:func:`history` from monthly counts (:mod:`rollup`), of days up to ``end``; instruments without such days have no rows."""
+    days = F.transform(F.map_entries("per_day"), lambda x: F.struct(F.make_date(F.substring("month", 1, 4).cast("int"), F.substring("month", 5, 2).cast("int"), x["key"]).alias("date"), x["value"].alias("n")))
+    own = F.filter(days, lambda x: x["date"] <= F.lit(end)) if end else days
+    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    marks = state.select(*STATE_KEY, "last_date")
+    rows = counts.select(*STATE_KEY, own.alias("days")).where(F.size("days") > 0).join(marks, STATE_KEY, "left")
+    until = total(F.filter("days", lambda x: x["date"] <= F.col("last_date")))
+    return rows.groupBy(*STATE_KEY).agg(
+        F.min(F.array_min("days")["date"]).alias("first_seen"), F.max(F.array_max("days")["date"]).alias("last_seen"), F.sum(total("days")).alias("n_rows"), F.sum(until).alias("n_history"))
+
+
 def decide(instruments: DataFrame, state: DataFrame, source: DataFrame, desired: Sequence[str]) -> DataFrame:
     """``(instrument, source_table, action, reason, added)`` with one action for each wanted ``(instrument, source_table)``.
 
@@ -42,7 +55,12 @@ def decide(instruments: DataFrame, state: DataFrame, source: DataFrame, desired:
     ``tail``: rows after the mark. ``none``: nothing to do. A rebuild covers added fields and the tail; a backfill comes
     with the tail. An instrument's state in one table says nothing about another.
     """
-    return _decided(instruments.select(*STATE_KEY).distinct(), state, history(source, state), desired).select(*STATE_KEY, "action", "reason", F.array_join("added", ",").alias("added"))
+    return decide_seen(instruments, state, history(source, state), desired)
+
+
+def decide_seen(instruments: DataFrame, state: DataFrame, seen: DataFrame, desired: Sequence[str]) -> DataFrame:
+    """:func:`decide` from a history that is counted already."""
+    return _decided(instruments.select(*STATE_KEY).distinct(), state, seen, desired).select(*STATE_KEY, "action", "reason", F.array_join("added", ",").alias("added"))
 
 
 def _decided(wanted: DataFrame, state: DataFrame, seen: DataFrame, desired: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -59,13 +59,20 @@ def write_partitions(df: DataFrame, path: str, partition: Sequence[str]) -> None
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
 
 
-def replace_snapshot(df: DataFrame, path: str) -> None:
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """Delete partitions of the table at ``path``; those that aren't there are no error."""
+    for v in values:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={v}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def replace_snapshot(df: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
     """Put ``df``, which may read from ``path``, in the place of the table there. It is written whole beside the old one, which goes
     last, so that a failed write leaves the old table; a failed swap puts it back."""
     spark, mark = df.sparkSession, uuid.uuid4().hex
     place = spark._jvm.org.apache.hadoop.fs.Path
     new, now, old = place(f"{path}_new-{mark}"), place(path), place(f"{path}_old-{mark}")
-    df.write.parquet(new.toString())
+    (df.write.partitionBy(*partition) if partition else df.write).parquet(new.toString())
     disk = now.getFileSystem(spark._jsc.hadoopConfiguration())
     there = disk.exists(now)
     if there and not disk.rename(now, old):

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tapeline.catalog import TableSpec
+from tapeline.catalog import ExportSpec, TableSpec
 from tapeline.functions import dates
-from tapeline.operators import upsert
+from tapeline.operators import export, rollup, upsert
 from tapeline.sources import landing, paths
 
 MONTH = "month"
@@ -20,33 +20,48 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, {MONTH} string").parquet(path) if there else spark.createDataFrame([], f"{schema}, {MONTH} string")
 
 
-def merge_batch(batch: DataFrame, spec: TableSpec, path: str, schema: str) -> None:
+def merge_batch(batch: DataFrame, spec: TableSpec, path: str, schema: str, counts: tuple[str, ExportSpec] | None = None) -> None:
     """Merge rows into the table at ``path``, partitioned by the month of its date; only months that the batch touches are rewritten.
 
     Keyed tables take the last row of a key by ``seq``; where the specification keeps rows without a whole key, all of them are
     kept that aren't there yet. Tables with a replace key, by which a batch brings whole days or
-    codes, lose what the batch brings anew; where that key isn't the date, old rows may stand in any month, so all months
-    are read.
+    codes, lose what the batch brings anew. Where the key has no date, a row may stand in any month: ``<path>_keys`` says in which, and
+    months that lose their last row go. A batch that failed midway is merged again with the same result. ``counts`` has a
+    path and an export whose monthly counts (:mod:`rollup`) are kept there.
     """
     spark = batch.sparkSession
     rows = upsert.drop_empty(batch, spec.key, spec.keep_null_key)
     month = F.coalesce(dates.month_key(spec.date_col) if spec.date_col else F.lit(None), F.lit("none"))
     new = paths.stage(rows.withColumn(MONTH, month), "batch")
-    old = _table(spark, path, schema)
-    by_date = spec.date_col in spec.key or spec.replace_key == spec.date_col
-    if by_date:
-        old = old.join(F.broadcast(new.select(MONTH).distinct()), MONTH, "left_semi")  # months: few
+    key = list(spec.key or ((spec.replace_key,) if spec.replace_key else ()))
+    roams = bool(key) and bool(spec.date_col) and spec.date_col not in key
+    keys = f"{path}_keys"
+    touched = new.select(MONTH)
+    if roams:
+        stands = _table(spark, keys, ", ".join(c for c in schema.split(", ") if c.split()[0] in key))
+        touched = touched.unionByName(stands.join(new.select(*key).distinct(), key, "left_semi").select(MONTH))
+    months = sorted(r[MONTH] for r in touched.distinct().collect())  # months: few
+    if not months:
+        return paths.drop_staged(new)
+    old = _table(spark, path, schema).where(F.col(MONTH).isin(*months))
     if spec.key:
-        merged = upsert.upsert(old, new, list(spec.key), [F.desc("seq")], spec.keep_null_key)
+        merged = upsert.upsert(old, new, key, [F.desc("seq")], spec.keep_null_key)
     elif spec.replace_key:
-        merged = upsert.replace_partitions(old, new, [spec.replace_key])
+        merged = upsert.replace_partitions(old, new, key)
     else:
         merged = new
     out = paths.stage(merged.drop("seq"), "merged")  # the table isn't overwritten while it is read
-    if by_date or not spec.date_col or spec.key:
-        upsert.write_partitions(out, path, [MONTH])
-    else:
-        out.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    upsert.write_partitions(out, path, [MONTH])
+    gone = sorted(set(months) - {r[MONTH] for r in out.select(MONTH).distinct().collect()})
+    upsert.drop_partitions(spark, path, MONTH, gone)
+    if counts:
+        own = export.Export(_table(spark, path, schema).where(F.col(MONTH).isin(*months)), counts[1], ())
+        rollup.refresh(own.rows(spec.name), months, counts[0], spec.name)
+    if roams:  # last, so that a batch that failed finds where its keys stood
+        upsert.write_partitions(out.select(*key, MONTH).distinct(), keys, [MONTH])
+        upsert.drop_partitions(spark, keys, MONTH, gone)
+    for done in (new, out):
+        paths.drop_staged(done)
 
 
 def ingest(spark: SparkSession, landed: str, table: str, rejects: str, spec: TableSpec, columns: dict[str, str], checkpoint: str) -> StreamingQuery:

@@ -3,8 +3,11 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
+
 from tapeline.catalog import TABLES, TableSpec
-from tapeline.streaming.ingest import ingest
+from tapeline.operators import upsert
+from tapeline.streaming.ingest import ingest, merge_batch
 
 COLUMNS = {"ts_code": "string", "trade_date": "date", "val": "double"}
 
@@ -66,3 +69,42 @@ def test_a_broken_payload_doesnt_end_the_stream(spark, tmp_path):
     (tmp_path / "landed" / "b.json").write_text(json.dumps({"code": 0, "data": {"fields": ["val", "val"], "items": [["1", "2"]]}}) + "\n")
     assert run(spark, tmp_path, spec) == [("A", "2024-01-02", 1.0)]
     assert [r["reject"] for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["field names"]
+
+
+def test_a_key_without_a_date_moves_between_months(spark, tmp_path):
+    spec = TableSpec("basic", ("ts_code",), "trade_date", "domain")
+    land(tmp_path / "landed", "a.json", ["A", "20240102", "1"], ["B", "20240102", "2"], ["C", "20240202", "3"])
+    run(spark, tmp_path, spec)
+    land(tmp_path / "landed", "b.json", ["A", "20240203", "4"], ["B", "20240203", "5"], at=10)
+    assert run(spark, tmp_path, spec) == [("A", "2024-02-03", 4.0), ("B", "2024-02-03", 5.0), ("C", "2024-02-02", 3.0)]
+    assert not (tmp_path / "table" / "month=202401").exists()
+    land(tmp_path / "landed", "c.json", ["C", None, "6"], ["A", "20240102", "7"], at=20)
+    assert run(spark, tmp_path, spec) == [("A", "2024-01-02", 7.0), ("B", "2024-02-03", 5.0), ("C", "None", 6.0)]
+
+
+def test_a_batch_that_failed_midway_is_merged_again(spark, tmp_path, monkeypatch):
+    spec, path = TableSpec("basic", ("k",), "d", "domain"), str(tmp_path / "t")
+    rows = lambda *xs: spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{k}', DATE '{d}', {v}, {v})" for k, d, v in xs) + " t(k, d, v, seq)")
+    merge = lambda batch: merge_batch(batch, spec, path, "k string, d date, v int")
+    merge(rows(("A", "2024-01-01", 1), ("B", "2024-01-01", 1)))
+    batch = rows(("A", "2024-02-01", 2), ("B", "2024-02-01", 2))
+    for step in (1, 2, 3, 4):  # the table, emptied months, the keys, emptied months of the keys
+        left = [step]
+
+        def fails(real, left=left):
+            def call(*args):
+                left[0] -= 1
+                if not left[0]:
+                    raise OSError("disk full")
+                return real(*args)
+
+            return call
+
+        for name in ("write_partitions", "drop_partitions"):
+            monkeypatch.setattr(upsert, name, fails(getattr(upsert, name)))
+        with pytest.raises(OSError, match="disk full"):
+            merge(batch)
+        monkeypatch.undo()
+        merge(batch)
+        assert sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect()) == [("A", 2), ("B", 2)]
+        batch = rows(*((k, f"2024-0{3 + step}-01", 2) for k in "AB"))
