@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.functions import codes
+from tapeline.operators.calendar import calendar_index
 
 #: Missing days from which on a table is an issue, exclusive.
 GAP_DAYS = 100
@@ -30,6 +33,81 @@ def missing_days(rows: DataFrame, days: DataFrame) -> DataFrame:
     return wanted.join(rows.select("table_name", "d").distinct(), ["table_name", "d"], "left_anti").select("table_name", "d")
 
 
+#: Open days or periods in a word of a bitmap.
+BITS = 64
+
+
+def bitmaps(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """``(table_name, kind, code, word, bits)``: the open days that a table has (kind ``day``, no code) and the months that each of its codes
+    has (kind ``month``), as bits of words, of ``rows(table_name, d, code, period)``, periods as ``yyyyMM``.
+
+    One scan and one shuffle for all reports below: a task ors its bits first, so a row is left for each word. Bitmaps of two
+    parts of a table are united by :func:`unite`. Days that aren't open, and rows without a day or period, set no bit.
+    """
+    at = F.broadcast(calendar_index(days))  # a calendar's days
+    month = F.expr("CAST(substr(period, 1, 4) AS INT) * 12 + CAST(substr(period, 5, 2) AS INT) - 1")
+    bit = lambda kind, code, n: F.when(n.isNotNull(), F.struct(F.lit(kind).alias("kind"), code.alias("code"), F.floor(n / BITS).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (n % BITS).cast("int")).alias("bits")))
+    marks = F.array_compact(F.array(bit("day", F.lit(None).cast("string"), F.col("idx")), bit("month", F.col("code"), F.when(F.col("code").isNotNull(), month))))
+    return unite(rows.join(at, "d", "left").select("table_name", F.explode(marks).alias("m")).select("table_name", "m.*"))
+
+
+def unite(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("table_name", "kind", "code", "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def covered(marks: DataFrame, days: DataFrame) -> DataFrame:
+    """:func:`dated_coverage` from bitmaps, of tables that have a bit."""
+    n_open = F.broadcast(days.select("d").distinct().agg(F.count("*").alias("n_open")))  # one row
+    n = marks.groupBy("table_name").agg(F.coalesce(F.sum(F.when(F.col("kind") == "day", F.bit_count("bits"))), F.lit(0)).alias("n_days")).crossJoin(n_open)
+    fill = codes.percent(F.col("n_days"), F.col("n_open"))
+    return n.select("table_name", "n_days", "n_open", (F.col("n_open") - F.col("n_days")).alias("n_missing"), F.round(fill, 4).alias("fill"), codes.tier(fill).alias("tier"))
+
+
+def uncovered(marks: DataFrame, days: DataFrame) -> DataFrame:
+    """:func:`missing_days` from bitmaps: the calendar's bits without the table's."""
+    index = calendar_index(days)
+    word, bit = F.floor(F.col("idx") / BITS), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("idx") % BITS).cast("int"))
+    whole = index.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("open"))
+    wanted = marks.select("table_name").distinct().crossJoin(F.broadcast(whole))  # names of tables and words of a calendar: few
+    have = marks.where("kind = 'day'").select("table_name", "word", "bits")
+    gaps = wanted.join(have, ["table_name", "word"], "left").withColumn("gap", F.col("open").bitwiseAND(F.bitwise_not(F.coalesce("bits", F.lit(0).cast("long")))))
+    found = gaps.where("gap <> 0").select("table_name", F.explode(F.transform(F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda k: F.getbit("gap", k) == 1), lambda k: F.col("word") * BITS + k)).alias("idx"))
+    return found.join(F.broadcast(index), "idx").select("table_name", "d")
+
+
+def months_per_code(marks: DataFrame) -> DataFrame:
+    """:func:`periods_per_code` from bitmaps."""
+    return marks.where("kind = 'month'").groupBy("table_name", "code").agg(F.sum(F.bit_count("bits")).alias("n_periods"))
+
+
+def thin_marks(marks: DataFrame, share: float = 0.3, least: int = 12) -> DataFrame:
+    """:func:`thin_codes` from bitmaps, held against the months that any code of the table has."""
+    words = marks.where("kind = 'month'").groupBy("table_name", "word").agg(F.bit_or("bits").alias("bits"))
+    expected = words.groupBy("table_name").agg(F.sum(F.bit_count("bits")).alias("n_periods_expected"))
+    return months_per_code(marks).join(expected, "table_name").where((F.col("n_periods_expected") > least) & (F.col("n_periods") < share * F.col("n_periods_expected")))
+
+
+def distinct_marks(rows: DataFrame, keys: Sequence[str], number: str) -> DataFrame:
+    """``(keys, bucket, bitmap)``: which values of the whole number ``number`` each part has, exactly. Parts are stored and united later."""
+    of = F.col(number).cast("long")
+    return rows.where(of.isNotNull()).groupBy(*keys, F.bitmap_bucket_number(of).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(of)).alias("bitmap"))
+
+
+def distinct_counts(marks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys, n)``: distinct values over all parts with the same ``keys``, from stored bitmaps alone."""
+    return marks.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap")).groupBy(*keys).agg(F.sum(F.bitmap_count("bitmap")).alias("n"))
+
+
+def distinct_sketches(rows: DataFrame, keys: Sequence[str], value: str, precision: int = 12) -> DataFrame:
+    """``(keys, sketch)`` for values that are no numbers: a few kilobytes a part, whatever it has. The counts' standard error is
+    1.04 / sqrt(2^precision), 1.6 % at 12."""
+    return rows.groupBy(*keys).agg(F.hll_sketch_agg(value, F.lit(precision)).alias("sketch"))
+
+
+def sketched_counts(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n"))
+
+
 def domain_coverage(rows: DataFrame, expected: DataFrame) -> DataFrame:
     """``(table_name, n_codes, n_actual, n_expected, fill, tier, over)``: periods of codes that are there against those expected.
 

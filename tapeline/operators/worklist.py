@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tapeline.catalog import TableSpec
 from tapeline.functions import dates
-from tapeline.operators.upsert import EMPTY, LOADED, LOG_KEY
+from tapeline.operators.upsert import EMPTY, LOADED, LOG_KEY, forget, retry, stale_empties
 
 FREQUENCIES = ("W", "M")
 
@@ -118,6 +119,57 @@ def always_again(log: DataFrame, year: str) -> DataFrame:
     return log.where(F.col("date_val").isin(year, dates.ONCE)).select(*LOG_KEY)
 
 
+def daily(
+    specs: Sequence[TableSpec], open_days: DataFrame, all_days: DataFrame, log: DataFrame, rows: DataFrame, since: date, target: date, now: Column,
+    codes: Mapping[str, DataFrame] | None = None, mode: str = "monthly",
+) -> tuple[DataFrame, DataFrame]:
+    """A daily load: ``(table_name, strategy, date_val, start, end, reason)``, each partition once, and the log that it starts from.
+
+    ``due``: what isn't loaded from each table's last date in ``rows(table_name, d)`` on, that day again, up to ``target``; tables that are there
+    already ask for nothing, and tables without rows start at ``since``. The running year, and full snapshots, are forgotten first.
+    Tables by code ask for every period, as their last date says nothing of new codes. ``stale``: days that were empty a week ago or
+    before, of tables by day; they are forgotten, as are stale ones of other tables, which are due when those are planned again.
+    ``retry``: failed partitions of known tables that aren't given up (:func:`upsert.retry`), with their counts moved on. Of several reasons the
+    first counts.
+    """
+    spark = log.sparkSession
+    table = spark.createDataFrame([(s.name, s.strategy) for s in specs], "table_name string, strategy string")  # the catalogue's
+    first = daily_start(table, rows, F.lit(since), F.lit(target))
+    year = first.join(table.where("strategy = 'date_range'"), "table_name").select("table_name", F.lit(f"{target:%Y}").alias("date_val"))
+    whole = table.where("strategy = 'once'").select("table_name", F.lit(dates.ONCE).alias("date_val"))
+    stale = stale_empties(log, now).select(*LOG_KEY)
+    retried = retry(log, table, now)
+    left = forget(forget(retried.drop("again"), year.unionByName(whole)), stale)
+
+    bound = first.select("table_name", F.col("start").alias("__from"))
+    parts = {s.name: expected(s, open_days, all_days, (codes or {}).get(s.name), mode).withColumn("strategy", F.lit(s.strategy)) for s in specs}
+    asked = reduce(DataFrame.unionByName, parts.values())
+    dated = asked.where("strategy NOT IN ('domain', 'once')").join(bound, "table_name").where((F.col("end") >= F.col("__from")) & (F.col("start") <= F.lit(target))).drop("__from")
+    by_code = asked.where("strategy = 'domain'").withColumn("period", F.substring_index("date_val", "_", -1))
+    due = pending(dated.unionByName(asked.where("strategy = 'once'")), left).unionByName(pending_domain(by_code, left).drop("period"))
+    again = asked.where("strategy = 'trade_date'").join(stale, LOG_KEY, "left_semi")
+    failed = asked.join(retried.where("again").select(*LOG_KEY), LOG_KEY, "left_semi")
+    ranked = reduce(DataFrame.unionByName, [df.withColumn("reason", F.struct(F.lit(k).alias("k"), F.lit(name).alias("name"))) for k, (name, df) in enumerate((("due", due), ("stale", again), ("retry", failed)))])
+    work = ranked.groupBy("table_name", "strategy", "date_val", "start", "end").agg(F.min("reason")["name"].alias("reason"))
+    return work, left
+
+
+def refresh(specs: Sequence[TableSpec], open_days: DataFrame, all_days: DataFrame, log: DataFrame, asked: DataFrame, codes: Mapping[str, DataFrame] | None = None, mode: str = "monthly") -> tuple[DataFrame, DataFrame]:
+    """Single days ``asked(table_name, d)`` loaded again: the work list of their partitions alone, and the log without them.
+
+    A day asks for its year's partition in tables by year, for the one there is in snapshots, for all codes' partitions of its period in
+    tables by code, and else for its own. Days that no partition has ask for nothing.
+    """
+    found = []
+    for s in specs:
+        own = expected(s, open_days, all_days, (codes or {}).get(s.name), mode)
+        days = asked.where(F.col("table_name") == s.name).select(F.col("d"))
+        hit = F.lit(True) if s.strategy == "once" else F.coalesce((F.col("d") >= F.col("start")) & (F.col("d") <= F.col("end")), F.lit(mode == "once"))
+        found.append(own.join(F.broadcast(days), hit, "left_semi").select("table_name", F.lit(s.strategy).alias("strategy"), "date_val", "start", "end"))  # days that somebody names
+    work = reduce(DataFrame.unionByName, found)
+    return work, forget(log, work.select(*LOG_KEY))
+
+
 def stale_ranges(stale: DataFrame) -> DataFrame:
     """First, last and number of stale days for each table."""
     return stale.groupBy("table_name").agg(F.min("date_val").alias("first_val"), F.max("date_val").alias("last_val"), F.count("*").alias("n"))

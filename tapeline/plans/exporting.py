@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.catalog import EXPORTS, ExportSpec, derive_fields
+from tapeline.catalog import EXPORTS, TABLES, ExportSpec, FieldDef, derive_fields
 from tapeline.functions import codes
-from tapeline.operators import calendar, export, features, incremental, instruments, quality
-from tapeline.plans.inputs import BARS, CODE_OF, CODES, DATES, LOG, NOW, QUERIES, SLOTTED, SQL, STATE, bars, code, days, log, query, read, state, supplier_codes
+from tapeline.operators import calendar, export, features, incremental, instruments, quality, rollup
+from tapeline.plans.inputs import BARS, CODE_OF, CODES, DATES, LOG, NOW, QUERIES, SLOTTED, SQL, STATE, bars, calendar_table, code, days, log, query, read, state, supplier_codes
 from tapeline.sources import daybin, paths, text
+from tapeline.streaming import ingest
 
 #: Quotients of two-decimal values fall on rounding ties; both sides move off them by the same bit.
 TIE = 1.234e-7
@@ -173,15 +174,6 @@ def feature_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("instrument", "cal_idx", F.round("bt_amount", 4).alias("bt_amount"), F.round(F.col("bt_price") + TIE, 6).alias("bt_price"), F.round("bt_vol", 4).alias("bt_vol"), "bt_trade_cnt")
 
 
-@query(f"""WITH {TRADES} SELECT {INST_OF.format('inst')} AS instrument, cal_idx, CAST(n AS DOUBLE) AS bt_trade_cnt FROM slots WHERE inst % 9 = 0""")
-def field_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One field of some instruments, built anew over their whole history."""
-    trades = _trades(spark, sf_dir)
-    only = bars(spark, sf_dir).where("inst % 9 = 0").select(code("inst").alias("code"))
-    fields = [f for f in derive_fields(BLOCK, trades.schema) if f.name == "bt_trade_cnt"]
-    return features.build(trades, BLOCK, fields, days(spark, sf_dir), only).select("instrument", "cal_idx", "bt_trade_cnt")
-
-
 PRICED = ExportSpec("stk_factor_pro", "stock", naming="adjusted", computed=(("vwap", "vwap"),))
 
 
@@ -420,16 +412,6 @@ def state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.merge_state(s, new).select("instrument", "status", "row_count")
 
 
-@query(f"WITH {STATE} SELECT instrument, status FROM state WHERE FALSE")
-def reset_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State on disk, cleared: same schema, no rows."""
-    path = paths.fresh_path(spark, "state")
-    s = state(spark, sf_dir).select("instrument", "status")
-    s.write.parquet(path)
-    s.limit(0).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 MARK = "2000-06-30"
 #: The second source table: orders by 200 groups of customers, whose names are partly those of the first table's instruments.
 HELD = ExportSpec("holders", "stock", "ann_date", naming="aggregated", prefix="ho", agg="sum_count", count_name="ho_cnt")
@@ -455,7 +437,7 @@ def _exported(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
 
 
 GROUPS = f"""{DATES}, {BARS}, held AS (SELECT o_custkey % 200 AS inst, CAST(o_orderdate AS DATE) AS d, CAST(o_orderkey % 100 AS DOUBLE) AS val FROM orders),
-             pairs AS (SELECT 'block_trade' AS source_table, inst, d FROM bars UNION ALL SELECT 'holders', inst, d FROM held)"""
+             pairs AS (SELECT * FROM (SELECT 'block_trade' AS source_table, inst, d FROM bars UNION ALL SELECT 'holders', inst, d FROM held) WHERE d <= (SELECT max(d) FROM cal))"""
 
 
 @query(f"""WITH {GROUPS}, daily AS (SELECT inst, d, sum(l_tax) AS bt_amount, sum(coalesce(nullif(l_quantity, 1), 0)) AS bt_vol, count(*) AS bt_trade_cnt FROM bars GROUP BY 1, 2),
@@ -490,6 +472,142 @@ def incremental_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.summary(_exported(spark, sf_dir)[2])
 
 
+BUILT = f"""daily AS (SELECT inst, d, sum(l_tax) AS bt_amount, sum(coalesce(nullif(l_quantity, 1), 0)) AS bt_vol, count(*) AS bt_trade_cnt FROM bars GROUP BY 1, 2),
+            t AS (SELECT x.*, c.idx FROM daily x ASOF JOIN cal c ON x.d <= c.d WHERE x.d >= (SELECT min(d) FROM cal)),
+            built AS (SELECT inst, idx, 'bt_amount' AS field, arg_max(bt_amount, d) AS v FROM t GROUP BY 1, 2 UNION ALL SELECT inst, idx, 'bt_vol', arg_max(bt_vol, d) FROM t GROUP BY 1, 2
+                      UNION ALL SELECT inst, idx, 'bt_trade_cnt', arg_max(bt_trade_cnt, d) FROM t GROUP BY 1, 2)"""
+AS_WRITTEN = f"SELECT {INST_OF.format('inst')} AS instrument, field, CAST(idx AS BIGINT) AS cal_idx, round(v, 2) AS value FROM built"
+
+
+def _written(spark: SparkSession, path: str) -> DataFrame:
+    return daybin.read(spark, path).where("value IS NOT NULL").select("instrument", "field", "cal_idx", F.round(F.col("value").cast("double"), 2).alias("value"))
+
+
+def _amounts(trades: DataFrame) -> tuple[FieldDef, ...]:
+    return tuple(f for f in derive_fields(BLOCK, trades.schema) if f.name != "bt_price")
+
+
+#: A Saturday, the Sunday after it, and the end: late rows fall into slots that are written.
+CUTS = ("1997-06-07", "1997-06-08", "9999-12-31")
+LOADED = "ts_code string, trade_date date, price double, vol double, amount double"
+
+
+def _load(spark: SparkSession, sf_dir: str, base: str, after: str, upto: str) -> export.Export:
+    """Trades between two days merged into a table partitioned by month, with its monthly counts."""
+    trades = _trades(spark, sf_dir)
+    new = trades.where((F.col("trade_date") > F.lit(after).cast("date")) & (F.col("trade_date") <= F.lit(upto).cast("date")))
+    ingest.merge_batch(new, TABLES["block_trade"], f"{base}/table", LOADED, (f"{base}/counts", BLOCK))
+    table = spark.read.schema(f"{LOADED}, month string").parquet(f"{base}/table")
+    return export.Export(table, BLOCK, _amounts(trades), "month", rollup.read(spark, f"{base}/counts"))
+
+
+@query(f"WITH {DATES}, {BARS}, {BUILT} {AS_WRITTEN}")
+def weekend_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table loaded and exported up to a Saturday, a Sunday and its end: the same vectors as from one build. Decisions come from
+    monthly counts, late rows from late partitions."""
+    base, after = paths.fresh_path(spark, "weekends"), "0001-01-01"
+    for cut in CUTS:
+        export.run(spark, {"block_trade": _load(spark, sf_dir, base, after, cut)}, days(spark, sf_dir), f"{base}/state", f"{base}/vectors", F.lit(NOW))
+        after = cut
+    return _written(spark, f"{base}/vectors")
+
+
+@query(f"""WITH {BARS} SELECT {INST_OF.format('inst')} AS instrument, strftime(d, '%Y%m') AS month, count(*) AS n_rows, min(d) AS first_seen, max(d) AS last_seen FROM bars GROUP BY ALL""")
+def month_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly counts as merges leave them: two batches that overlap by some days."""
+    base = paths.fresh_path(spark, "rollup")
+    _load(spark, sf_dir, base, "0001-01-01", "1996-03-20")
+    return _load(spark, sf_dir, base, "1996-03-11", "9999-12-31").counts.select("instrument", "month", "n_rows", "first_seen", "last_seen")
+
+
+@query(f"WITH {DATES}, {BARS}, {BUILT} {AS_WRITTEN}")
+def calendar_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors written by a calendar that lacks some open days and has some others, brought to the true one: as from one build."""
+    base, true = paths.fresh_path(spark, "remap"), days(spark, sf_dir)
+    nth = F.dayofyear("d")
+    other = calendar_table(spark, sf_dir).select(F.col("cal_date").alias("d")).where(F.when(F.weekday("d") < 5, nth % 17 != 3).otherwise((F.weekday("d") == 5) & (nth % 13 == 1)))
+    trades = _trades(spark, sf_dir)
+    early = trades.where(F.col("trade_date") <= F.lit("1997-10-15").cast("date"))
+    for table, cal in ((early, other), (trades, true)):
+        export.run(spark, {"block_trade": export.Export(table, BLOCK, _amounts(trades))}, cal, f"{base}/state", f"{base}/vectors", F.lit(NOW))
+    return _written(spark, f"{base}/vectors")
+
+
+@query(f"""WITH {DATES}, {BARS}, seen AS (SELECT inst, count(DISTINCT idx) AS n, count(DISTINCT idx) FILTER (x.d <= DATE '{CUTS[0]}') AS n_early, max(x.d) AS z FROM bars x ASOF JOIN cal c ON x.d <= c.d WHERE x.d >= (SELECT min(d) FROM cal) GROUP BY inst)
+           SELECT {INST_OF.format('inst')} AS instrument, CASE WHEN inst % 7 = 3 AND z > DATE '{CUTS[0]}' THEN 'error' ELSE 'done' END AS status, CASE WHEN inst % 7 = 3 AND z > DATE '{CUTS[0]}' THEN n_early ELSE n END AS n_days FROM seen""")
+def poisoned_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run in which some instruments have an amount that no vector can hold: they are errors and keep their old files, the others are done."""
+    base, trades = paths.fresh_path(spark, "poisoned"), _trades(spark, sf_dir)
+    late = F.col("trade_date") > F.lit(CUTS[0]).cast("date")
+    bad = trades.withColumn("amount", F.when(late & (F.substring("ts_code", 1, 6).cast("int") % 7 == 3), F.lit(1e300)).otherwise(F.col("amount")))
+    for table in (trades.where(~late), bad):
+        export.run(spark, {"block_trade": export.Export(table, BLOCK, _amounts(trades))}, days(spark, sf_dir), f"{base}/state", f"{base}/vectors", F.lit(NOW))
+    held = _written(spark, f"{base}/vectors").where("field = 'bt_trade_cnt'").groupBy("instrument").agg(F.count("*").alias("n_days"))
+    return export.read_state(spark, f"{base}/state").select("instrument", "status").join(held, "instrument")
+
+
+@query(f"WITH {DATES}, {BARS}, {BUILT} {AS_WRITTEN} WHERE inst % 9 <> 0 OR field = 'bt_trade_cnt'")
+def field_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One field of some instruments, whose first build has wrong values, built anew over their whole history; their other fields, which
+    stay wrong, are left out here."""
+    base, trades, cal = paths.fresh_path(spark, "rebuild"), _trades(spark, sf_dir), days(spark, sf_dir)
+    some = lambda c: F.regexp_extract(c, "[0-9]+", 0).cast("int") % 9 == 0
+    wrong = trades.unionByName(trades.where(some("ts_code") & (F.col("vol") > 10)))
+    made = lambda table: {"block_trade": export.Export(table, BLOCK, _amounts(trades))}
+    export.run(spark, made(wrong), cal, f"{base}/state", f"{base}/vectors", F.lit(NOW))
+    only = trades.where(some("ts_code")).select(codes.instrument("ts_code").alias("instrument"))
+    export.rebuild_field(spark, made(trades), "bt_trade_cnt", cal, f"{base}/state", f"{base}/vectors", F.lit(NOW), only)
+    return _written(spark, f"{base}/vectors").where(~some("instrument") | (F.col("field") == "bt_trade_cnt"))
+
+
+@query(f"""WITH {BARS} SELECT 'before' AS phase, {INST_OF.format('inst')} AS instrument, count(*) AS row_count FROM bars GROUP BY inst""")
+def reset_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state before and after a reset: all rows before it, none after, and no vectors left."""
+    base, trades = paths.fresh_path(spark, "reset"), _trades(spark, sf_dir)
+    far = days(spark, sf_dir).unionByName(spark.sql("SELECT DATE '2100-01-01' AS d"))  # every row has a slot
+    export.run(spark, {"block_trade": export.Export(trades, BLOCK, _amounts(trades)[:1])}, far, f"{base}/state", f"{base}/vectors", F.lit(NOW))
+    state = lambda phase: export.read_state(spark, f"{base}/state").select(F.lit(phase).alias("phase"), "instrument", "row_count")
+    before = paths.stage(state("before"), "before")
+    export.reset(spark, f"{base}/state", f"{base}/vectors")
+    left = spark.createDataFrame([("vectors", None, 1)] if daybin.manifest(f"{base}/vectors") else [], before.schema)
+    return before.unionByName(state("after")).unionByName(left)
+
+
+@query(f"""WITH {BARS}, marks AS (SELECT inst, CASE WHEN inst % 2 = 0 THEN DATE '1998-06-30' ELSE DATE '1998-07-19' END AS mark FROM bars GROUP BY inst)
+           SELECT {CODE_OF.format('b.inst')} AS ts_code, d AS trade_date, l_extendedprice AS price, l_tax AS amount FROM bars b JOIN marks m ON m.inst = b.inst WHERE d > mark""")
+def bounded_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows of a table partitioned by month: the least mark bounds the partitions and row groups that are read."""
+    own = _load(spark, sf_dir, paths.fresh_path(spark, "bounded"), "0001-01-01", "9999-12-31")
+    mark = F.when(F.substring("ts_code", 1, 6).cast("int") % 2 == 0, F.lit("1998-06-30")).otherwise(F.lit("1998-07-19")).cast("date")
+    marks = _trades(spark, sf_dir).select(F.col("ts_code").alias("code"), mark.alias("last_date")).distinct()
+    return own.after(marks).select("ts_code", "trade_date", "price", "amount")
+
+
+@query(f"""WITH {COVER}, e AS (SELECT table_name, count(DISTINCT period) AS n FROM rows GROUP BY 1)
+           SELECT 'covered' AS report, table_name, NULL AS code, NULL::DATE AS d, n_days AS n, n_missing AS of FROM cover
+           UNION ALL SELECT 'missing', t.table_name, NULL, cal.d, NULL, NULL FROM cal, (SELECT DISTINCT table_name FROM rows) t WHERE NOT EXISTS (SELECT 1 FROM rows r WHERE r.table_name = t.table_name AND r.d = cal.d)
+           UNION ALL SELECT 'thin', table_name, code, NULL, count(DISTINCT period), any_value(n) FROM rows JOIN e USING (table_name) GROUP BY table_name, code HAVING any_value(n) > 12 AND count(DISTINCT period) < 0.05 * any_value(n)""")
+def calendar_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage, missing days and thin codes of all tables from one set of bitmaps, stored and read back."""
+    cal = days(spark, sf_dir)
+    marks = paths.stage(quality.bitmaps(_rows(spark, sf_dir), cal), "bitmaps")
+    none, day = F.lit(None).cast("string").alias("code"), F.lit(None).cast("date").alias("d")
+    covered = quality.covered(marks, cal).select(F.lit("covered").alias("report"), "table_name", none, day, F.col("n_days").alias("n"), F.col("n_missing").alias("of"))
+    missing = quality.uncovered(marks, cal).select(F.lit("missing").alias("report"), "table_name", none, "d", F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("of"))
+    thin = quality.thin_marks(marks, 0.05).select(F.lit("thin").alias("report"), "table_name", "code", day, F.col("n_periods").alias("n"), F.col("n_periods_expected").alias("of"))
+    return covered.unionByName(missing).unionByName(thin)
+
+
+@query("""WITH o AS (SELECT o_orderpriority AS table_name, CAST(year(o_orderdate) AS INTEGER) AS year, o_custkey FROM orders)
+          SELECT table_name, year, count(DISTINCT o_custkey) AS n FROM o GROUP BY ALL UNION ALL SELECT table_name, NULL, count(DISTINCT o_custkey) FROM o GROUP BY ALL""")
+def distinct_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct codes of each table by year and in all, united from bitmaps that are stored for each month."""
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("table_name"), F.date_format("o_orderdate", "yyyyMM").alias("month"), "o_custkey")
+    marks = paths.stage(quality.distinct_marks(o, ["table_name", "month"], "o_custkey"), "distinct").withColumn("year", F.substring("month", 1, 4).cast("int"))
+    by_year = quality.distinct_counts(marks, ["table_name", "year"])
+    return by_year.unionByName(quality.distinct_counts(marks, ["table_name"]).withColumn("year", F.lit(None).cast("int")))
+
+
 # --- files ---------------------------------------------------------------------------------------------------
 
 VECTORS = f"{SLOTTED}, {TOPS}, long AS (SELECT CAST(inst AS VARCHAR) AS instrument, 'q' AS field, CAST(cal_idx AS BIGINT) AS cal_idx, CAST(CAST(q AS REAL) AS DOUBLE) AS value FROM tops UNION ALL SELECT CAST(inst AS VARCHAR), 'p', cal_idx, CAST(CAST(p AS REAL) AS DOUBLE) FROM tops WHERE p IS NOT NULL)"
@@ -519,11 +637,6 @@ def daybin_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_vectors(spark, path)
 
 
-# These four once ran on some instruments only, and on all under these names, which stay.
-for _name in ("dense_align", "trim_bounds", "daybin_roundtrip", "daybin_append"):
-    QUERIES[f"{_name}_all"], SQL[f"{_name}_all"] = QUERIES[_name], SQL[_name]
-
-
 @query(f"""WITH {DATES}, {BARS}, {MEMBERS} SELECT 'calendar' AS file, count(*) AS n, CAST(sum(d - DATE '1990-01-01') AS BIGINT) AS total FROM cal UNION ALL
            SELECT 'instruments', count(*), CAST(sum((last_d - first_d)) AS BIGINT) FROM (SELECT inst, min(d) AS first_d, max(d) AS last_d FROM bars GROUP BY 1) UNION ALL
            SELECT 'index ' || index_code, count(*), CAST(sum("end" - start) AS BIGINT) FROM periods GROUP BY index_code""")
@@ -567,3 +680,6 @@ def batch_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select("event_id", codes.batch_id(F.struct("event_type", "user_id")).alias("batch"))
 
 
+# These four once ran on some instruments only, and on all under these names, which stay.
+for _name in ("dense_align", "trim_bounds", "daybin_roundtrip", "daybin_append"):
+    QUERIES[f"{_name}_all"], SQL[f"{_name}_all"] = QUERIES[_name], SQL[_name]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,7 +13,7 @@ from tapeline.functions import codes, dates
 from tapeline.operators import calendar, features, quality, upsert, worklist
 from tapeline.plans.inputs import BARS, CODE_OF, CODES, DATES, LOG, NOW, bars, calendar_table, code, days, log, query, read, supplier_codes
 from tapeline.sources import landing, paths
-from tapeline.streaming.ingest import ingest
+from tapeline.streaming.ingest import ingest, merge_batch
 
 
 def now():
@@ -254,26 +255,34 @@ def plan_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.preview({"domain": _expected_months(spark, sf_dir), "date_range": worklist.expected_by_year(days(spark, sf_dir), F.lit("orders"))}, log(spark, sf_dir))
 
 
+def _calendar(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Open days, and all days; the calendar is derived once."""
+    table = paths.stage(calendar_table(spark, sf_dir), "calendar")
+    span = table.agg(F.min("cal_date").alias("a"), F.max("cal_date").alias("z"))
+    return table.where("is_open = 1").select(F.col("cal_date").alias("d")), span.select(F.explode(dates.natural_days(F.col("a"), F.col("z"))).alias("d"))
+
+
 #: Tables of each strategy; repurchases are dated by announcement, so they are asked for on every day.
 ASKED = (TableSpec("bars", date_col="trade_date", strategy="trade_date"), TableSpec("repurchase", (), "ann_date", "trade_date"), TableSpec("orders", strategy="date_range"),
          TableSpec("weekly", strategy="freq"), TableSpec("weights", strategy="domain"), TableSpec("basic", strategy="once"))
 
 
-@query(f"""WITH {DATES}, {CODES}, span AS (SELECT min(d) AS a, max(d) AS z FROM dates), every AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS d FROM span),
+ASKED_SQL = f"""{DATES}, {CODES}, span AS (SELECT min(d) AS a, max(d) AS z FROM dates), every AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS d FROM span),
            months AS (SELECT DISTINCT strftime(d, '%Y%m') AS period, CAST(date_trunc('month', d) AS DATE) AS start, last_day(d) AS "end" FROM cal),
            expected AS (SELECT 'bars' AS table_name, 'trade_date' AS strategy, strftime(d, '%Y%m%d') AS date_val, d AS start, d AS "end", NULL AS period FROM cal
                         UNION ALL SELECT 'repurchase', 'trade_date', strftime(d, '%Y%m%d'), d, d, NULL FROM every
                         UNION ALL SELECT DISTINCT 'orders', 'date_range', strftime(d, '%Y'), make_date(year(d), 1, 1), make_date(year(d), 12, 31), NULL FROM cal
                         UNION ALL SELECT 'weekly', 'freq', strftime(d, '%Y%m%d') || '_' || f, d, d, NULL FROM cal, (VALUES ('W'), ('M')) t(f)
-                        UNION ALL SELECT 'weights', 'domain', code || '_' || period, start, "end", period FROM codes, months UNION ALL SELECT 'basic', 'once', '__once__', NULL, NULL, NULL),
+                        UNION ALL SELECT 'weights', 'domain', code || '_' || period, start, "end", period FROM codes, months UNION ALL SELECT 'basic', 'once', '__once__', NULL, NULL, NULL)"""
+
+
+@query(f"""WITH {ASKED_SQL},
            log AS (SELECT table_name, date_val, row_number() OVER (PARTITION BY table_name ORDER BY date_val) % 4 AS ok FROM expected WHERE table_name NOT IN ('orders', 'basic'))
            SELECT table_name, strategy, date_val, start, "end" FROM expected e LEFT JOIN log l USING (table_name, date_val)
            WHERE l.ok IS NULL OR NOT (l.ok = 1 OR l.ok = 2 AND (strategy <> 'domain' OR period <> (SELECT max(period) FROM months)))""")
 def catalogue_work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left to load of a table of each strategy, against a log that has part of them."""
-    table = calendar_table(spark, sf_dir)
-    open_, span = days(spark, sf_dir), table.agg(F.min("cal_date").alias("a"), F.max("cal_date").alias("z"))
-    every = span.select(F.explode(dates.natural_days(F.col("a"), F.col("z"))).alias("d"))
+    open_, every = _calendar(spark, sf_dir)
     listed = supplier_codes(spark, sf_dir)
     asked = [worklist.expected(s, open_, every, listed) for s in ASKED if s.name not in ("orders", "basic")]
     rank = F.row_number().over(Window.partitionBy("table_name").orderBy("date_val"))
@@ -397,3 +406,69 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = TableSpec("orders", ("ts_code", "trade_date"), "trade_date", "trade_date")
     ingest(spark, f"{base}/landed", f"{base}/table", f"{base}/rejects", spec, {"ts_code": "string", "trade_date": "date", "val": "double"}, f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/table").select("ts_code", "trade_date", "val")
+
+
+@query("""SELECT o_custkey AS custkey, arg_max(CAST(o_orderdate AS DATE), ROW(o_orderdate, o_orderkey)) AS day, arg_max(o_orderkey, ROW(o_orderdate, o_orderkey)) AS orderkey FROM orders GROUP BY 1""")
+def roaming_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table on disk whose key has no date, merged from three batches: a key that comes again leaves its old month, so each has one row."""
+    path, spec = paths.fresh_path(spark, "accounts"), TableSpec("accounts", ("custkey",), "day", "domain")
+    orders = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), F.to_date("o_orderdate").alias("day"), F.col("o_orderkey").alias("orderkey"), F.struct("o_orderdate", "o_orderkey").alias("seq"))
+    for first, last in ((0, 1994), (1995, 1996), (1997, 9999)):
+        merge_batch(orders.where(F.year("day").between(first, last)), spec, path, "custkey bigint, day date, orderkey bigint")
+    return spark.read.parquet(path).select("custkey", "day", "orderkey")
+
+
+#: Instants and days of a daily load: it is one evening of 1998, and some tables are there already.
+TONIGHT, TARGET, SINCE = "1998-07-20", "1998-07-17", "1992-01-01"
+DAILY_LOG = f"""{ASKED_SQL}, log AS (SELECT table_name, date_val, CAST(k % 4 AS INTEGER) AS ok, CAST(k % 7 AS INTEGER) AS retry_count, TIMESTAMP '{TONIGHT}' - to_days(CAST(k % 15 AS INTEGER)) AS last_try
+              FROM (SELECT table_name, date_val, row_number() OVER (PARTITION BY table_name ORDER BY date_val) AS k FROM expected)),
+              last AS (SELECT 'bars' AS table_name, max(CAST(l_shipdate AS DATE)) AS d FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-06-20' UNION ALL SELECT 'orders', max(CAST(o_orderdate AS DATE)) FROM orders
+                       UNION ALL SELECT 'weekly', max(CAST(l_shipdate AS DATE)) FROM lineitem),
+              first AS (SELECT t.table_name, coalesce(d, DATE '{SINCE}') AS start FROM (SELECT DISTINCT table_name FROM expected) t LEFT JOIN last USING (table_name) WHERE d IS NULL OR d < DATE '{TARGET}'),
+              gone AS (SELECT table_name, '{TARGET[:4]}' AS date_val FROM first WHERE table_name = 'orders' UNION ALL SELECT 'basic', '__once__'),
+              kept AS (SELECT table_name, date_val, CASE WHEN ok = 0 AND retry_count >= 5 THEN 3 ELSE ok END AS ok, CASE WHEN ok = 0 AND retry_count < 5 THEN retry_count + 1 ELSE retry_count END AS retry_count
+                       FROM log l WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.table_name = l.table_name AND g.date_val = l.date_val) AND NOT (ok = 2 AND last_try < TIMESTAMP '{TONIGHT}' - INTERVAL 7 DAY))"""
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    open_, every = _calendar(spark, sf_dir)
+    codes_ = {"weights": supplier_codes(spark, sf_dir)}
+    asked = reduce(DataFrame.unionByName, [worklist.expected(s, open_, every, codes_.get(s.name)) for s in ASKED])
+    tonight, k = F.lit(TONIGHT).cast("timestamp_ntz"), F.col("k")
+    ranked = asked.select("table_name", "date_val", F.row_number().over(Window.partitionBy("table_name").orderBy("date_val")).alias("k"))
+    before = ranked.select("table_name", "date_val", (k % 4).cast("int").alias("ok"), (k % 7).cast("int").alias("retry_count"), (tonight - F.make_dt_interval(days=k % 15)).alias("last_try"))
+    ship = read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
+    rows = ship.where("d < DATE '1998-06-20'").withColumn("table_name", F.lit("bars")).unionByName(ship.withColumn("table_name", F.lit("weekly")))
+    rows = rows.unionByName(read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"), F.lit("orders").alias("table_name")))
+    return worklist.daily(ASKED, open_, every, paths.stage(before, "log"), rows, date.fromisoformat(SINCE), date.fromisoformat(TARGET), tonight, codes_)
+
+
+@query(f"""WITH {DAILY_LOG}, open AS (SELECT e.* FROM expected e LEFT JOIN kept k USING (table_name, date_val) WHERE k.ok IS NULL OR NOT (k.ok = 1 OR k.ok = 2 AND (strategy <> 'domain' OR period <> (SELECT max(period) FROM months)))),
+           found AS (SELECT o.*, 0 AS k, 'due' AS reason FROM open o LEFT JOIN first f USING (table_name) WHERE strategy IN ('domain', 'once') OR (o."end" >= f.start AND o.start <= DATE '{TARGET}')
+                     UNION ALL SELECT e.*, 1, 'stale' FROM expected e JOIN log l USING (table_name, date_val) WHERE strategy = 'trade_date' AND l.ok = 2 AND last_try < TIMESTAMP '{TONIGHT}' - INTERVAL 7 DAY
+                     UNION ALL SELECT e.*, 2, 'retry' FROM expected e JOIN log l USING (table_name, date_val) WHERE l.ok = 0 AND l.retry_count < 5)
+           SELECT table_name, strategy, date_val, any_value(start) AS start, any_value("end") AS "end", arg_min(reason, k) AS reason FROM found GROUP BY 1, 2, 3""")
+def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one evening's load asks for, and why."""
+    return _daily(spark, sf_dir)[0]
+
+
+@query(f"WITH {DAILY_LOG} SELECT * FROM kept")
+def daily_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log that an evening's load starts from: running partitions and stale empties forgotten, retries counted, spent ones given up."""
+    return _daily(spark, sf_dir)[1].select("table_name", "date_val", "ok", "retry_count")
+
+
+@query(f"""WITH {DAILY_LOG}, days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1998-03-01' AND TIMESTAMP '1998-03-05')
+           SELECT table_name, strategy, date_val, start, "end", EXISTS (SELECT 1 FROM log l WHERE l.table_name = e.table_name AND l.date_val = e.date_val) AS was_logged
+           FROM expected e WHERE strategy = 'once' OR EXISTS (SELECT 1 FROM days WHERE d BETWEEN e.start AND e."end")""")
+def refresh_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single days of every table loaded again: their partitions, and whether the log had lost them."""
+    open_, every = _calendar(spark, sf_dir)
+    codes_ = {"weights": supplier_codes(spark, sf_dir)}
+    before = reduce(DataFrame.unionByName, [worklist.expected(s, open_, every, codes_.get(s.name)) for s in ASKED]).select("table_name", "date_val", F.lit(1).alias("ok"))
+    days_ = read(spark, sf_dir, "orders").where("o_orderdate BETWEEN TIMESTAMP_NTZ '1998-03-01' AND TIMESTAMP_NTZ '1998-03-05'").select(F.to_date("o_orderdate").alias("d")).distinct()
+    names = spark.createDataFrame([(s.name,) for s in ASKED], "table_name string")
+    work, left = worklist.refresh(ASKED, open_, every, before, days_.crossJoin(F.broadcast(names)), codes_)  # names of tables
+    still = left.select("table_name", "date_val", F.lit(True).alias("still"))
+    return work.join(still, ["table_name", "date_val"], "left").select("table_name", "strategy", "date_val", "start", "end", F.col("still").isNull().alias("was_logged"))

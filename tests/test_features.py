@@ -98,7 +98,7 @@ def test_prefix_and_tail_equal_the_whole(spark):
     mark = day("2024-01-11")  # an open day, so no later row falls on a slot that is written
     state = spark.createDataFrame([("A.SZ", "t", mark, day("2024-01-01"), ["x"], 11, "done"), ("B.SZ", "t", mark, day("2024-01-01"), ["x"], 11, "done")],
                                   "instrument string, source_table string, last_date date, first_date date, fields array<string>, row_count bigint, status string")
-    src = df.withColumns({"instrument": F.col("ts_code"), "date": F.col("trade_date")})
+    src = df.withColumns({"instrument": F.col("ts_code"), "source_table": F.lit("t"), "date": F.col("trade_date")})
     first = features.build(df.where(F.col("trade_date") <= mark), spec, fields, cal)
     tail = features.build(incremental.tail_rows(src, state), spec, fields, cal)
     assert sorted(map(tuple, first.unionByName(tail).collect())) == sorted(map(tuple, whole.collect()))
@@ -112,7 +112,7 @@ def test_decisions(spark):
         ("field", "t", m, f, [], 2, "done"), ("mark", "t", None, f, ["a"], 2, "done"), ("bad", "t", m, f, ["a"], 2, "error"),
     ], st)
     names = ["none", "tail", "early", "grown", "field", "mark", "bad", "new"]
-    src = spark.createDataFrame([(n, d) for n in names for d in (f, m)], "instrument string, date date")
+    src = spark.createDataFrame([(n, "t", d) for n in names for d in (f, m)], "instrument string, source_table string, date date")
     got = {r["instrument"]: r["action"] for r in incremental.decide(src, state, src, ["a"]).collect()}
     assert got == {"none": "none", "tail": "tail", "early": "rebuild", "grown": "rebuild", "field": "backfill", "mark": "rebuild", "bad": "new", "new": "new"}
 
@@ -124,3 +124,33 @@ def test_tiers_and_gap_issue(spark):
     assert {r["table_name"]: r["tier"] for r in cover.collect()} == {"perfect": "perfect", "small": "small_gap", "100": "big_gap", "101": "big_gap"}
     log = spark.createDataFrame([], "table_name string, ok int")
     assert [tuple(r) for r in quality.issues(log, cover).collect()] == [("101", "gap", 101)]
+
+
+def test_densify_takes_one_shuffle(spark):
+    slots = spark.createDataFrame([("A", 3, 1.0, None), ("A", 6, None, 2.0), ("A", 7, 3.0, 3.0), ("B", 5, 4.0, 4.0)], "k string, cal_idx int, x double, y double")
+    out = features.densify(slots, ["k"], ["x", "y"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, out.collect())) == [("A", 3, 1.0, None), ("A", 4, None, None), ("A", 5, None, None), ("A", 6, None, 2.0), ("A", 7, 3.0, 3.0), ("B", 5, 4.0, 4.0)]
+
+
+def test_bitmaps_agree_with_distinct_days_and_take_one_shuffle(spark):
+    days = spark.sql("SELECT explode(sequence(DATE '2020-01-01', DATE '2020-12-31')) AS d").where("weekday(d) < 5")
+    rows = spark.sql("SELECT concat('t', t) AS table_name, d, concat('c', c) AS code, date_format(d, 'yyyyMM') AS period FROM range(3) a(t), range(4) b(c) LATERAL VIEW explode(sequence(DATE '2020-01-03', DATE '2020-12-20')) e AS d WHERE hash(t, c, d) % 5 < t")
+    rows = rows.unionByName(spark.sql("SELECT 'none' AS table_name, DATE '2020-01-04' AS d, CAST(NULL AS string) AS code, '202001' AS period UNION ALL SELECT 'none', NULL, 'c1', NULL"))
+    marks = quality.bitmaps(rows, days)
+    key = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+    one, two = quality.bitmaps(rows.where("code <= 'c1'"), days), quality.bitmaps(rows.where("code > 'c1' OR code IS NULL"), days)
+    assert key(marks) == key(quality.unite(one.unionByName(two)))
+    has = F.col("table_name") != "none"  # a table without a bit has no bitmap
+    assert key(quality.covered(marks, days)) == key(quality.dated_coverage(rows.where(has), days))
+    assert key(quality.uncovered(marks, days)) == key(quality.missing_days(rows.where(has), days))
+    assert key(quality.months_per_code(marks)) == key(quality.periods_per_code(rows.where(has)))
+    assert marks._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(table_name") == 1
+
+
+def test_sketches_are_within_their_error(spark):
+    rows = spark.range(40_000).selectExpr("concat('c', id % 9000) AS code", "id % 5 AS part", "id % 9000 AS number")
+    sketches = quality.distinct_sketches(rows, ["part"], "code").withColumn("of", F.lit("all"))
+    n = quality.sketched_counts(sketches, ["of"]).first()["n"]
+    assert abs(n - 9000) < 4 * 0.0163 * 9000
+    assert quality.distinct_counts(quality.distinct_marks(rows, ["part"], "number").withColumn("of", F.lit("all")), ["of"]).first()["n"] == 9000
