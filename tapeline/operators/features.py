@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeline.catalog import ExportSpec, FieldDef, depends_on
+from tapeline.catalog import TABLES, ExportSpec, FieldDef, depends_on
 from tapeline.functions import codes
 from tapeline.operators.calendar import to_slots
 
-#: From so many fields on one sorted window is cheaper than an aggregate for each.
+#: Fields that one aggregation takes; more are aggregated in groups. From so many on, rows ordered by several columns share a sorted window.
 WIDE = 12
+GROUP = 32
 
 
 def since(df: DataFrame, date_col: str, bound: Column | str | None, default: Column | None = None) -> DataFrame:
@@ -52,13 +54,18 @@ def sum_count(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], weigh
 
 
 def last_in_slot(df: DataFrame, keys: Sequence[str], fields: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """For each key and field the last value that isn't null, in the order of the ``order`` columns.
+    """For each key, none of which is null, and field the last value that isn't null, in the order of the ``order`` columns.
 
-    Few fields are aggregated, many take one window whose sort they share. Rows equal in ``order`` have no defined last.
+    Ordered by one plain column, values are aggregated in hash tables, before the shuffle first; many fields in groups, each of
+    which reads its own columns only, and whose results lie by the same keys, so that they join where they are. Ordered by several
+    columns, few fields are aggregated and many take one window whose sort they share. Rows equal in ``order`` have no defined last.
     """
-    if len(fields) < WIDE:
-        place = F.struct(*order) if len(order) > 1 else F.col(order[0])  # one plain column keeps the aggregation hashed
-        return df.groupBy(*keys).agg(*[F.max_by(f, F.when(F.col(f).isNotNull(), place)).alias(f) for f in fields])
+    if len(order) == 1 or len(fields) < WIDE:
+        place = F.struct(*order) if len(order) > 1 else F.col(order[0])
+        size = GROUP if len(order) == 1 else max(1, len(fields))
+        groups = [fields[k : k + size] for k in range(0, max(1, len(fields)), size)]
+        parts = [df.groupBy(*keys).agg(*[F.max_by(f, F.when(F.col(f).isNotNull(), place)).alias(f) for f in own]) if own else df.select(*keys).distinct() for own in groups]
+        return reduce(lambda a, b: a.join(b, list(keys)), parts)
     w = Window.partitionBy(*keys).orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marked = df.select(*keys, *[F.last(f, ignorenulls=True).over(whole).alias(f) for f in fields], F.row_number().over(w).alias("__n"))
@@ -110,8 +117,10 @@ def slots(table: DataFrame, spec: ExportSpec, fields: Sequence[FieldDef], days:
         rows = rows.join(only.select("code").distinct(), "code", "left_semi")
     daily = _daily(rows, spec, fields)
     names = [c for c in daily.columns if c not in ("code", "date")]
-    # after an aggregation a day has one row; else rows of a day are told apart by their values, so that the last is the same in every run
-    order = ["date"] if spec.agg else ["date", *names]
+    # after an aggregation, or by the table's key, a day has one row; else rows of a day are told apart by their values, so that the last is the same in every run
+    key = TABLES[spec.table].key if spec.table in TABLES else ()
+    alone = bool(key) and set(key) <= {spec.date_col, spec.inst_col}
+    order = ["date"] if spec.agg or alone else ["date", *names]
     return last_in_slot(to_slots(daily, "date", days), ["code", "cal_idx"], names, order)
 
 

@@ -120,12 +120,18 @@ def slot_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.last_in_slot(s, ["inst", "cal_idx"], ["q", "p"], ["d", "l_orderkey", "l_linenumber", "l_partkey", "q", "p"])
 
 
-@query(f"""WITH {SLOTTED}, q AS (SELECT inst, cal_idx, l_quantity, {LAST.format('l_quantity')} AS rn FROM slotted WHERE l_quantity <> 1), s AS (SELECT DISTINCT inst, cal_idx FROM slotted)
-           SELECT s.inst, s.cal_idx, {', '.join(f'q.l_quantity * {k} AS f{k}' for k in range(1, 13))} FROM s LEFT JOIN q ON s.inst = q.inst AND s.cal_idx = q.cal_idx AND q.rn = 1""")
+#: Fields of the wide form; field k lacks a value where the quantity is a multiple of k + 1.
+FIELDS = range(1, 65)
+
+
+@query(f"""WITH {SLOTTED}, {', '.join(f"q{k} AS (SELECT inst, cal_idx, l_quantity * {k} AS f{k}, {LAST.format('l_quantity')} AS rn FROM slotted WHERE l_quantity % {k + 1} <> 0)" for k in FIELDS)}, s AS (SELECT DISTINCT inst, cal_idx FROM slotted)
+           SELECT s.inst, s.cal_idx, {', '.join(f'f{k}' for k in FIELDS)} FROM s {' '.join(f'LEFT JOIN q{k} ON s.inst = q{k}.inst AND s.cal_idx = q{k}.cal_idx AND q{k}.rn = 1' for k in FIELDS)}""")
 def slot_last_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Twelve fields: the window form."""
-    s = _slotted(spark, sf_dir).withColumn("q", F.nullif("l_quantity", F.lit(1.0))).select("inst", "cal_idx", "d", "l_orderkey", "l_linenumber", "l_partkey", "q", *[(F.col("q") * k).alias(f"f{k}") for k in range(1, 13)])
-    return features.last_in_slot(s, ["inst", "cal_idx"], [f"f{k}" for k in range(1, 13)], ["d", "l_orderkey", "l_linenumber", "l_partkey", "q"])
+    """Sixty-four fields, aggregated in groups by one number that has the order of day, order, line and part."""
+    digits = [("datediff(d, DATE '1990-01-01')", 31), ("l_orderkey", 17), ("l_linenumber", 14), ("l_partkey", 0)]
+    place = F.expr(" + ".join(f"CAST({c} AS DECIMAL(14, 0)) * CAST('1{'0' * n}' AS DECIMAL({n + 1}, 0))" for c, n in digits)).cast("decimal(38, 0)")
+    s = _slotted(spark, sf_dir).select("inst", "cal_idx", place.alias("place"), *[F.when(F.col("l_quantity") % (k + 1) != 0, F.col("l_quantity") * k).alias(f"f{k}") for k in FIELDS])
+    return features.last_in_slot(s, ["inst", "cal_idx"], [f"f{k}" for k in FIELDS], ["place"])
 
 
 @query(f"""WITH {BARS} SELECT l_orderkey, l_linenumber, l_partkey, d, CAST(CASE WHEN l_quantity - 1 > 0 THEN CAST(l_extendedprice AS REAL) * CAST(10 AS REAL) / CAST(l_quantity - 1 AS REAL) END AS DOUBLE) AS vwap FROM bars""")
@@ -637,30 +643,33 @@ def daybin_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_vectors(spark, path)
 
 
-@query(f"""WITH {DATES}, {BARS}, {MEMBERS} SELECT 'calendar' AS file, count(*) AS n, CAST(sum(d - DATE '1990-01-01') AS BIGINT) AS total FROM cal UNION ALL
-           SELECT 'instruments', count(*), CAST(sum((last_d - first_d)) AS BIGINT) FROM (SELECT inst, min(d) AS first_d, max(d) AS last_d FROM bars GROUP BY 1) UNION ALL
-           SELECT 'index ' || index_code, count(*), CAST(sum("end" - start) AS BIGINT) FROM periods GROUP BY index_code""")
+@query(f"""WITH {DATES}, {BARS}, {MEMBERS} SELECT 'calendar' AS file, NULL AS name, d AS start, d AS "end", count(*) AS n FROM cal GROUP BY ALL UNION ALL
+           SELECT 'instruments', CAST(inst AS VARCHAR), min(d), max(d), 1 FROM bars GROUP BY inst UNION ALL SELECT 'index ' || index_code, con_code, start, "end", count(*) FROM periods GROUP BY ALL""")
 def text_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar, instrument and constituent lists, written and read back."""
+    """Calendar, instrument and constituent lists, written and read back, row by row."""
     base = paths.fresh_path(spark, "lists")
     text.write_calendar(days(spark, sf_dir), f"{base}/calendar")
     ranges = instruments.date_ranges(bars(spark, sf_dir), ["inst"], "d").select(F.col("inst").cast("string").alias("instrument"), F.col("first_date").alias("start"), F.col("last_date").alias("end"))
     text.write_instruments(ranges, f"{base}/instruments")
     text.write_constituents(_constituents(spark, sf_dir).withColumnRenamed("con_code", "instrument"), f"{base}/indices")
-    span = F.sum(F.datediff("end", "start")).alias("total")
-    parts = text.read_calendar(spark, f"{base}/calendar").agg(F.count("*").alias("n"), F.sum(F.datediff("d", F.lit("1990-01-01").cast("date"))).alias("total")).select(F.lit("calendar").alias("file"), "n", "total")
-    lists = text.read_ranges(spark, f"{base}/instruments").agg(F.count("*").alias("n"), span).select(F.lit("instruments").alias("file"), "n", "total")
-    index = text.read_ranges(spark, f"{base}/indices", index=True).groupBy("index_code").agg(F.count("*").alias("n"), span).select(F.concat(F.lit("index "), "index_code").alias("file"), "n", "total")
-    return parts.unionByName(lists).unionByName(index)
+    days_ = text.read_calendar(spark, f"{base}/calendar").select(F.lit("calendar").alias("file"), F.lit(None).cast("string").alias("name"), F.col("d").alias("start"), F.col("d").alias("end"))
+    lists = text.read_ranges(spark, f"{base}/instruments").select(F.lit("instruments").alias("file"), F.col("instrument").alias("name"), "start", "end")
+    index = text.read_ranges(spark, f"{base}/indices", index=True).select(F.concat(F.lit("index "), "index_code").alias("file"), F.col("instrument").alias("name"), "start", "end")
+    return days_.unionByName(lists).unionByName(index).groupBy("file", "name", "start", "end").agg(F.count("*").alias("n"))
+
 
+CATEGORY = """CASE name WHEN 'bd_close' THEN 'OHLCV' WHEN 'vwap' THEN 'OHLCV' WHEN 'pe_ttm' THEN 'valuation' WHEN 'turnover_rate' THEN 'liquidity' WHEN 'mf_buy_sm_vol' THEN 'moneyflow'
+              WHEN 'md_rzye' THEN 'margin' WHEN 'mg_rqyl' THEN 'margin' WHEN 'cyq_winner_rate' THEN 'chip' WHEN 'sl_up_limit' THEN 'event' WHEN 'gz_on' THEN 'macro' WHEN 'bb_undp' THEN 'fundamental' ELSE 'technical' END"""
 
-@query(f"""WITH {NAMES} SELECT name, source_table, count(*) AS n FROM names GROUP BY ALL""")
+
+@query(f"""WITH {NAMES} SELECT name, source_table, {CATEGORY} AS category, CASE inst_type WHEN 'cb' THEN 'convertible_bond' WHEN 'market' THEN 'market_virtual' ELSE inst_type END AS applies_to,
+           CASE source_table WHEN 'stk_factor_pro' THEN 'hfq' WHEN 'cb_factor_pro' THEN 'bfq' ELSE 'none' END AS adjustment, count(*) AS n FROM names GROUP BY ALL""")
 def manifest_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature manifest, a JSON line per field, written and read back."""
+    """The feature manifest, a JSON line per field, written and read back whole."""
     path = paths.fresh_path(spark, "manifest")
     text.write_manifest(_names(spark, sf_dir), path)
-    back = spark.read.schema("name string, source_table string, category string").json(path)
-    return back.groupBy("name", "source_table").agg(F.count("*").alias("n"))
+    back = spark.read.schema("name string, source_table string, category string, applies_to string, adjustment string").json(path)
+    return back.groupBy(*back.columns).agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {DATES}, {NAMES}, c AS (SELECT CASE name WHEN 'bd_close' THEN 'OHLCV' WHEN 'vwap' THEN 'OHLCV' WHEN 'pe_ttm' THEN 'valuation' WHEN 'turnover_rate' THEN 'liquidity' WHEN 'mf_buy_sm_vol' THEN 'moneyflow'

@@ -39,6 +39,19 @@ def test_later_null_keeps_earlier_value(spark):
     wide = [f"w{i}" for i in range(features.WIDE)]
     out = features.last_in_slot(df.select("*", *[F.col("b").alias(w) for w in wide]), ["k", "cal_idx"], wide, ["date"]).first()
     assert [out[w] for w in wide] == [5.0] * features.WIDE
+    by_two = features.last_in_slot(df.select("*", *[F.col("b").alias(w) for w in wide]), ["k", "cal_idx"], wide, ["date", "a"]).first()
+    assert [by_two[w] for w in wide] == [5.0] * features.WIDE
+
+
+def test_many_fields_are_aggregated_before_the_shuffle(spark):
+    names = [f"f{i}" for i in range(70)]
+    df = spark.range(400).selectExpr("concat('k', id % 3) AS k", "CAST(id % 7 AS int) AS cal_idx", "id AS place", *[f"CASE WHEN (id + {i}) % 5 <> 0 THEN id * {i}.0D END AS {f}" for i, f in enumerate(names)])
+    out = features.last_in_slot(df, ["k", "cal_idx"], names, ["place"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2 * -(-len(names) // features.GROUP) and "Window" not in plan
+    whole = features.last_in_slot(df, ["k", "cal_idx"], names, ["place", "f1"])
+    key = lambda d: sorted(tuple(r[c] is not None and r[c] for c in ["k", "cal_idx", *names]) for r in d.collect())
+    assert key(out) == key(whole)
 
 
 def test_build_moves_weekends_forward_and_prices(spark):
