@@ -77,21 +77,56 @@ def rates(stats: DataFrame) -> DataFrame:
     })
 
 
+def _fraction(a: float, b: float, x: float) -> float:
+    """The continued fraction of the incomplete beta function, from its head until it stands."""
+    c, d = 1.0, 1.0 / (1.0 - (a + b) * x / (a + 1.0))
+    out = d
+    for m in range(1, 1_000_000):
+        for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1.0 / (1.0 + step * d or 1e-300)
+            c = 1.0 + step / c or 1e-300
+            out *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            return out
+    raise ArithmeticError("the incomplete beta function doesn't settle")
+
+
+def binomial_at_most(k: int, n: int, p: float) -> float:
+    """The probability of at most k in n at rate p, as an incomplete beta function: no sum over k."""
+    a, b, x = float(n - k), float(k + 1), 1.0 - p
+    front = exp(lgamma(n + 1) - lgamma(a) - lgamma(b) + a * log1p(-p) + b * log(p))
+    return front * _fraction(a, b, x) / a if x < (a + 1) / (a + b + 2) else 1.0 - front * _fraction(b, a, p) / b
+
+
 def binomial_upper(k: int, n: int, alpha: float) -> float:
-    """Exact (Clopper-Pearson) upper confidence bound at level 1 - alpha for a rate of which k in n were seen."""
+    """Exact (Clopper-Pearson) upper confidence bound at level 1 - alpha for a rate of which k in n were seen.
+
+    Some ten evaluations of the distribution, each of which takes steps by the root of n at most.
+    """
     if n == 0 or k >= n:
         return 1.0
-
-    def at_most(p: float) -> float:
-        lp, lq = log(p), log1p(-p)
-        terms = [lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * lp + (n - i) * lq for i in range(k + 1)]
-        top = max(terms)
-        return exp(top) * sum(exp(t - top) for t in terms)
-
-    low, high = k / n, 1.0 - 1e-12
-    for _ in range(80):
-        mid = (low + high) / 2
-        low, high = (mid, high) if at_most(mid) > alpha else (low, mid)
+    wanted = log(alpha)
+
+    def off(p: float) -> float:
+        found = binomial_at_most(k, n, p)
+        return (log(found) if found > 0 else -1e4) - wanted
+
+    low, step = max(k / n, 1e-300), (k + 1) ** 0.5 / n
+    high = min(1.0 - 1e-12, low + step)
+    while off(high) > 0 and high < 1.0 - 1e-12:
+        low, step = high, 2 * step
+        high = min(1.0 - 1e-12, high + step)
+    at_low, at_high = off(low) if k or low > 1e-300 else -wanted, off(high)
+    for _ in range(200):
+        if high - low <= 1e-13 * high or not at_high:
+            break
+        mid = (low * at_high - high * at_low) / (at_high - at_low)
+        mid = mid if low < mid < high else (low + high) / 2
+        at = off(mid)
+        if at > 0:
+            low, at_low, at_high = mid, at, at_high / 2
+        else:
+            high, at_high, at_low = mid, at, at_low / 2
     return high
 
 
