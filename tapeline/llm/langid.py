@@ -125,7 +125,7 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"lang has more than {MAX_LANGUAGES} values")
     share = min(1.0, train_rows / max(1, sum(counts)))
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1_000_000)) / 1e6 < share)
+    drawn = known.where(F.pmod(F.xxhash64("doc_id", "text", F.lit("train")), F.lit(1_000_000)) / 1e6 < share)
     sums = drawn.select("text", "lang").mapInArrow(_counts, "lang string, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(sums["lang"].unique()))
     # a text of no known language draws its n-grams evenly from all cells
