@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from math import log
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -39,8 +40,13 @@ NAMING = (
 ).split()
 #: Categories of a path.
 PATHS = 16
+# Words of paths in which findings are mostly made up, and of paths in which they mostly aren't.
+UNREAL = r"(?i)(^|[/_.\-])(tests?|fixtures?|examples?|samples?|docs?|vendor|node_modules|mocks?|demo)([/_.\-]|$)"
+REAL = r"(?i)(^|[/_.\-])(config|settings|deploy|prod|production|env|infra|secrets?|credentials?)([/_.\-]|$)"
+# Paths that planted findings stand in, with the share of secrets in each kind. The first kind is the document's own source.
+PLACES = [([""], 0.5), (["/tests/fixtures/data.py", "/vendor/lib/package.js", "/docs/guide.md", "/examples/demo.sh", "/src/sample_test.go"], 0.2), (["/config/app.yaml", "/.env", "/deploy/values.yaml", "/infra/main.tf", "/settings/production.py"], 0.8)]
 
-FEATURES = ["length", "turns", "bigrams", "digits", "distinct", "vowels", "coverage", "keyword", "assigned", "quoted", "prefix", *(f"path{i}" for i in range(PATHS))]
+FEATURES = ["length", "turns", "bigrams", "digits", "distinct", "vowels", "coverage", "keyword", "assigned", "quoted", "prefix", "unreal", "real", *(f"path{i}" for i in range(PATHS))]
 
 
 def candidates(docs: DataFrame, *keep: str) -> DataFrame:
@@ -92,16 +98,15 @@ def with_features(findings: DataFrame, words: list[str]) -> DataFrame:
     """Findings with the forest's inputs: length, character transitions, dictionary coverage, path and neighbouring words.
 
     ``turns`` is the rate of changes of case and kind, ``bigrams`` the mean log-probability of its letters after each other
-    in the dictionary's words; ``coverage`` is the share of characters in parts that are words. A path's category is a hash of
-    it, each an input of its own.
+    in the dictionary's words; ``coverage`` is the share of characters in parts that are words. Of a path the inputs are whether it
+    names tests, vendors or documents (``unreal``), or configuration (``real``), and its category, a hash of it.
     """
     c = F.col("candidate")
     n = F.greatest(F.char_length(c), F.lit(1)).cast("double")
     share = lambda pattern: 1.0 - F.char_length(F.regexp_replace(c, pattern, "")) / n
     turns = F.char_length(F.regexp_replace(c, r"(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[a-z0-9])|(?<=[0-9])(?=[A-Za-z])", "|")) - F.char_length(c)
-    known = F.split(F.lit(" ".join(words)), " ")
     parts = F.transform(F.regexp_extract_all(c, F.lit("[A-Z]?[a-z]{3,}|[A-Z]{4,}"), F.lit(0)), F.lower)
-    covered = F.aggregate(F.filter(parts, lambda w: F.array_contains(known, w)), F.lit(0.0), lambda a, w: a + F.char_length(w))
+    covered = F.aggregate(F.filter(parts, lambda w: w.isin(*words) if words else F.lit(False)), F.lit(0.0), lambda a, w: a + F.char_length(w))
     codes = F.transform(F.split(F.lower(c), ""), lambda x: F.ascii(x) - 97)
     letter = lambda x: x.between(0, 25)
     pairs = F.zip_with(codes, F.slice(codes, F.lit(2), F.size(codes)), lambda a, b: F.when(letter(a) & letter(b), a * 26 + b))
@@ -113,7 +118,7 @@ def with_features(findings: DataFrame, words: list[str]) -> DataFrame:
     return findings.withColumns({
         "length": n, "turns": turns / n, "bigrams": F.when(F.size(logs) > 0, mean).otherwise(F.lit(-log(26.0))), "digits": share("[0-9]"), "distinct": F.size(F.array_distinct(F.split(c, ""))) / n,
         "vowels": share("(?i)[aeiou]"), "coverage": covered / n, "keyword": yes(_named()), "assigned": yes(F.col("left").rlike(ASSIGNED)),
-        "quoted": yes(F.col("left").rlike("[\"'`]$")), "prefix": yes(c.rlike(PREFIXES)),
+        "quoted": yes(F.col("left").rlike("[\"'`]$")), "prefix": yes(c.rlike(PREFIXES)), "unreal": yes(F.col("path").rlike(UNREAL)), "real": yes(F.col("path").rlike(REAL)),
     }).withColumns({f"path{i}": (path == i).cast("double") for i in range(PATHS)})
 
 
@@ -126,23 +131,25 @@ MENTIONS = {
 }
 
 
-def planted(docs: DataFrame, rows: int = PLANTED, seed: str = "planted") -> DataFrame:
+def planted(docs: DataFrame, rows: int = PLANTED, seed: str = "planted", kinds: Callable[[int], bool] | None = None) -> DataFrame:
     """Labelled findings ``(doc_id, path, start, candidate, left, right, label)``, planted in the contexts of real documents.
 
     A hash draws about ``rows`` documents, or repeats those of a small table, up to 20 times each; in each a value of a
     drawn kind stands at a drawn word. Kinds labelled 1 are random keys, tokens and passwords, assigned to a telling name or
     with a known beginning. Kinds labelled 0 are what scanners take for them: hashes of commits and files, UUIDs, paths, mail
     and web hosts, identifiers, long numbers, run-together words, encoded data, and placeholders that are assigned to telling
-    names. The label is the kind's, never a function of the forest's inputs.
+    names. The label is the kind's, never a function of the forest's inputs. Findings stand in the document's source or in a file of
+    it; files of tests, vendors and documents have few secrets, those of configuration many (PLACES). ``kinds`` says which numbers of
+    kinds occur, so that others can be held out. Rows of one id are drawn apart by their texts.
     """
     n = max(1, docs.count())
     times = min(20, max(1, -(-rows // n)))
-    unit = lambda what: F.pmod(F.xxhash64("doc_id", "copy", F.lit(seed), F.lit(what)), F.lit(1_000_003))
-    many = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"), F.explode(F.sequence(F.lit(1), F.lit(times))).alias("copy")).where(unit("row") < 1_000_003 * min(1.0, rows / (n * times)))
+    unit = lambda what: F.pmod(F.xxhash64("doc_id", "rid", "copy", F.lit(seed), F.lit(what)), F.lit(1_000_003))
+    many = docs.select("doc_id", F.xxhash64("text").alias("rid"), F.col("source").cast("string").alias("source"), F.coalesce("text", F.lit("")).alias("text"), F.explode(F.sequence(F.lit(1), F.lit(times))).alias("copy")).where(unit("row") < 1_000_003 * min(1.0, rows / (n * times)))
     near = F.substr("text", (unit("at") % F.greatest(F.lit(1), F.char_length("text") - CONTEXT)).cast("int") + 1, F.lit(2 * CONTEXT))
-    placed = stage(many.select("doc_id", "source", "copy", near.alias("near")), "contexts").withColumns({
+    placed = stage(many.select("doc_id", "rid", "source", "copy", near.alias("near")), "contexts").withColumns({
         "before": F.regexp_extract(F.left("near", F.lit(CONTEXT)), r"(?s)^(.*\s)?", 0), "after": F.regexp_extract(F.substr("near", F.lit(CONTEXT + 1)), r"(?s)\s.*$", 0),
-        "words": F.regexp_extract_all(F.lower("near"), F.lit("[a-z]{3,9}"), F.lit(0)), "r": F.sha2(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "copy"), 512), "size": unit("size").cast("int"),
+        "words": F.regexp_extract_all(F.lower("near"), F.lit("[a-z]{3,9}"), F.lit(0)), "r": F.sha2(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("rid").cast("string"), "copy"), 512), "size": unit("size").cast("int"),
     }).withColumn("b64", F.base64(F.unhex("r"))).withColumn("alnum", F.regexp_replace("b64", "[+/=]", ""))
     r, alnum, size = F.col("r"), F.col("alnum"), F.col("size")
     word = lambda i: F.coalesce(F.try_element_at("words", F.lit(i)), F.lit(NAMING[i]))
@@ -165,12 +172,16 @@ def planted(docs: DataFrame, rows: int = PLANTED, seed: str = "planted") -> Data
     bad = [(v, t) for kind, values in decoys.items() for v in values for t in MENTIONS[kind]] + [(v, t) for v in fakes for t in ASSIGNMENTS]
     values = list({id(v): v for v, _ in good + bad}.values())
     number = {id(v): i for i, v in enumerate(values)}
+    good, bad = ([x for x in own if kinds is None or kinds(number[id(x[0])])] for own in (good, bad))
 
     def plant(kinds: list) -> Column:
         literal = F.array(*[F.struct(F.lit(number[id(v)]).alias("number"), F.lit(t[0]).alias("open"), F.lit(t[1]).alias("close")) for v, t in kinds])
         return F.element_at(literal, unit("kind").cast("int") % len(kinds) + 1)
 
-    drawn = placed.select("doc_id", "source", "before", "after", (unit("label") % 2 == 0).cast("double").alias("label"), F.array(*values).alias("values"), plant(good).alias("good"), plant(bad).alias("bad"))
+    places = F.array(*[F.struct(F.array(*map(F.lit, names)).alias("names"), F.lit(int(100 * share)).alias("percent")) for names, share in PLACES])
+    place = F.element_at(places, unit("place").cast("int") % len(PLACES) + 1)
+    source = F.concat(F.coalesce("source", F.lit("")), F.element_at(place["names"], unit("file").cast("int") % F.size(place["names"]) + 1))
+    drawn = placed.select("doc_id", source.alias("source"), "before", "after", (unit("label") % 100 < place["percent"]).cast("double").alias("label"), F.array(*values).alias("values"), plant(good).alias("good"), plant(bad).alias("bad"))
     drawn = drawn.withColumn("plant", F.when(F.col("label") == 1.0, F.col("good")).otherwise(F.col("bad")))
     drawn = stage(drawn.select("doc_id", "source", "before", "after", "label", "plant", F.get("values", "plant.number").alias("value")), "plants")
     text = F.concat("before", "plant.open", "value", "plant.close", "after")

@@ -112,3 +112,34 @@ def test_rare_label_trains(spark):
     model = secrets.train(ready, train_rows=100)
     assert model.numClasses == 2
     assert {r["doc_id"] for r in secrets.score(ready.drop("label"), model, 0.2).where("is_secret").collect()} == {5000, 5001, 5002}
+
+
+def test_path_alone_changes_the_score(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    words = secrets.dictionary(docs)
+    model = secrets.train(secrets.with_features(secrets.planted(docs, 4000), words))
+    weight = dict(zip(secrets.FEATURES, model.featureImportances.toArray(), strict=True))
+    assert weight["unreal"] + weight["real"] > 0.02
+    key = "a5c1f0e29b7d4c3812345678deadbeef00112233"  # a commit or a token
+    texts = [f"see {key} there", f'id = "{key}"', f'token = "{key}"']
+    rows = [(i, t, p, None) for i, t in enumerate(texts) for p in ("s/tests/fixtures/a.py", "s/config/prod.env")]
+    got = {(r["doc_id"], r["path"]): r["score"] for r in secrets.score(secrets.with_features(secrets.candidates(spark.createDataFrame(rows, DOCS)), words), model).collect()}
+    assert all(got[i, "s/tests/fixtures/a.py"] < got[i, "s/config/prod.env"] for i in range(len(texts)))
+
+
+def test_kinds_that_were_never_trained_on(spark):
+    """Every fourth kind of value is held out of training, and judged with contexts of other documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = secrets.dictionary(docs)
+    model = secrets.train(secrets.with_features(secrets.planted(docs.where("doc_id % 2 = 0"), 4000, kinds=lambda i: i % 4 != 1), words))
+    held = secrets.with_features(secrets.planted(docs.where("doc_id % 2 = 1"), 3000, seed="held out", kinds=lambda i: i % 4 == 1), words)
+    n = {(r["label"], r["is_secret"]): r["count"] for r in secrets.score(held, model).groupBy("label", "is_secret").count().collect()}
+    right, missed, wrong, clear = (n.get(k, 0) for k in ((1.0, True), (1.0, False), (0.0, True), (0.0, False)))
+    print("kinds held out: recall", right / (right + missed), "precision", right / (right + wrong))
+    assert right >= 0.85 * (right + missed) and clear >= 0.75 * (wrong + clear)
+
+
+def test_rows_of_one_id_are_drawn_apart(spark):
+    rows = [(None, f"some words of text number {i} that go on for a while", "s", None) for i in range(300)]
+    drawn = secrets.planted(spark.createDataFrame(rows, DOCS), 60)
+    assert 20 < drawn.count() < 120
