@@ -64,11 +64,11 @@ def merge_batch(batch: DataFrame, spec: TableSpec, path: str, schema: str, count
         paths.drop_staged(done)
 
 
-def ingest(spark: SparkSession, landed: str, table: str, rejects: str, spec: TableSpec, columns: dict[str, str], checkpoint: str) -> StreamingQuery:
+def ingest(spark: SparkSession, landed: str, table: str, rejects: str, spec: TableSpec, columns: dict[str, str], checkpoint: str, counts: tuple[str, ExportSpec] | None = None) -> StreamingQuery:
     """Start a stream over payload files, a JSON payload per line, that runs until all files there are merged.
 
     ``columns`` are the table's, with types; dates come as ``yyyyMMdd``. Payloads that can't be used go to ``rejects``,
-    with the reason.
+    with the reason. ``counts`` are kept as in :func:`merge_batch`.
     """
     schema = ", ".join(f"{c} {t}" for c, t in columns.items())
     read = {c: "string" if t == "date" else t for c, t in columns.items()}
@@ -79,7 +79,7 @@ def ingest(spark: SparkSession, landed: str, table: str, rejects: str, spec: Tab
         upsert.write_partitions(bad, rejects, ["batch"])
         rows = landing.payload_rows(parsed, read, ("file_time", "value"))
         typed = rows.withColumns({c: dates.day(c) for c, t in columns.items() if t == "date"}).withColumn("seq", F.struct("file_time", "value", "row_no"))
-        merge_batch(typed.select(*columns, "seq"), spec, table, schema)
+        merge_batch(typed.select(*columns, "seq"), spec, table, schema, counts)
 
     files = spark.readStream.text(landed).select("value", F.col("_metadata.file_modification_time").alias("file_time"))
     return files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
