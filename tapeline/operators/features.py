@@ -14,7 +14,7 @@ from tapeline.operators.calendar import to_slots
 
 #: Fields that one aggregation takes; more are aggregated in groups. From so many on, rows ordered by several columns share a sorted window.
 WIDE = 12
-GROUP = 32
+GROUP = 16
 
 
 def since(df: DataFrame, date_col: str, bound: Column | str | None, default: Column | None = None) -> DataFrame:
