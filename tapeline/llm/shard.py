@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,22 +68,30 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
 
 
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """A name for each of ``names`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    return [next(own for k in count() if (own := f"__{name}{k or ''}") not in taken) for name in names]
+
+
 def with_slots(df: DataFrame, order: str, shard: str = "shard", slot: str = "slot", cells: int | None = None) -> DataFrame:
     """Number the rows of each shard from 0 without a gap.
 
     Each shard is cut into ``cells`` by a hash of the whole row, by default 64 or a quarter of the session's shuffle
     partitions; rows are numbered within a cell, by ``order`` and that hash, and the counts of the cells
-    before are added. So no task holds a shard, nor all rows of one key. Rows that are equal throughout share a cell.
+    before are added. So no task holds a shard, nor all rows of one key. Rows that are equal throughout share a cell. All
+    columns stay, whatever their names; only one named like ``slot`` is replaced.
     """
     cells = cells or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    cut = df.withColumn("__row", _row_hash(df)).withColumn("__cell", F.pmod(F.xxhash64("__row", F.lit("cell")), F.lit(cells)).cast("int"))
-    counts = cut.groupBy(shard, "__cell").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(shard).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(F.col(shard).alias("__s"), F.col("__cell").alias("__c"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    inside = F.row_number().over(Window.partitionBy(shard, "__cell").orderBy(order, "__row")) - 1
-    # base has a row for each shard and cell at most, whatever the input
-    joined = cut.withColumn("__k", inside).join(F.broadcast(base), (F.col(shard) == F.col("__s")) & (F.col("__cell") == F.col("__c")))
-    return joined.withColumn(slot, (F.col("__base") + F.col("__k")).cast("long")).drop("__row", "__cell", "__s", "__c", "__base", "__k")
+    row, cell, number, of, at, base = _free(df, "row", "cell", "number", "of", "at", "base")
+    cut = df.withColumn(row, _row_hash(df)).withColumn(cell, F.pmod(F.xxhash64(row, F.lit("cell")), F.lit(cells)).cast("int"))
+    counts = cut.groupBy(F.col(shard).alias(of), F.col(cell).alias(at)).agg(F.count("*").alias(number))
+    before = Window.partitionBy(of).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select(of, at, F.coalesce(F.sum(number).over(before), F.lit(0)).alias(base))
+    inside = F.row_number().over(Window.partitionBy(shard, cell).orderBy(order, row)) - 1
+    # bases has a row for each shard and cell at most, whatever the input
+    joined = cut.withColumn(number, inside).join(F.broadcast(bases), (F.col(shard) == F.col(of)) & (F.col(cell) == F.col(at)))
+    return joined.withColumn(slot, (F.col(base) + F.col(number)).cast("long")).drop(row, cell, number, of, at, base)
 
 
 def opens_region(leaves: list[Leaf], grown: list[Leaf]) -> bool:

@@ -56,6 +56,17 @@ def test_null_keys_and_empty_tables(spark):
     assert {r["shard"] for r in shard.shard(docs, 1, grow=False).collect()} == {0}
 
 
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(i % 9, i, 2 * i, 3 * i, 4 * i, 5 * i, 6 * i, "x") for i in range(200)], "doc_id bigint, __row int, __cell int, __Base int, __number int, __of int, __at int, SLOT string")
+    out = shard.shard(docs, 6, cells=4)
+    assert out.columns == [*docs.columns[:-1], "shard", "grown_shard", "slot"]
+    rows, by = out.collect(), defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r["slot"])
+    assert sorted(tuple(r)[:7] for r in rows) == sorted(tuple(r)[:7] for r in docs.collect())
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
 def slow_place(key, leaves, seed=0):
     """The tree without Spark: at each level the child of the smallest exponential draw."""
 
