@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tapeline.catalog import EXPORTS, ExportSpec, derive_fields
 from tapeline.operators import features, incremental, instruments, quality
+from tapeline.plans import QUERIES
 
 TRADE = "ts_code string, trade_date date, price double, vol double, amount double"
 
@@ -167,3 +168,19 @@ def test_sketches_are_within_their_error(spark):
     n = quality.sketched_counts(sketches, ["of"]).first()["n"]
     assert abs(n - 9000) < 4 * 0.0163 * 9000
     assert quality.distinct_counts(quality.distinct_marks(rows, ["part"], "number").withColumn("of", F.lit("all")), ["of"]).first()["n"] == 9000
+
+
+def test_wide_fields_are_computed_after_the_shuffle(spark):
+    rows = spark.createDataFrame([(i, d, q, (7 * i + q) % 4) for i in range(3) for d in range(4) for q in (1, 2, 3, 6)], "k int, d int, q int, o int")
+    made = {f"f{n}": F.when(F.col("q") % n != 0, F.col("q") * n) for n in range(2, 2 + features.WIDE)}
+    got = features.last_in_slot(rows, ["k"], made, ["d", "o", "q"])
+    want = {}
+    for k, d, q, o in sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[1], r[3], r[2])):
+        want.setdefault(k, dict.fromkeys(made)).update({f"f{n}": q * n for n in range(2, 2 + features.WIDE) if q % n})
+    assert {r["k"]: {f: r[f] for f in made} for r in got.collect()} == want
+    few = dict(list(made.items())[:3])
+    assert {r["k"]: {f: r[f] for f in few} for r in features.last_in_slot(rows, ["k"], few, ["d", "o", "q"]).collect()} == {k: {f: v[f] for f in few} for k, v in want.items()}
+    plan = QUERIES["slot_last_wide"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by" not in plan and plan.index("Project") < plan.index("RepartitionByExpression")
+    dealt = plan[plan.index("RepartitionByExpression") :]
+    assert "f64" not in dealt and "decimal" not in dealt  # one number a row is dealt, not sixty-four and their places
