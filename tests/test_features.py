@@ -184,3 +184,10 @@ def test_wide_fields_are_computed_after_the_shuffle(spark):
     assert "max_by" not in plan and plan.index("Project") < plan.index("RepartitionByExpression")
     dealt = plan[plan.index("RepartitionByExpression") :]
     assert "f64" not in dealt and "decimal" not in dealt  # one number a row is dealt, not sixty-four and their places
+
+
+def test_priced_bars_are_dealt_once(spark):
+    plan = QUERIES["priced_build"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "hashpartitioning" in line and "l_extendedprice" not in line]
+    assert sum("ts_code" in line and "REPARTITION_BY_NUM" in line for line in dealt) == 1
+    assert not [line for line in dealt if "cal_idx" in line or "trade_date" in line]  # neither days nor slots are dealt again
