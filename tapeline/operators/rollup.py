@@ -18,11 +18,12 @@ def month_counts(rows: DataFrame) -> DataFrame:
     """``(instrument, code, n_rows, first_seen, last_seen, per_day, source_table, month)`` of ``rows(instrument, source_table, code, date)``.
 
     ``per_day`` counts by day of the month, so that counts up to any date are exact. Counts of different months add up; rows
-    without a date have none.
+    without a date have none. Rows are dealt once, by instrument and month; days and months are counted where they lie.
     """
-    daily = rows.where("date IS NOT NULL").groupBy(*KEY, "date").agg(F.count("*").alias("n"))
+    dealt = rows.where("date IS NOT NULL").withColumn("month", dates.month_key("date")).repartition("instrument", "code", "month")
+    daily = dealt.groupBy(*KEY, "month", "date").agg(F.count("*").alias("n"))
     per_day = F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.dayofmonth("date").alias("day"), "n"))))  # 31 days at most
-    out = daily.groupBy(*KEY, dates.month_key("date").alias("month")).agg(F.sum("n").alias("n_rows"), F.min("date").alias("first_seen"), F.max("date").alias("last_seen"), per_day.alias("per_day"))
+    out = daily.groupBy(*KEY, "month").agg(F.sum("n").alias("n_rows"), F.min("date").alias("first_seen"), F.max("date").alias("last_seen"), per_day.alias("per_day"))
     return out.select(*[c.split()[0] for c in SCHEMA.split(", ")])
 
 

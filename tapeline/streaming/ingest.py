@@ -14,10 +14,13 @@ from tapeline.sources import landing, paths
 MONTH = "month"
 
 
-def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.schema(f"{schema}, {MONTH} string").parquet(path) if there else spark.createDataFrame([], f"{schema}, {MONTH} string")
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(f"{schema}, {MONTH} string").parquet(path) if _exists(spark, path) else spark.createDataFrame([], f"{schema}, {MONTH} string")
 
 
 def merge_batch(batch: DataFrame, spec: TableSpec, path: str, schema: str, counts: tuple[str, ExportSpec] | None = None) -> None:
@@ -43,16 +46,20 @@ def merge_batch(batch: DataFrame, spec: TableSpec, path: str, schema: str, count
     months = sorted(r[MONTH] for r in touched.distinct().collect())  # months: few
     if not months:
         return paths.drop_staged(new)
-    old = _table(spark, path, schema).where(F.col(MONTH).isin(*months))
-    if spec.key:
-        merged = upsert.upsert(old, new, key, [F.desc("seq")], spec.keep_null_key)
-    elif spec.replace_key:
-        merged = upsert.replace_partitions(old, new, key)
-    else:
-        merged = new
-    out = paths.stage(merged.drop("seq"), "merged")  # the table isn't overwritten while it is read
+    # a month that isn't stored has no rows to merge with, so it is written as it comes; a key that roams may have left any month
+    stored = months if roams else [m for m in months if _exists(spark, f"{path}/{MONTH}={m}")]
+    old = _table(spark, path, schema).where(F.col(MONTH).isin(*stored))
+
+    def merged(old: DataFrame, new: DataFrame) -> DataFrame:
+        if spec.key:
+            return upsert.upsert(old, new, key, [F.desc("seq")], spec.keep_null_key).drop("seq")
+        return (upsert.replace_partitions(old, new, key) if spec.replace_key else new).drop("seq")
+
+    out = paths.stage(merged(old, new.where(F.col(MONTH).isin(*stored))), "merged")  # the table isn't overwritten while it is read
     upsert.write_partitions(out, path, [MONTH])
-    gone = sorted(set(months) - {r[MONTH] for r in out.select(MONTH).distinct().collect()})
+    if len(stored) < len(months):
+        upsert.write_partitions(merged(old.limit(0), new.where(~F.col(MONTH).isin(*stored))), path, [MONTH])
+    gone = sorted(set(stored) - {r[MONTH] for r in out.select(MONTH).distinct().collect()})
     upsert.drop_partitions(spark, path, MONTH, gone)
     if counts:
         own = export.Export(_table(spark, path, schema).where(F.col(MONTH).isin(*months)), counts[1], ())

@@ -108,3 +108,21 @@ def test_a_batch_that_failed_midway_is_merged_again(spark, tmp_path, monkeypatch
         merge(batch)
         assert sorted((r["k"], r["v"]) for r in spark.read.parquet(path).collect()) == [("A", 2), ("B", 2)]
         batch = rows(*((k, f"2024-0{3 + step}-01", 2) for k in "AB"))
+
+
+def test_months_that_are_not_stored_are_written_once(spark, tmp_path, monkeypatch):
+    from tapeline.catalog import TABLES
+    from tapeline.sources import paths
+    from tapeline.streaming import ingest as own
+
+    staged, stage = {}, paths.stage
+    monkeypatch.setattr(paths, "stage", lambda df, name: (out := stage(df, name), staged.setdefault(name, []).append(out.count()))[0])
+    schema, path = "ts_code string, trade_date date, amount double", str(tmp_path / "table")
+    batch = lambda first, last, amount: spark.sql(f"SELECT 'A' AS ts_code, d AS trade_date, {amount}D AS amount FROM (SELECT explode(sequence(DATE '{first}', DATE '{last}')) AS d)")
+    own.merge_batch(batch("2024-01-01", "2024-02-20", 1), TABLES["block_trade"], path, schema)
+    own.merge_batch(batch("2024-02-15", "2024-05-31", 2), TABLES["block_trade"], path, schema)
+    got = {(r["trade_date"].month, r["amount"]): r["n"] for r in spark.read.parquet(path).groupBy("trade_date", "amount").count().selectExpr("trade_date", "amount", "count AS n").collect()}
+    assert got == {(1, 1.0): 1, (2, 1.0): 1, (2, 2.0): 1, (3, 2.0): 1, (4, 2.0): 1, (5, 2.0): 1}
+    rows = spark.read.parquet(path).selectExpr("month(trade_date) AS m", "amount").groupBy("m", "amount").count()
+    assert {(r["m"], r["amount"]): r["count"] for r in rows.collect()} == {(1, 1.0): 31, (2, 1.0): 14, (2, 2.0): 15, (3, 2.0): 31, (4, 2.0): 30, (5, 2.0): 31}
+    assert staged["merged"] == [0, 29]  # February alone is merged
