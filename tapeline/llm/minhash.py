@@ -6,7 +6,7 @@ ten of 64 SimHash bits, more than a covering code can reach with a bounded numbe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,12 +57,12 @@ def signature(raw: bytes | None, size: int = SHINGLE) -> tuple[int, list[int]]:
     return xxhash.xxh64_intdigest(h.tobytes(), SEED), keys
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], size: int, fingerprint: Callable[[bytes | None, int], int]) -> Iterator[pa.RecordBatch]:
     signed = lambda x: x - 2**64 if x >= 2**63 else x
     for ids, rids, texts in chunks(batches, "doc_id", "rid", "text"):
         out = [signature(t, size) for t in texts]
         nodes, keys = [signed(n) for n, _ in out], [[signed(k) for k in ks] for _, ks in out]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rids, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(texts, pa.binary())], names=["doc_id", "rid", "node", "keys", "text"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rids, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array([signed(fingerprint(t, size)) for t in texts], pa.int64()), pa.array(texts, pa.binary())], names=["doc_id", "rid", "node", "keys", "fp", "text"])
 
 
 def _hashes(raw: bytes, size: int) -> np.ndarray:
@@ -118,18 +118,32 @@ def _spread(members: DataFrame, side: int, side_bytes: int) -> DataFrame:
     return cut.select("key", "node", F.explode(cells).alias("c")).select("key", "c.cell", "c.side", "node")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, side: int = SIDE, side_bytes: int = SIDE_BYTES) -> DataFrame:
+def _none(raw: bytes | None, size: int) -> int:
+    return 0
+
+
+def near_duplicates(
+    docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE, side: int = SIDE, side_bytes: int = SIDE_BYTES,
+    fingerprint: Callable[[bytes | None, int], int] = _none, linked: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """``(doc_id, rid, component_id)`` for each row of ``docs(doc_id, text)``; ``rid`` is a hash of the text.
 
     Links join texts whose sets of shingles have the similarity and share a band, and the component's id is its smallest
     doc_id. Equal sets are one node, so copies are never compared; texts without a word are one node. The texts that share
     a band key meet in a task, a large group in squares, where all pairs are compared by counting common shingles; what
-    comes out is a forest, not its pairs.
+    comes out is a forest, not its pairs. ``linked`` makes further groups ``(node, key)`` from ``(node, fp)``, the ``fingerprint`` of
+    the texts; texts of such a group are compared likewise.
     """
-    rows = stage(docs.select("doc_id", F.xxhash64("text").alias("rid"), "text").mapInArrow(lambda it: _signatures(it, size), "doc_id bigint, rid bigint, node bigint, keys array<bigint>, text binary"), "signatures")
+    ddl = "doc_id bigint, rid bigint, node bigint, keys array<bigint>, fp bigint, text binary"
+    rows = stage(docs.select("doc_id", F.xxhash64("text").alias("rid"), "text").mapInArrow(lambda it: _signatures(it, size, fingerprint), ddl), "signatures")
     ids = stage(rows.select("doc_id", "rid", "node"), "ids")
     nodes = ids.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "rid")).alias("one"))
-    shared = stage(_groups(rows.select("node", "keys").distinct().select("node", F.explode("keys").alias("key"))), "shared")
+    keys = rows.select("node", "keys").distinct().select("node", F.explode("keys").alias("key"))
+    if linked:
+        keys = stage(keys.unionByName(linked(rows.where("node <> 0").select("node", "fp").distinct())), "keys")
+    shared = stage(_groups(keys), "shared")
+    if linked:
+        drop_staged(keys)
     # one row of each node lends its text; how many do grows with the corpus, so they are never broadcast
     lent = shared.select("node").distinct().join(nodes, "node").select(F.col("node").alias("__node"), F.col("one.doc_id").alias("__id"), F.col("one.rid").alias("__rid"))
     texts = stage(rows.join(lent.hint("merge"), (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("rid") == F.col("__rid"))).select("node", "text").dropDuplicates(["node"]), "texts")

@@ -196,14 +196,26 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHI
     return _placed(docs, threshold, size, blocks).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def component_keys(nodes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``(node, key)`` of ``nodes(node, fp)``: nodes whose fingerprints are in one component of :func:`links` share a key."""
+    fps = stage(nodes.select("fp").distinct(), "fps")
+    roots = connected_components(links(fps, threshold)).select(F.col("node").alias("fp"), "root")
+    placed = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return placed.select("node", F.xxhash64(F.lit("simhash"), "root").alias("key")).distinct()
+
+
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD, size: int = SHINGLE, similarity: float | None = None) -> DataFrame:
     """``docs`` without the near-duplicates: of each component the document of the smallest doc_id stays, with all columns.
 
-    With ``similarity`` links are those of the texts' shingles at that Jaccard similarity (:mod:`minhash`), else those of
-    fingerprints at ``threshold``. Texts without a word are one group. Rows of equal doc_id are told apart by their texts;
+    Links are those of fingerprints at ``threshold``. With ``similarity`` the texts of a component of them, and those that share
+    a band of MinHash values, which reaches the similar texts whose fingerprints differ in more bits, are compared exactly, and
+    links are those of their shingles at that Jaccard similarity (:mod:`minhash`). Texts without a word are one group. Rows of equal doc_id are told apart by their texts;
     equal rows of the document that stays all stay, and so do rows without an id.
     """
-    parts = _placed(docs, threshold, size, None) if similarity is None else minhash.near_duplicates(docs, similarity, size)
+    if similarity is None:
+        parts = _placed(docs, threshold, size, None)
+    else:
+        parts = minhash.near_duplicates(docs, similarity, size, fingerprint=fingerprint, linked=lambda nodes: component_keys(nodes, threshold))
     gone = stage(parts.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"), F.col("rid").alias("__rid")).distinct(), "gone")
     # how many go grows with the corpus, so they are never broadcast
     return docs.join(gone.hint("merge"), (docs["doc_id"] == gone["__gone"]) & (F.xxhash64(docs["text"]) == gone["__rid"]), "left_anti")

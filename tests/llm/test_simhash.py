@@ -119,3 +119,18 @@ def test_long_chains_and_stars_settle(spark):
     df = spark.createDataFrame(edges, "a bigint, b bigint")
     got = {r["node"]: r["root"] for r in connected_components(df).collect()}
     assert got == {i: 0 for i in range(61)} | {i: 1000 for i in range(1000, 1200)}
+
+
+def test_keep_one_by_similarity_goes_through_fingerprints(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(words), " ".join([*words[:299], "x"]), " ".join(f"v{i}" for i in range(50)), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    seen, links = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda fps, *of: (seen.append(fps.count()), links(fps, *of))[1])
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs, size=5, similarity=0.8).collect()) == [0, 2, 3]
+    assert seen and seen[0] >= 2
+    nodes = spark.createDataFrame([(1, 0b0), (2, 0b1111), (3, 0b11111111), (4, -1), (1, 0b1)], "node bigint, fp bigint")
+    keys = {}
+    for r in simhash.component_keys(nodes).collect():
+        keys.setdefault(r["node"], set()).add(r["key"])
+    assert keys[1] == keys[2] == keys[3] != keys[4] and all(len(k) == 1 for k in keys.values())
