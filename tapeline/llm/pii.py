@@ -5,11 +5,12 @@ from __future__ import annotations
 import hmac
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import ChainMap
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeline.llm._shared import chunks, drop_staged, stage
@@ -42,7 +43,7 @@ HINT = re.compile(r"[\d@]")
 #: A title, up to three more after it ("Frau Prof. Dr."), and one or two words.
 TITLED = re.compile(rf"\b(?P<title>{'|'.join(TITLES)})\b\.?(?: (?:{'|'.join(TITLES)})\b\.?){{0,3}} (?P<name>{CAPITAL}(?: {CAPITAL})?)")
 WORD = re.compile(CAPITAL)
-#: First names that the corpus teaches, at most, and titled mentions in different documents that make one.
+#: First names that the corpus teaches and all tasks hold, at most, and titled mentions in different documents that make one.
 MAX_LEARNT, LEAST_DOCS = 20_000, 2
 #: Times that first names teach surnames and those further first names.
 ROUNDS = 3
@@ -86,7 +87,7 @@ def _is_name(word: str) -> bool:
     return word[0].isupper() or unicodedata.category(word[0]) == "Lo"
 
 
-def _people(text: str, genders: dict[str, str]) -> list[tuple[int, int, str, str]]:
+def _people(text: str, genders: Mapping[str, str]) -> list[tuple[int, int, str, str]]:
     """Spans of people: a known first name before a capitalised word, a title before one or two, and what refers to them."""
     people: dict[str, str] = {}
     spans: list[tuple[int, int, str, str]] = []
@@ -117,7 +118,7 @@ def _people(text: str, genders: dict[str, str]) -> list[tuple[int, int, str, str
     return spans
 
 
-def find(text: str, genders: dict[str, str] = GENDER) -> list[tuple[int, int, str, str]]:
+def find(text: str, genders: Mapping[str, str] = GENDER) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, value)`` of all entities, in order, without overlaps. A person's value is gender, first and last name.
 
     A surname alone refers to the person of that name that the text names in full first. ``genders`` are the known first
@@ -257,8 +258,8 @@ def render(kind: str, mention: str, value: str, new: str) -> str:
 
 
 def _entities(batches: Iterator[pa.RecordBatch], genders: dict[str, str]) -> Iterator[pa.RecordBatch]:
-    for ids, rids, texts in chunks(batches, "doc_id", "rid", "text"):
-        rows = [(d, i, k, v) for d, i, t in zip(ids, rids, texts, strict=True) if t for k, v in sorted({x[2:] for x in find(t.decode(), genders)})]
+    for ids, rids, texts, rest in chunks(batches, "doc_id", "rid", "text", "own"):
+        rows = [(d, i, k, v) for d, i, t, own in zip(ids, rids, texts, rest, strict=True) if t for k, v in sorted({x[2:] for x in find(t.decode(), _known(genders, own))})]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names=["doc_id", "rid", "kind", "value"])
 
@@ -296,7 +297,7 @@ def assign(values: DataFrame, key: bytes, max_rounds: int = 50) -> DataFrame:
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def replace(text: str, new: dict[tuple[str, str], str], genders: dict[str, str] = GENDER) -> tuple[str, list[tuple[str, int, int]]]:
+def replace(text: str, new: dict[tuple[str, str], str], genders: Mapping[str, str] = GENDER) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with surrogates, and where they stand in it."""
     parts, spans, last, at = [], [], 0, 0
     for start, end, kind, value in find(text, genders):
@@ -309,14 +310,14 @@ def replace(text: str, new: dict[tuple[str, str], str], genders: dict[str, str]
 
 
 def _replaced(batches: Iterator[pa.RecordBatch], genders: dict[str, str]) -> Iterator[pa.RecordBatch]:
-    for ids, texts, found in chunks(batches, "doc_id", "text", "found"):
+    for ids, texts, found, rest in chunks(batches, "doc_id", "text", "found", "own"):
         out_texts, out_spans = [], []
-        for raw, own in zip(texts, found, strict=True):
+        for raw, own, names in zip(texts, found, rest, strict=True):
             if raw is None or not own:
                 out_texts.append(None if raw is None else raw.decode())
                 out_spans.append([])
                 continue
-            text, spans = replace(raw.decode(), {(x["kind"], x["value"]): x["surrogate"] for x in own}, genders)
+            text, spans = replace(raw.decode(), {(x["kind"], x["value"]): x["surrogate"] for x in own}, _known(genders, names))
             out_texts.append(text)
             out_spans.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out_texts, pa.string()), pa.array(out_spans, SPANS)], names=["doc_id", "text", "entities"])
@@ -330,32 +331,30 @@ def _pairs(docs: DataFrame) -> DataFrame:
     return hits.groupBy(words[0].alias("first"), words[1].alias("last")).agg(F.count("*").alias("n"))
 
 
-def _learnt(pairs: DataFrame, titled: DataFrame, known: dict[str, str], least_docs: int, at_most: int) -> list[str]:
-    """First names that ``pairs`` teach beyond the known ones, and ``titled(last, n)``, surnames after titles.
+def _learnt(pairs: DataFrame, titled: DataFrame, known: DataFrame, least_docs: int) -> DataFrame:
+    """``(first, good)``: first names that ``pairs`` teach beyond ``known(first)``, and ``titled(last, n)``, surnames after titles.
 
     A surname follows known first names or titles in ``least_docs`` rows and in a fifth of its pairs. A first name precedes two
     or more different surnames in ``least_docs`` rows and in most of its pairs, and is no commoner as a surname. So
     "Main Street" and "North Street" teach nothing after one "Maria Street", as streets seldom follow first names.
     """
-    names = pairs.sparkSession.createDataFrame([(n,) for n in sorted(known)], "first string")
-    marked = pairs.join(F.broadcast(names.withColumn("known", F.lit(True))), "first", "left")  # at most MAX_LEARNT and the fixed lists
+    marked = pairs.join(known.select("first").distinct().withColumn("known", F.lit(True)), "first", "left")
     after = marked.select("last", "n", F.when(F.col("known"), F.col("n")).otherwise(0).alias("good")).unionByName(titled.select("last", "n", F.col("n").alias("good")))
     surnames = after.groupBy("last").agg(F.sum("n").alias("all"), F.sum("good").alias("as_last")).where((F.col("as_last") >= least_docs) & (5 * F.col("as_last") >= F.col("all"))).select("last", "as_last")
     before = marked.where("known IS NULL").join(surnames, "last", "left").groupBy("first").agg(
         F.sum("n").alias("all"), F.sum(F.when(F.col("as_last").isNotNull(), F.col("n")).otherwise(0)).alias("good"), F.count("as_last").alias("surnames"))
     found = before.where((F.col("good") >= least_docs) & (F.col("surnames") >= 2) & (2 * F.col("good") > F.col("all")))
     rare = found.join(surnames.select(F.col("last").alias("first"), "as_last"), "first", "left").where(F.col("good") > F.coalesce("as_last", F.lit(0)))
-    return [r["first"].casefold() for r in rare.orderBy(F.desc("good"), "first").limit(at_most).collect()]
+    return rare.select("first", "good")
 
 
-def first_names(docs: DataFrame, least_docs: int = LEAST_DOCS, at_most: int = MAX_LEARNT) -> dict[str, str]:
-    """Known first names, case-folded, with their gender: the fixed lists, and what the whole corpus teaches.
+def taught(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """``(first, gender, round, good)``: all first names beyond the fixed lists that the whole corpus teaches, written.
 
     A word between a title and another capitalised word, in ``least_docs`` documents or more, is a first name of the title's
     gender; if titles of both genders precede it, of the commoner one. Words that are somebody's surname more often aren't first
     names. Then first names teach surnames, and surnames further first names (:func:`_learnt`), without a gender, in :data:`ROUNDS`
-    rounds or until nothing is new. The ``at_most`` commonest of titles and of all rounds together are taken, which bounds
-    what the driver and the tasks hold. Scripts without capitals teach nothing.
+    rounds or until nothing is new. Scripts without capitals teach nothing.
     """
     any_title = "|".join(TITLES)
     titles = F.create_map(*[F.lit(x) for pair in TITLES.items() for x in pair])
@@ -368,31 +367,74 @@ def first_names(docs: DataFrame, least_docs: int = LEAST_DOCS, at_most: int = MA
     both = named.select(F.explode(F.array(F.struct(F.col("first").alias("name"), "gender", F.col("n").alias("as_first"), "n"), F.struct(F.col("last").alias("name"), "gender", F.lit(0).cast("long").alias("as_first"), "n"))).alias("x")).select("x.*")
     of = lambda g: F.sum(F.when(F.col("gender") == g, F.col("as_first")).otherwise(0)).alias(g)
     known = both.where("name IS NOT NULL").groupBy("name").agg(F.sum("as_first").alias("firsts"), F.sum("n").alias("all"), of("f"), of("m"))
-    found = known.where((F.col("firsts") >= least_docs) & (2 * F.col("firsts") > F.col("all"))).orderBy(F.desc("firsts"), "name").limit(at_most).collect()
-    out = {r["name"].casefold(): "f" if r["f"] > r["m"] else "m" if r["m"] else "u" for r in found} | GENDER
+    fixed = docs.sparkSession.createDataFrame([(n,) for n in sorted(GENDER)], "first string")
+    gender = F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > 0, "m").otherwise("u")
+    found = known.where((F.col("firsts") >= least_docs) & (2 * F.col("firsts") > F.col("all")) & ~F.col("name").isin(*GENDER))
+    out = stage(found.select(F.col("name").alias("first"), gender.alias("gender"), F.lit(0).alias("round"), F.col("firsts").alias("good")), "taught")
     pairs, titled = stage(_pairs(docs), "pairs"), named.groupBy("last").agg(F.sum("n").alias("n"))
-    for _ in range(ROUNDS):
-        more = _learnt(pairs, titled, out, least_docs, at_most + len(GENDER) - len(out)) if len(out) < at_most + len(GENDER) else []
-        if not more:
+    for n in range(ROUNDS):
+        more = stage(_learnt(pairs, titled, out.select("first").unionByName(fixed), least_docs).select("first", F.lit("u").alias("gender"), F.lit(n + 1).alias("round"), "good"), "more")
+        if more.isEmpty():
+            drop_staged(more)
             break
-        out = dict.fromkeys(more, "u") | out
+        before, out = out, stage(out.unionByName(more), "taught")
+        drop_staged(before)
+        drop_staged(more)
     drop_staged(named)
     drop_staged(pairs)
     return out
 
 
-def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
+def _commonest(names: DataFrame, at_most: int) -> tuple[dict[str, str], DataFrame | None]:
+    """The ``at_most`` first names of :func:`taught`, titles' first, then by round and number, with the fixed lists; and the rest."""
+    taken = names.orderBy("round", F.desc("good"), "first").limit(at_most).collect()
+    known = {r["first"].casefold(): r["gender"] for r in taken} | GENDER
+    if len(taken) < at_most or not taken:
+        return known, None
+    n, good, first = (F.lit(taken[-1][c]) for c in ("round", "good", "first"))
+    later = (F.col("round") == n) & ((F.col("good") < good) | ((F.col("good") == good) & (F.col("first") > first)))
+    rest = names.where((F.col("round") > n) | later).select("first", "gender")
+    return known, None if rest.isEmpty() else rest
+
+
+def first_names(docs: DataFrame, least_docs: int = LEAST_DOCS, at_most: int = MAX_LEARNT) -> dict[str, str]:
+    """Known first names, case-folded, with their gender: the fixed lists, and the ``at_most`` commonest that the corpus teaches
+    (:func:`taught`)."""
+    return _commonest(taught(docs, least_docs), at_most)[0]
+
+
+def _folded(c: str) -> Column:
+    return F.replace(F.translate(F.lower(c), "ς", "σ"), F.lit("ß"), F.lit("ss"))
+
+
+def _with_rest(docs: DataFrame, rest: DataFrame | None) -> DataFrame:
+    """``docs(doc_id, rid, text)`` with ``own``, those names of ``rest(first, gender)`` that a text has; null where it has none."""
+    if rest is None:
+        return docs.withColumn("own", F.lit(None).cast("array<struct<first:string,gender:string>>"))
+    words = docs.select("doc_id", "rid", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\p{Lu}\p{L}*(?:[-'’]\p{L}+)?"), F.lit(0)))).alias("word"))
+    hits = words.select("doc_id", "rid", _folded("word").alias("key")).join(rest.withColumn("key", _folded("first")), "key")
+    own = hits.groupBy(F.col("doc_id").alias("__id"), F.col("rid").alias("__rid")).agg(F.collect_set(F.struct("first", "gender")).alias("own"))  # a text's own
+    return docs.join(own, docs["doc_id"].eqNullSafe(own["__id"]) & (docs["rid"] == own["__rid"]), "left").select("doc_id", "rid", "text", "own")
+
+
+def _known(genders: dict[str, str], own: list[dict] | None) -> Mapping[str, str]:
+    return ChainMap({x["first"].casefold(): x["gender"] for x in own}, genders) if own else genders
+
+
+def pseudonymise(docs: DataFrame, key: bytes, at_most: int = MAX_LEARNT) -> DataFrame:
     """``(doc_id, text, entities)`` for each row of ``docs(doc_id, text)``: whole texts with surrogates and their places.
 
     An entity has one surrogate in the whole corpus, different entities have different ones, and none is a value that
     occurs. The key decides them: keep it secret. People without a known gender get a name of either. Null texts stay null; texts without entities stay as they are; rows of
     equal or null doc_id are told apart by their texts, so a row carries its own entities only; other columns are ignored; an
-    empty table gives an empty result.
+    empty table gives an empty result. The ``at_most`` commonest first names that are learnt go to all tasks; the rest come to the
+    texts that have them by a join.
     """
     docs = docs.select("doc_id", F.xxhash64("text").alias("rid"), "text")
-    genders = first_names(docs)
+    genders, rest = _commonest(taught(docs), at_most)
+    docs = _with_rest(docs, rest)
     entities = stage(docs.mapInArrow(lambda it: _entities(it, genders), "doc_id bigint, rid bigint, kind string, value string"), "entities")
     chosen = assign(entities.select("kind", "value").distinct(), key)
     own = entities.distinct().join(chosen, ["kind", "value"]).groupBy(F.col("doc_id").alias("__id"), F.col("rid").alias("__rid")).agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("found"))  # a text's own
-    joined = docs.join(own, docs["doc_id"].eqNullSafe(own["__id"]) & (docs["rid"] == own["__rid"]), "left").select("doc_id", "text", "found")
+    joined = docs.join(own, docs["doc_id"].eqNullSafe(own["__id"]) & (docs["rid"] == own["__rid"]), "left").select("doc_id", "text", "found", "own")
     return joined.mapInArrow(lambda it: _replaced(it, genders), "doc_id bigint, text string, entities array<struct<kind:string,start:bigint,end:bigint>>")

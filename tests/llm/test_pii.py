@@ -183,3 +183,14 @@ def test_titles_of_rank_and_national_numbers(spark):
         assert new[5] == "0" and new != f"call {mention}, please" and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"call {mention}, please")
     for plain in ("on 01/02/2003 12:30", "in 01-2003", "item 0123456789", "0.12 345678", "05 12 2003", "v1-030 1234567"):
         assert pii.find(plain) == []
+
+
+def test_first_names_beyond_the_commonest_are_joined(spark):
+    docs, planted, _ = _society(random.Random(4))
+    df = spark.createDataFrame(docs, DOCS)
+    names = pii.taught(df.select("doc_id", "text"))
+    known, rest = pii._commonest(names, 7)
+    assert len(known) == 7 + len(pii.GENDER) and rest.count() == names.count() - 7 > 10
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymise(df, KEY, at_most=7).collect()}
+    assert got == {r["doc_id"]: r["text"] for r in pii.pseudonymise(df, KEY).collect()}
+    assert sum(name in got[i] for i, name in enumerate(planted)) <= 0.05 * len(planted)
