@@ -7,8 +7,6 @@ one for each word.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,46 +14,105 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeline.llm._shared import LOWER, chunks, drop_staged, runs, stage
+from tapeline.llm._shared import LOWER, drop_staged, runs, stage
 
-WORD = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+#: A byte of a word, A-Z lower-cased, or zero for the bytes \x00-\x40, \x5B-\x60 and \x7B-\x7F, which part words.
+FOLD = np.array([LOWER[b] if b > 127 or chr(b).isalpha() else 0 for b in range(256)], np.uint8)
 #: A word is kept where so many documents of its language have it.
 LEAST_DOCS = 30
 #: Ranks of words that are reported for each source.
 RANKS = 50
-#: Counts that a task holds before it hands them on.
-HELD = 400_000
+#: Counts that a task holds before it hands them on, rows of a batch that it hands on, and bytes of text that it counts at a time.
+HELD, OUT, CHUNK = 800_000, 50_000, 2_000_000
 #: Words of a block of columns, and sources on each side of a tile of pairs: what a task holds at once.
 BLOCK, TILE = 8_192, 64
 #: The largest sources by whose counts a vocabulary is ordered. More of them make runs longer; results don't depend on it.
 LEADING = 8
+#: Counts below this give a long when multiplied by 10^9.
+LONG = 9_000_000_000
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts, one after the other, and the text of each."""
+    _, offsets, data = texts.buffers()
+    edges = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    folded = FOLD[np.frombuffer(data or b"", np.uint8)[edges[0] : edges[-1]]]
+    edges = edges - edges[0]
+    inside = folded != 0
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    heads = edges[:-1][edges[:-1] < edges[1:]]  # a word ends with its text
+    begins[heads] = inside[heads]
+    letters = folded[inside]
+    cuts = np.append(np.flatnonzero(begins[inside]), len(letters)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(letters)]), np.searchsorted(edges, np.flatnonzero(begins), "right") - 1
+
+
+def _added(texts: pa.Array, groups: np.ndarray) -> pa.Table:
+    """``(group, term, n, docs)`` of some texts, each of the group at its place."""
+    words, text = _words(texts)
+    coded = words.dictionary_encode()
+    size = max(len(coded.dictionary), 1)
+    once, n = np.unique(text * size + coded.indices.to_numpy(), return_counts=True)
+    keys, at = np.unique(groups[once // size] * size + once % size, return_inverse=True)
+    return pa.table({"group": keys // size, "term": coded.dictionary.take(pa.array(keys % size)), "n": np.bincount(at, n).astype(np.int64), "docs": np.bincount(at).astype(np.int64)})
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(lang, source, term, n, docs)`` added up within a task, and a row without a term for each source."""
-    held: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
+    known: dict[tuple[str, str], int] = {}
+    held: list[pa.Table] = []
+
+    def summed() -> pa.Table:
+        return pa.concat_tables(held).group_by(["group", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
 
     def handed_on() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs) in held.items():
-            terms = [None, *n]
-            same = lambda v: pa.array([v] * len(terms), pa.binary()).cast(pa.string())  # noqa: E731, B023
-            yield pa.RecordBatch.from_arrays([same(lang), same(source), pa.array(terms, pa.binary()).cast(pa.string()), pa.array([0, *n.values()], pa.int64()), pa.array([0, *(docs[t] for t in n)], pa.int64())], names=["lang", "source", "term", "n", "docs"])
+        found = pa.concat_tables([pa.table({"group": range(len(known)), "term": pa.nulls(len(known), pa.binary()), "n_sum": [0] * len(known), "docs_sum": [0] * len(known)}), summed().select(["group", "term", "n_sum", "docs_sum"])])
+        lang, source = (pa.array(names, pa.string()).take(found["group"]) for names in zip(*known, strict=True))
+        yield from pa.table({"lang": lang, "source": source, "term": found["term"].cast(pa.string()), "n": found["n_sum"], "docs": found["docs_sum"]}).to_batches(max_chunksize=OUT)
+        known.clear()
         held.clear()
 
-    for langs, sources, texts in chunks(batches, "lang", "source", "text"):
-        for lang, source, text in zip(langs, sources, texts, strict=True):
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            words = WORD.findall(text.translate(LOWER))
-            n.update(words)
-            docs.update(set(words))
-        if sum(len(n) for n, _ in held.values()) > HELD:
-            yield from handed_on()
-    yield from handed_on()
+    for batch in filter(len, batches):
+        texts = batch.column("text").cast(pa.string())
+        edges = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts)]
+        cuts = [0, *(np.flatnonzero(np.diff(edges // CHUNK)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            names = zip(batch.column("lang")[a:b].to_pylist(), batch.column("source")[a:b].to_pylist(), strict=True)
+            held.append(_added(texts[a:b], np.array([known.setdefault(k, len(known)) for k in names], np.int64)))
+            if sum(map(len, held)) + len(known) > HELD:
+                total = summed()
+                held[:] = [total.select(["group", "term", "n_sum", "docs_sum"]).rename_columns(["group", "term", "n", "docs"])]
+                if len(total) + len(known) > HELD // 2:
+                    yield from handed_on()
+    if known:
+        yield from handed_on()
 
 
 def _share(n: str, total: str, size: str) -> Column:
-    """1 + floor(10^9 (n + 5) / (total + 5 size)), exactly."""
-    return F.expr(f"1 + (CAST(1000000000 AS DECIMAL(20, 0)) * CAST({n} + 5 AS DECIMAL(18, 0))) div CAST({total} + 5 * {size} AS DECIMAL(20, 0))")
+    """1 + floor(10^9 (n + 5) / (total + 5 size)), exactly: in longs where the product is one, else in decimals."""
+    whole = f"CAST({total} + 5 * {size} AS DECIMAL(20, 0))"
+    return F.expr(f"1 + CASE WHEN {n} < {LONG} THEN (1000000000L * ({n} + 5)) div ({total} + 5 * {size}) ELSE (CAST(1000000000 AS DECIMAL(20, 0)) * CAST({n} + 5 AS DECIMAL(18, 0))) div {whole} END")
+
+
+def _scanned(docs: DataFrame) -> DataFrame:
+    """``(lang, source, term, n, docs)`` as tasks hand them on, and rows without a term.
+
+    Documents are dealt by language and source first, a large source to several tasks, so that a task adds up the words of few
+    sources: it hands on a row for each of their words, not for each word of every source.
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(text("lang"), text("source"), text("text"), F.monotonically_increasing_id().alias("at"))
+    return rows.repartitionByRange(n, "lang", "source", "at").drop("at").mapInArrow(_counts, "lang string, source string, term string, n bigint, docs bigint")
+
+
+def _counted(docs: DataFrame, least_docs: int) -> DataFrame:
+    """``(lang, source, term, n, docs)`` of words that ``least_docs`` documents of their language have, and a row without a term for each source; rare words go no further."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    of_lang = F.sum("docs").over(Window.partitionBy("term", "lang"))  # rows are sorted by the key that differs
+    common = _scanned(docs).repartition(n, "term", "lang").withColumn("lang_docs", of_lang).where((F.col("lang_docs") >= least_docs) | F.col("term").isNull())
+    return common.groupBy("term", "lang", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).select("lang", "source", "term", "n", "docs")
 
 
 def _ordered(counts: DataFrame, groups: DataFrame, least_docs: int) -> DataFrame:
@@ -71,7 +128,7 @@ def _ordered(counts: DataFrame, groups: DataFrame, least_docs: int) -> DataFrame
 
 def _columns(kept: DataFrame, groups: DataFrame, blocks: DataFrame) -> DataFrame:
     """``(lang, block, len, source, zero, runs)``: for each source and block the runs ``(start, len, p)`` of counts that aren't zero, in order, and p of the rest."""
-    alone = Window.partitionBy("lang", "block", "source", "n").orderBy("pos")
+    alone = Window.partitionBy("n", "block", "source", "lang").orderBy("pos")
     islands = kept.withColumn("island", F.col("pos") - F.row_number().over(alone))
     found = islands.groupBy("lang", "block", "source", "n", "island").agg(F.min("pos").alias("pos"), F.count("*").alias("len"))
     every = groups.join(blocks, "lang")
@@ -145,17 +202,14 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, ranks: int = RANKS, blo
     A source without a kept word has zeros; a language that keeps none has pairs of value 0 and no words. A language of one
     source has no pairs. Other columns are ignored; an empty table gives no rows.
     """
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    scanned = docs.select(text("lang"), text("source"), text("text")).mapInArrow(_counts, "lang string, source string, term string, n bigint, docs bigint")
-    counted = stage(scanned.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
+    counted = stage(_counted(docs, least_docs), "counts")
     sources = counted.groupBy("lang", "source").agg(F.sum("n").alias("tokens"))
     words = stage(_ordered(counted.where("term IS NOT NULL"), sources, least_docs), "vocabulary")
     placed = words.withColumn("block", F.expr(f"pos div {block}"))
-    kept = stage(counted.where("term IS NOT NULL").join(placed, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n", "block", "pos"), "kept")
+    kept = stage(counted.where("term IS NOT NULL").join(placed, ["term", "lang"]).select("lang", "source", "term", "n", "lang_n", "block", "pos"), "kept")
 
     sizes = words.groupBy("lang").agg(F.count("*").alias("size"), F.sum("lang_n").alias("lang_total"))
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = stage(sources.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").na.fill(0).select("lang", "source", "total", "size", "lang_total"), "sources")
+    groups = stage(sources.withColumnRenamed("tokens", "total").join(sizes, "lang", "left").na.fill(0).select("lang", "source", "total", "size", "lang_total"), "sources")
 
     more = kept.join(groups, ["lang", "source"]).withColumns({"p": _share("n", "total", "size"), "q": _share("lang_n", "lang_total", "size")})
     terms = more.where("p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from tapeline.llm import divergence
@@ -74,3 +75,51 @@ def test_empty(spark):
     assert divergence.audit(spark.createDataFrame([], DOCS)).count() == 0
     one = divergence.audit(spark.createDataFrame([(None, None, None, None, None, None), (None, None, None, "b", None, None)], DOCS)).collect()
     assert sorted(tuple(r) for r in one) == [("", "", "pair", "b", 0, 1), ("", "b", "pair", "", 0, 1)]
+
+
+def test_tasks_hand_on_few_rows(spark):
+    """A row for each word of a source, not one for each task that met it."""
+    rng = random.Random(4)
+    docs = [(i, " ".join("w" + "abcdefghij"[k // 10] + "abcdefghij"[k % 10] for k in rng.choices(range(100), k=40)), "en", f"s{i % 20}", None, None) for i in range(1600)]
+    found = divergence._scanned(spark.createDataFrame(docs, DOCS).repartition(8)).where("term IS NOT NULL")
+    once = found.select("lang", "source", "term").distinct().count()
+    assert once == 2000
+    assert found.count() <= 1.5 * once
+
+
+def test_rare_words_go_no_further(spark):
+    docs = [(i, f"both word{'abcdefghij'[i % 10]} r{chr(97 + i // 10)}{chr(97 + i % 10)}", "en", f"s{i % 3}", None, None) for i in range(60)]
+    rows = divergence._counted(spark.createDataFrame(docs, DOCS), 6).collect()
+    assert {r["term"] for r in rows} == {None, "both", *(f"word{c}" for c in "abcdefghij")}
+    assert {(r["source"], r["n"]) for r in rows if r["term"] is None} == {("s0", 0), ("s1", 0), ("s2", 0)}
+
+
+@pytest.mark.parametrize(("held", "size"), [(5, 7), (40, 20), (10**6, 10**6)])
+def test_counts_of_a_task(held, size, monkeypatch):
+    """Whatever is held and cut, sums are the same; bytes that part words, empty texts and slices of a batch."""
+    monkeypatch.setattr(divergence, "HELD", held)
+    monkeypatch.setattr(divergence, "CHUNK", size)
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("aBZé ß日\0@[`{\x7f0") for _ in range(rng.randrange(0, 14))) for _ in range(200)]
+    rows = [(rng.choice(["", "en"]), f"s{rng.randrange(3)}", t) for t in texts] + [("en", "none", "")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names=["lang", "source", "text"])
+    n, have = Counter(), Counter()
+    for out in divergence._counts(iter([batch.slice(0, 0), batch.slice(0, 90), batch.slice(90)])):
+        for r in out.to_pylist():
+            n[r["lang"], r["source"], r["term"]] += r["n"]
+            have[r["lang"], r["source"], r["term"]] += r["docs"]
+    want, docs = Counter(), Counter()
+    for lang, source, t in rows:
+        ws = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        want.update([(lang, source, w) for w in ws])
+        docs.update({(lang, source, w) for w in ws} | {(lang, source, None)})
+    assert {k: v for k, v in n.items() if k[2] is not None} == want
+    assert set(have) == set(docs)
+    assert all(have[k] == (docs[k] if k[2] is not None else 0) for k in have)
+
+
+def test_shares_of_large_counts(spark):
+    """Exact on both sides of the count whose product is no long."""
+    cases = [(n, total, size) for n in (0, 7, divergence.LONG - 1, divergence.LONG, 10**15) for total, size in ((n, 1), (10**16 + 7, 300_000))]
+    rows = spark.createDataFrame(cases, "n bigint, total bigint, size bigint").select("*", divergence._share("n", "total", "size").alias("p")).collect()
+    assert all(r["p"] == 1 + 1_000_000_000 * (r["n"] + 5) // (r["total"] + 5 * r["size"]) for r in rows)
